@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from screenwright.llm import quality
+from screenwright.llm import neardup, quality
 
 
 def queries() -> dict:
-    return {"op3_quality_rules": quality.op3}
+    return {"op3_quality_rules": quality.op3, "op7_minhash_neardup": neardup.op7}
 
 
 def oracle_sql() -> dict:
