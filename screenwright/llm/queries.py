@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from screenwright.llm import neardup, quality
+from screenwright.llm import mixing, neardup, quality, sharding
 
 
 def queries() -> dict:
-    return {"op3_quality_rules": quality.op3, "op7_minhash_neardup": neardup.op7}
+    return {
+        "op3_quality_rules": quality.op3,
+        "op7_minhash_neardup": neardup.op7,
+        "op9_source_mixing": mixing.op9,
+        "op10_sharding": sharding.op10,
+    }
 
 
 def oracle_sql() -> dict:
-    return {"op3_quality_rules": quality.SQL}
+    return {"op3_quality_rules": quality.SQL, "op9_source_mixing": mixing.SQL}
