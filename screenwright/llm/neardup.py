@@ -1,26 +1,29 @@
 """Near-duplicate documents by a signature-coordinate inverted join.
 
 1.  A kernel reduces each text to its set of distinct word shingles, a MinHash
-    signature of ``coords`` coordinates, and a 128-bit fingerprint of the set.
-    Texts with equal sets form one *class*, represented by its smallest id, so
-    a group of copies, however large, goes on as one row.
-2.  Every class is posted under each (coordinate, value) pair.  Values held by
-    one class only can't collide and are dropped.
+    signature, and a 128-bit fingerprint of the set.  Texts with equal sets form
+    one *class*, represented by its smallest id, so a group of copies, however
+    large, goes on as one row.
+2.  A coordinate of the signature is a run of ``rows`` minima.  Every class is
+    posted under each of its ``coords`` (coordinate, value) pairs.  Values held
+    by one class only can't collide and are dropped.
 3.  Two classes match if at least ``match`` coordinates collide.  Ordered by
     (frequency, value), such a pair shares one of its first
     ``coords - match + 1`` postings (prefix filter), so only these rare ones
     are merged; the long lists behind the prefix are skipped and looked up in
     the signatures of the candidate pairs (as MergeSkip does).
-4.  Within a posting list each class first meets the list's smallest class.
-    Confirmed links are joined to components; then the classes of a list that
-    are still in different components meet through one class for each
-    component, and what is left meets pair by pair.  Pairs that are skipped are
-    those whose components are already known, so no component is lost and a
-    group of n near copies costs n links, not n squared.
+4.  Within a posting list each class first meets the list's leader (twice, with
+    other leaders the second time); confirmed links are joined to components.
+    In lists that still hold several components, classes of which over a fifth
+    of the shingles occur nowhere else in such lists can't be linked at all and
+    leave; those that stay meet the classes of other components pair by pair,
+    each pair in one list only.  Only pairs whose components are already known
+    are skipped, so no component is lost, and a group of n near copies costs
+    about n links, not n squared.
 5.  A match is confirmed on the full shingle sets (64-bit hashes).
 
-A pair at the similarity threshold 0.8 collides in fewer than 24 of 48
-coordinates with a probability of about 1e-6.
+A pair at the similarity threshold 0.8 is missed with a probability of about
+1e-6 (fewer than 4 of 32 coordinates of 3 minima).
 
 Defined results: texts without words (null, empty, blank) have 0 shingles and
 are linked with nothing; repeated rows are copies; a null id is kept and never
@@ -63,7 +66,7 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     return out
 
 
-def sketches(width: int, coords: int, texts: list[bytes]) -> list:
+def sketches(width: int, minima: int, texts: list[bytes]) -> list:
     """(set size, two fingerprint halves, signature) of each text; without shingles 0, 0, 0, null."""
     sets = shingle_sets(texts, width)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
@@ -77,37 +80,49 @@ def sketches(width: int, coords: int, texts: list[bytes]) -> list:
             first[has] = np.add.reduceat(mix(x ^ np.uint64(0xA5A5_1234_5678_9ABC)), at).view(np.int64)
             second[has] = np.add.reduceat(mix(x + np.uint64(0x0F1E_2D3C_4B5A_6978)), at).view(np.int64)
             small = (x >> np.uint64(32)).astype(np.uint32)
-            rows = np.empty((coords, len(has)), dtype=np.uint32)
-            for k in range(coords):
+            rows = np.empty((minima, len(has)), dtype=np.uint32)
+            for k in range(minima):
                 rows[k] = np.minimum.reduceat(small * _MULTIPLY[k] + _ADD[k], at)
         for i, row in zip(has, np.ascontiguousarray(rows.T), strict=True):
             signature[i] = row.tobytes()
     return [sizes, first, second, signature]
 
 
-def _postings(coords: int, batches):
+def _postings(coords: int, rows: int, batches):
     import pyarrow as pa
 
     salt = mix(np.arange(1, coords + 1, dtype=np.uint64))
     for batch in batches:
         sigs = batch.column("sig").to_pylist()
         for k in range(0, len(sigs), 4096):
-            rows = np.frombuffer(b"".join(sigs[k : k + 4096]), dtype=np.uint32).reshape(-1, coords)
-            key = mix(rows.astype(np.uint64) ^ salt).view(np.int64).ravel()
+            minima = np.frombuffer(b"".join(sigs[k : k + 4096]), dtype=np.uint32).reshape(-1, coords, rows)
+            key = np.broadcast_to(salt, minima.shape[:2])
+            for j in range(rows):
+                key = mix(key + minima[:, :, j])
             rep = np.repeat(batch.column("rep").to_numpy(zero_copy_only=False)[k : k + 4096], coords)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rep, type=pa.int64())], names=["key", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).ravel()), pa.array(rep, type=pa.int64())], names=["key", "rep"])
 
 
-def _colliding(coords: int, match: int, batches):
+def _colliding(coords: int, rows: int, match: int, batches):
     """The pairs (a, b) of which at least ``match`` coordinates collide."""
     import pyarrow as pa
 
     for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, coords) for c in ("ga", "gb"))
-        keep = pa.array((a == b).sum(axis=1) >= match)
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, coords, rows) for c in ("ga", "gb"))
+        keep = pa.array((a == b).all(axis=2).sum(axis=1) >= match)
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
+def _spread(batches):
+    """(h, rep) for each shingle of each set."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for rep, v in zip(batch.column("rep").to_pylist(), batch.column("shingles"), strict=True):
+            h = np.frombuffer(v.as_buffer(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), rep, dtype=np.int64))], names=["h", "rep"])
+
+
 def _confirmed(percent: int, batches):
     """The pairs (a, b) whose full sets have at least ``percent`` % in common."""
     import pyarrow as pa
@@ -125,14 +140,14 @@ def _confirmed(percent: int, batches):
 class _Links:
     """Candidate search and confirmation over the classes of one corpus."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, key: str, text: str, width: int, percent: int, coords: int, match: int):
-        self.percent, self.coords, self.match, self.classes = percent, coords, match, classes
+    def __init__(self, docs: DataFrame, classes: DataFrame, key: str, text: str, width: int, percent: int, shape: tuple[int, int, int]):
+        self.percent, self.classes, (self.coords, self.rows, self.match) = percent, classes, shape
         spark = docs.sparkSession
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         # one exchange serves both the count and the join
-        posts = classes.select("rep", "sig").mapInArrow(partial(_postings, coords), "key long, rep long").repartition(n, "key")
+        posts = classes.select("rep", "sig").mapInArrow(partial(_postings, self.coords, self.rows), "key long, rep long").repartition(n, "key")
         shared = posts.join(posts.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"), "key")
-        prefix = F.slice(F.array_sort(F.collect_list(F.struct("df", "key"))), 1, F.greatest(F.count("*").cast("int") - (match - 1), F.lit(0)))
+        prefix = F.slice(F.array_sort(F.collect_list(F.struct("df", "key"))), 1, F.greatest(F.count("*").cast("int") - (self.match - 1), F.lit(0)))
         held = shared.groupBy("rep").agg(prefix.alias("p")).select("rep", F.explode("p.key").alias("key"))
         self.lists = materialize(held.join(classes.select("rep", "n"), "rep"), "postings")
         ids = self.lists.select("rep").distinct()
@@ -146,49 +161,71 @@ class _Links:
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
         sig = self.classes.select("rep", "sig")
-        near = pairs.join(sig.toDF("a", "ga"), "a").join(sig.toDF("b", "gb"), "b").mapInArrow(partial(_colliding, self.coords, self.match), "a long, b long")
-        sets = self.sets
-        full = near.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+        colliding = partial(_colliding, self.coords, self.rows, self.match)
+        near = pairs.join(sig.toDF("a", "ga"), "a").join(sig.toDF("b", "gb"), "b").mapInArrow(colliding, "a long, b long")
+        full = near.join(self.sets.toDF("a", "sa"), "a").join(self.sets.toDF("b", "sb"), "b")
         return materialize(full.select("a", "b", "sa", "sb").mapInArrow(partial(_confirmed, self.percent), "a long, b long"), "links")
 
-    def to_leaders(self) -> DataFrame:
-        """Each class with that leader of its lists that it meets most often."""
-        lead = self.lists.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("l"), F.count("*").alias("size")).where("size > 1").select("key", F.col("l.rep").alias("b"), F.col("l.n").alias("m"))
-        met = self.lists.join(lead, "key").where((F.col("rep") != F.col("b")) & self._fits("n", "m")).groupBy("rep", "b").agg(F.count("*").alias("c"))
+    def to_leaders(self, rows: DataFrame, salt: int) -> DataFrame:
+        """Each class with that leader, of another component, that it meets most often in its lists."""
+        rank = F.xxhash64(F.lit(salt), "rep")
+        lead = rows.groupBy("key").agg(F.min(F.struct(rank.alias("h"), "rep", "n", "comp")).alias("l")).select("key", F.col("l.rep").alias("b"), F.col("l.n").alias("m"), F.col("l.comp").alias("cb"))
+        met = rows.join(lead, "key").where((F.col("comp") != F.col("cb")) & self._fits("n", "m")).groupBy("rep", "b").agg(F.count("*").alias("c"))
         return met.groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("c", (-F.col("b")).alias("b"))).alias("t")).select("a", (-F.col("t.b")).alias("b"))
 
-    def apart(self, links: DataFrame) -> DataFrame:
-        """The lists that still hold several components, with the component of each entry."""
-        of = connected_components(links).toDF("rep", "comp")
-        rows = self.lists.join(of, "rep", "left").select("key", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
+    def open_lists(self, rows: DataFrame) -> DataFrame:
+        """The rows of lists that hold several components."""
         open_ = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-        return materialize(rows.join(open_, "key", "left_semi"), "open-lists")
+        return rows.join(open_, "key", "left_semi")
+
+    def renamed(self, rows: DataFrame, links: DataFrame) -> DataFrame:
+        """``rows`` with the components of ``links``, those of closed lists left out."""
+        of = connected_components(links).toDF("rep", "now")
+        rows = rows.join(of, "rep", "left").select("key", "rep", "n", F.coalesce("now", "rep").alias("comp"))
+        return materialize(self.open_lists(rows), "open-lists")
+
+    def alive(self, rows: DataFrame) -> DataFrame:
+        """The rows of classes that share enough of their shingles with others of these lists to be linked."""
+        reps = rows.select("rep", "n").distinct()
+        each = self.sets.join(reps, "rep", "left_semi").mapInArrow(_spread, "h long, rep long").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "h")
+        common = each.join(each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").select("h"), "h")
+        enough = common.groupBy("rep").agg(F.count("*").alias("s")).join(reps, "rep").where(F.col("s") * 100 >= F.col("n") * self.percent).select("rep")
+        return materialize(self.open_lists(rows.join(enough, "rep", "left_semi")), "alive")
 
     def across(self, rows: DataFrame) -> DataFrame:
-        """All pairs of a list whose components differ."""
-        left = rows.select("key", F.col("rep").alias("a"), F.col("n"), F.col("comp").alias("ca"))
-        right = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"))
-        return left.join(right, "key").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & self._fits("n", "m")).select("a", "b").distinct()
+        """All pairs of other components that share a list, each from its first common list.
+
+        The largest component of a list stands on the right only: the work is
+        the number of the others times the length of the list.
+        """
+        main = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
+        rows = rows.join(rows.groupBy("rep").agg(F.collect_set("key").alias("keys")), "rep").join(main, "key")
+        left = rows.where("comp <> main").select("key", F.col("rep").alias("a"), "n", F.col("comp").alias("ca"), F.col("keys").alias("ka"))
+        right = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("keys").alias("kb"), (F.col("comp") == F.col("main")).alias("own"))
+        first = F.array_min(F.array_intersect("ka", "kb")) == left["key"]
+        apart = (F.col("ca") != F.col("cb")) & (F.col("own") | (F.col("a") > F.col("b"))) & self._fits("n", "m")
+        return left.join(right, (left["key"] == right["key"]) & apart & first).select("a", "b").distinct()
 
     def all(self) -> DataFrame:
         """Links (a, b) between classes that have the components of all links."""
-        links = self.confirm(self.to_leaders())
-        one = self.apart(links)
-        one = one.groupBy("key", "comp").agg(F.min(F.struct("rep", "n")).alias("r")).select("key", "comp", "r.rep", "r.n")
-        links = links.union(self.confirm(self.across(one)))
-        return links.union(self.confirm(self.across(self.apart(links))))
+        rows = self.lists.withColumn("comp", F.col("rep"))
+        links = self.confirm(self.to_leaders(rows, 1))
+        rows = self.renamed(rows, links)
+        links = links.union(self.confirm(self.to_leaders(rows, 2)))
+        rows = self.alive(self.renamed(rows, links))
+        return links.union(self.confirm(self.across(rows)))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 48, match: int = 24) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of ``docs``.
 
     Rows are linked if their sets of ``width``-word shingles have a Jaccard
     similarity of at least ``percent`` %; the component is named by its smallest
     id, and the row of that id is kept.
     """
-    rows = materialize(map_texts(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), ["id"], "text", partial(sketches, width, coords), "n long, f1 long, f2 long, sig binary"), "sketches")
+    rows = materialize(map_texts(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), ["id"], "text", partial(sketches, width, coords * rows_each), "n long, f1 long, f2 long, sig binary"), "sketches")
     classes = materialize(rows.where("n > 0 and id is not null").groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"), F.max("sig").alias("sig")), "classes")
-    links = _Links(docs, classes, key, text, width, percent, coords, match).all()
+    links = _Links(docs, classes, key, text, width, percent, (coords, rows_each, match)).all()
     of = connected_components(links).toDF("rep", "comp")
     # an id that stands for several classes joins them: its rows are one document
     named = classes.select("f1", "f2", "n", "rep").join(of, "rep", "left").select("f1", "f2", "n", F.coalesce("comp", "rep").alias("comp"))
