@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from screenwright.llm import mixing, neardup, quality, sharding, toxicity
+from screenwright.llm import decontamination, mixing, neardup, quality, sharding, toxicity
 
 
 def queries() -> dict:
     return {
         "op3_quality_rules": quality.op3,
+        "op4_decontamination": decontamination.op4,
         "op5_toxicity": toxicity.op5,
         "op7_minhash_neardup": neardup.op7,
         "op9_source_mixing": mixing.op9,
