@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from screenwright.llm import decontamination, mixing, neardup, quality, sharding, toxicity
+from screenwright.llm import decontamination, mixing, neardup, pii, quality, sharding, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_pii": pii.op1,
         "op3_quality_rules": quality.op3,
         "op4_decontamination": decontamination.op4,
         "op5_toxicity": toxicity.op5,
