@@ -234,6 +234,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
 
 
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of ``docs`` for each group; rows with a null id stay."""
+    gone = materialize(near_duplicates(docs, key, text, **options).where("not kept").select(key).distinct(), "near-copies")
+    left = docs.join(bounded_broadcast(gone, BROADCAST_IDS), key, "left_anti")
+    # rows of one id: its first text
+    known = left.where(F.col(key).isNotNull())
+    twice = materialize(known.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated-ids")
+    if twice.limit(1).count() == 0:
+        return left
+    again = F.broadcast(twice) if twice.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else twice
+    first = known.join(again, key, "left_semi").groupBy(key).agg(F.min(F.struct(F.col(text), *[F.col(f"`{c}`") for c in docs.columns if c not in (key, text)])).alias("_sw"))
+    first = first.select(*[F.col(key) if c == key else F.col(f"_sw.`{c}`") for c in docs.columns])
+    return left.join(again, key, "left_anti").unionByName(first)
+
+
 def op7(spark, sf_dir: str) -> DataFrame:
     from screenwright.llm.tables import table
 

@@ -236,15 +236,29 @@ def held_out(key: str):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, held_out, score) of every row of ``docs``; ``labels`` has (key, toxic)."""
+def fitted(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text"):
+    """The kernel that scores texts: the character model of ``docs`` and what ``labels`` (key, toxic) teach."""
     model = character_model(docs, text)
     known = labels.where(~held_out(key) & F.col("toxic").isNotNull()).groupBy(key).agg(F.max("toxic").alias("toxic"))
     sample = known.orderBy(F.xxhash64(key), key).limit(train_rows)
     rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key)
     words = materialize(map_texts(rows, [key, "toxic"], "text", partial(_restored, model), "words array<string>"), "toxic-words")
     lexicon, base = learn([(bool(t), list(w)) for t, w in words.select("toxic", "words").toPandas().itertuples(index=False)])
-    return map_texts(docs.select(key, held_out(key).alias("held_out"), text), [key, "held_out"], text, partial(_scores, model, lexicon, base), "score double")
+    return partial(_scores, model, lexicon, base)
+
+
+def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, held_out, score) of every row of ``docs``; ``labels`` has (key, toxic)."""
+    kernel = fitted(docs, labels, train_rows, key, text)
+    return map_texts(docs.select(key, held_out(key).alias("held_out"), text), [key, "held_out"], text, kernel, "score double")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``; they pass by without a shuffle."""
+    kernel = fitted(docs, labels, train_rows, key, text)
+    own = docs.columns
+    rows = map_texts(docs.withColumn("_sw_text", F.col(f"`{text}`")), own, "_sw_text", kernel, "_sw_score double")
+    return rows.where(F.col("_sw_score") < threshold).select(*[F.col(f"`{c}`") for c in own])
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
