@@ -16,10 +16,12 @@
     other leaders the second time); confirmed links are joined to components.
     In lists that still hold several components, classes of which over a fifth
     of the shingles occur nowhere else in such lists can't be linked at all and
-    leave; those that stay meet the classes of other components pair by pair,
-    each pair in one list only.  Only pairs whose components are already known
-    are skipped, so no component is lost, and a group of n near copies costs
-    about n links, not n squared.
+    leave.  Those that stay meet the classes of other components: small ones
+    pair by pair, each pair in one list only; large ones in blocks of bounded
+    size, where a kernel counts common shingles by merging and reports a class
+    at most once a block, so that a large group never becomes rows of pairs.
+    Only pairs whose components are already known are skipped, so no component
+    is lost.
 5.  A match is confirmed on the full shingle sets (64-bit hashes).
 
 A pair at the similarity threshold 0.8 is missed with a probability of about
@@ -48,6 +50,8 @@ _MULTIPLY = _RNG.integers(0, 1 << 31, 256, dtype=np.uint32) * np.uint32(2) + np.
 _ADD = _RNG.integers(0, 1 << 32, 256, dtype=np.uint32)
 #: Ids are broadcast up to so many rows (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
+#: Components from this size on are met in blocks of about so many shingles.
+LARGE, BLOCK_SHINGLES = 8, 1 << 16
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -137,6 +141,32 @@ def _confirmed(percent: int, batches):
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
+def _first_links(percent: int, batches):
+    """(a, b): for each class of a block the first class of the other block that it can be linked to."""
+    import pyarrow as pa
+
+    for batch in batches:
+        out: list[tuple[int, int]] = []
+        for mine, theirs in zip(batch.column("mine"), batch.column("theirs"), strict=True):
+            mine, theirs = mine.as_py(), theirs.as_py()
+            sets = [np.frombuffer(r["s"], dtype=np.uint64) for r in theirs]
+            sizes = np.array([len(x) for x in sets])
+            value, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(value, kind="stable")
+            value, owner = value[order], owner[order]
+            for r in mine:
+                x = np.frombuffer(r["s"], dtype=np.uint64)
+                lo, hi = np.searchsorted(value, x, "left"), np.searchsorted(value, x, "right")
+                n = hi - lo
+                to = np.cumsum(n)
+                both = np.bincount(owner[np.arange(to[-1]) + np.repeat(lo - to + n, n)], minlength=len(sets))
+                hit = np.flatnonzero(100 * both >= percent * (len(x) + sizes - both))
+                if len(hit):
+                    out.append((r["rep"], theirs[hit[0]]["rep"]))
+        a, b = zip(*out, strict=True) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
+
+
 class _Links:
     """Candidate search and confirmation over the classes of one corpus."""
 
@@ -147,9 +177,10 @@ class _Links:
         # one exchange serves both the count and the join
         posts = classes.select("rep", "sig").mapInArrow(partial(_postings, self.coords, self.rows), "key long, rep long").repartition(n, "key")
         shared = posts.join(posts.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"), "key")
-        prefix = F.slice(F.array_sort(F.collect_list(F.struct("df", "key"))), 1, F.greatest(F.count("*").cast("int") - (self.match - 1), F.lit(0)))
-        held = shared.groupBy("rep").agg(prefix.alias("p")).select("rep", F.explode("p.key").alias("key"))
-        self.lists = materialize(held.join(classes.select("rep", "n"), "rep"), "postings")
+        held = shared.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("k")).where(F.size("k") >= self.match)
+        self.keys = materialize(held.select("rep", F.col("k.key").alias("every")), "keys")
+        prefix = F.slice("every", F.lit(1), F.size("every") - (self.match - 1))
+        self.lists = materialize(self.keys.select("rep", F.explode(prefix).alias("key")).join(classes.select("rep", "n"), "rep"), "postings")
         ids = self.lists.select("rep").distinct()
         mine = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(bounded_broadcast(ids, BROADCAST_IDS), "rep", "left_semi")
         sets = map_texts(mine, ["rep"], "text", lambda texts: [[s.tobytes() for s in shingle_sets(texts, width)]], "shingles binary")
@@ -166,9 +197,9 @@ class _Links:
         full = near.join(self.sets.toDF("a", "sa"), "a").join(self.sets.toDF("b", "sb"), "b")
         return materialize(full.select("a", "b", "sa", "sb").mapInArrow(partial(_confirmed, self.percent), "a long, b long"), "links")
 
-    def to_leaders(self, rows: DataFrame, salt: int) -> DataFrame:
-        """Each class with that leader, of another component, that it meets most often in its lists."""
-        rank = F.xxhash64(F.lit(salt), "rep")
+    def to_leaders(self, rows: DataFrame, *rank_by: str) -> DataFrame:
+        """Each class with that leader, of another component, that it meets most often in its lists; the hash of ``rank_by`` ranks leaders."""
+        rank = F.xxhash64(*rank_by)
         lead = rows.groupBy("key").agg(F.min(F.struct(rank.alias("h"), "rep", "n", "comp")).alias("l")).select("key", F.col("l.rep").alias("b"), F.col("l.n").alias("m"), F.col("l.comp").alias("cb"))
         met = rows.join(lead, "key").where((F.col("comp") != F.col("cb")) & self._fits("n", "m")).groupBy("rep", "b").agg(F.count("*").alias("c"))
         return met.groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("c", (-F.col("b")).alias("b"))).alias("t")).select("a", (-F.col("t.b")).alias("b"))
@@ -193,27 +224,51 @@ class _Links:
         return materialize(self.open_lists(rows.join(enough, "rep", "left_semi")), "alive")
 
     def across(self, rows: DataFrame) -> DataFrame:
-        """All pairs of other components that share a list, each from its first common list.
+        """All pairs of other, small components that share a list and enough coordinates, each from its first common list.
 
-        The largest component of a list stands on the right only: the work is
-        the number of the others times the length of the list.
+        The largest component of a list stands on the right only.
         """
         main = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
-        rows = rows.join(rows.groupBy("rep").agg(F.collect_set("key").alias("keys")), "rep").join(main, "key")
-        left = rows.where("comp <> main").select("key", F.col("rep").alias("a"), "n", F.col("comp").alias("ca"), F.col("keys").alias("ka"))
-        right = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("keys").alias("kb"), (F.col("comp") == F.col("main")).alias("own"))
+        rows = rows.join(rows.groupBy("rep").agg(F.collect_set("key").alias("keys")), "rep").join(self.keys, "rep").join(main, "key")
+        left = rows.where("comp <> main").select("key", F.col("rep").alias("a"), "n", F.col("comp").alias("ca"), F.col("keys").alias("ka"), F.col("every").alias("ea"))
+        right = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("keys").alias("kb"), F.col("every").alias("eb"), (F.col("comp") == F.col("main")).alias("own"))
+        enough = F.size(F.array_intersect("ea", "eb")) >= self.match
         first = F.array_min(F.array_intersect("ka", "kb")) == left["key"]
         apart = (F.col("ca") != F.col("cb")) & (F.col("own") | (F.col("a") > F.col("b"))) & self._fits("n", "m")
-        return left.join(right, (left["key"] == right["key"]) & apart & first).select("a", "b").distinct()
+        return left.join(right, (left["key"] == right["key"]) & apart & enough & first).select("a", "b").distinct()
+
+    def _blocks(self, rows: DataFrame, name: str) -> DataFrame:
+        """(to, name): the sets of ``rows`` (to, rep, n), dealt to blocks of about BLOCK_SHINGLES shingles."""
+        deal = rows.groupBy("to").agg(F.expr(f"(sum(n) div {BLOCK_SHINGLES}) + 1").alias("blocks"))
+        dealt = rows.join(deal, "to").select("to", "rep", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
+        return dealt.join(self.sets, "rep").groupBy("to", "block").agg(F.collect_list(F.struct("rep", F.col("shingles").alias("s"))).alias(name)).drop("block")
+
+    def to_large(self, rows: DataFrame, large: DataFrame) -> DataFrame:
+        """A link to each large component for every class of a smaller one that shares a list with it."""
+        size = rows.select("rep", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size"))
+        of = rows.join(size, "comp")
+        there = of.join(large, "comp", "left_semi").select("key", F.col("comp").alias("to"), F.col("size").alias("to_size")).distinct()
+        smaller = F.struct("size", "comp") < F.struct("to_size", "to")
+        visitors = of.join(there, "key").where(smaller).select("to", "rep", "n").distinct()
+        members = rows.join(large, "comp", "left_semi").select(F.col("comp").alias("to"), "rep", "n").distinct()
+        met = self._blocks(visitors, "mine").join(self._blocks(members, "theirs"), "to")
+        return materialize(met.select("mine", "theirs").mapInArrow(partial(_first_links, self.percent), "a long, b long"), "links")
 
     def all(self) -> DataFrame:
         """Links (a, b) between classes that have the components of all links."""
         rows = self.lists.withColumn("comp", F.col("rep"))
-        links = self.confirm(self.to_leaders(rows, 1))
+        links = self.confirm(self.to_leaders(rows, "rep"))
         rows = self.renamed(rows, links)
-        links = links.union(self.confirm(self.to_leaders(rows, 2)))
+        links = links.union(self.confirm(self.to_leaders(rows, "key", "rep")))
         rows = self.alive(self.renamed(rows, links))
-        return links.union(self.confirm(self.across(rows)))
+        while True:  # a large component that has grown is met again, by fewer and fewer classes
+            large = materialize(rows.select("rep", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE).select("comp"), "large")
+            more = self.to_large(rows, large)
+            if more.limit(1).count() == 0:
+                break
+            links = links.union(more)
+            rows = self.renamed(rows, links)
+        return links.union(self.confirm(self.across(self.open_lists(rows.join(large, "comp", "left_anti")))))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4) -> DataFrame:
