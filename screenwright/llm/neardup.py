@@ -12,16 +12,15 @@
     ``coords - match + 1`` postings (prefix filter), so only these rare ones
     are merged; the long lists behind the prefix are skipped and looked up in
     the signatures of the candidate pairs (as MergeSkip does).
-4.  Within a posting list each class first meets the list's leader (twice, with
-    other leaders the second time); confirmed links are joined to components.
-    In lists that still hold several components, classes of which over a fifth
-    of the shingles occur nowhere else in such lists can't be linked at all and
-    leave.  Those that stay meet the classes of other components: small ones
-    pair by pair, each pair in one list only; large ones in blocks of bounded
-    size, where a kernel counts common shingles by merging and reports a class
-    at most once a block, so that a large group never becomes rows of pairs.
-    Only pairs whose components are already known are skipped, so no component
-    is lost.
+4.  Within a posting list each class first meets the list's leader; confirmed
+    links are followed to groups.  In lists that still hold several groups,
+    classes of which over a fifth of the shingles occur nowhere else in such
+    lists can't be linked at all and leave.  Those that stay meet the classes of
+    other groups: large groups in blocks of bounded size, where a kernel counts
+    common shingles by merging and reports a class at most once a block, again
+    until none joins; small ones pair by pair, each pair in one list only.  So a
+    large group never becomes rows of pairs.  Only pairs of one group, whose
+    connection is known, are skipped: no component is lost.
 5.  A match is confirmed on the full shingle sets (64-bit hashes).
 
 A pair at the similarity threshold 0.8 is missed with a probability of about
@@ -142,12 +141,12 @@ def _confirmed(percent: int, batches):
 
 
 def _first_links(percent: int, batches):
-    """(a, b): for each class of a block the first class of the other block that it can be linked to."""
+    """(a, b, comp, to): for each class a, of group comp, of a block the first class b of the other block, of group to, that it can be linked to."""
     import pyarrow as pa
 
     for batch in batches:
-        out: list[tuple[int, int]] = []
-        for mine, theirs in zip(batch.column("mine"), batch.column("theirs"), strict=True):
+        out: list[tuple[int, int, int, int]] = []
+        for mine, theirs, to_group in zip(batch.column("mine"), batch.column("theirs"), batch.column("to").to_pylist(), strict=True):
             mine, theirs = mine.as_py(), theirs.as_py()
             sets = [np.frombuffer(r["s"], dtype=np.uint64) for r in theirs]
             sizes = np.array([len(x) for x in sets])
@@ -162,9 +161,9 @@ def _first_links(percent: int, batches):
                 both = np.bincount(owner[np.arange(to[-1]) + np.repeat(lo - to + n, n)], minlength=len(sets))
                 hit = np.flatnonzero(100 * both >= percent * (len(x) + sizes - both))
                 if len(hit):
-                    out.append((r["rep"], theirs[hit[0]]["rep"]))
-        a, b = zip(*out, strict=True) if out else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], names=["a", "b"])
+                    out.append((r["rep"], theirs[hit[0]]["rep"], r["comp"], to_group))
+        columns = zip(*out, strict=True) if out else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in columns], names=["a", "b", "comp", "to"])
 
 
 class _Links:
@@ -197,11 +196,10 @@ class _Links:
         full = near.join(self.sets.toDF("a", "sa"), "a").join(self.sets.toDF("b", "sb"), "b")
         return materialize(full.select("a", "b", "sa", "sb").mapInArrow(partial(_confirmed, self.percent), "a long, b long"), "links")
 
-    def to_leaders(self, rows: DataFrame, *rank_by: str) -> DataFrame:
-        """Each class with that leader, of another component, that it meets most often in its lists; the hash of ``rank_by`` ranks leaders."""
-        rank = F.xxhash64(*rank_by)
-        lead = rows.groupBy("key").agg(F.min(F.struct(rank.alias("h"), "rep", "n", "comp")).alias("l")).select("key", F.col("l.rep").alias("b"), F.col("l.n").alias("m"), F.col("l.comp").alias("cb"))
-        met = rows.join(lead, "key").where((F.col("comp") != F.col("cb")) & self._fits("n", "m")).groupBy("rep", "b").agg(F.count("*").alias("c"))
+    def to_leaders(self, rows: DataFrame) -> DataFrame:
+        """Each class with that leader that it meets most often in its lists; a hash ranks leaders."""
+        lead = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n")).alias("l")).select("key", F.col("l.rep").alias("b"), F.col("l.n").alias("m"))
+        met = rows.join(lead, "key").where((F.col("rep") != F.col("b")) & self._fits("n", "m")).groupBy("rep", "b").agg(F.count("*").alias("c"))
         return met.groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("c", (-F.col("b")).alias("b"))).alias("t")).select("a", (-F.col("t.b")).alias("b"))
 
     def open_lists(self, rows: DataFrame) -> DataFrame:
@@ -209,10 +207,15 @@ class _Links:
         open_ = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
         return rows.join(open_, "key", "left_semi")
 
-    def renamed(self, rows: DataFrame, links: DataFrame) -> DataFrame:
-        """``rows`` with the components of ``links``, those of closed lists left out."""
-        of = connected_components(links).toDF("rep", "now")
-        rows = rows.join(of, "rep", "left").select("key", "rep", "n", F.coalesce("now", "rep").alias("comp"))
+    def moved(self, rows: DataFrame, moves: DataFrame) -> DataFrame:
+        """``rows`` with groups joined as ``moves`` (comp, to; no cycles) says, closed lists left out.
+
+        Moves are followed up to four steps.  Groups that could be joined further
+        stay apart, which costs work but no link.
+        """
+        for _ in range(2):
+            moves = moves.join(moves.toDF("to", "further"), "to", "left").select("comp", F.coalesce("further", "to").alias("to"))
+        rows = rows.join(moves, "comp", "left").select("key", "rep", "n", F.coalesce("to", "comp").alias("comp"))
         return materialize(self.open_lists(rows), "open-lists")
 
     def alive(self, rows: DataFrame) -> DataFrame:
@@ -240,35 +243,33 @@ class _Links:
     def _blocks(self, rows: DataFrame, name: str) -> DataFrame:
         """(to, name): the sets of ``rows`` (to, rep, n), dealt to blocks of about BLOCK_SHINGLES shingles."""
         deal = rows.groupBy("to").agg(F.expr(f"(sum(n) div {BLOCK_SHINGLES}) + 1").alias("blocks"))
-        dealt = rows.join(deal, "to").select("to", "rep", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
-        return dealt.join(self.sets, "rep").groupBy("to", "block").agg(F.collect_list(F.struct("rep", F.col("shingles").alias("s"))).alias(name)).drop("block")
-
-    def to_large(self, rows: DataFrame, large: DataFrame) -> DataFrame:
-        """A link to each large component for every class of a smaller one that shares a list with it."""
-        size = rows.select("rep", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size"))
-        of = rows.join(size, "comp")
-        there = of.join(large, "comp", "left_semi").select("key", F.col("comp").alias("to"), F.col("size").alias("to_size")).distinct()
+        dealt = rows.join(deal, "to").select("to", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
+        return dealt.join(self.sets, "rep").groupBy("to", "block").agg(F.collect_list(F.struct("rep", "comp", F.col("shingles").alias("s"))).alias(name)).drop("block")
+
+    def to_large(self, rows: DataFrame, sizes: DataFrame) -> DataFrame:
+        """(a, b, comp, to): a link to each large group for the classes of smaller ones that share a list with it."""
+        large = sizes.where(F.col("size") >= LARGE)
+        of = rows.join(sizes, "comp")
+        there = rows.join(large, "comp").select("key", F.col("comp").alias("to"), F.col("size").alias("to_size")).distinct()
         smaller = F.struct("size", "comp") < F.struct("to_size", "to")
-        visitors = of.join(there, "key").where(smaller).select("to", "rep", "n").distinct()
-        members = rows.join(large, "comp", "left_semi").select(F.col("comp").alias("to"), "rep", "n").distinct()
+        visitors = of.join(there, "key").where(smaller).select("to", "rep", "comp", "n").distinct()
+        members = rows.join(large, "comp", "left_semi").select(F.col("comp").alias("to"), "rep", "comp", "n").distinct()
         met = self._blocks(visitors, "mine").join(self._blocks(members, "theirs"), "to")
-        return materialize(met.select("mine", "theirs").mapInArrow(partial(_first_links, self.percent), "a long, b long"), "links")
+        return materialize(met.select("to", "mine", "theirs").mapInArrow(partial(_first_links, self.percent), "a long, b long, comp long, to long"), "links")
 
     def all(self) -> DataFrame:
         """Links (a, b) between classes that have the components of all links."""
-        rows = self.lists.withColumn("comp", F.col("rep"))
-        links = self.confirm(self.to_leaders(rows, "rep"))
-        rows = self.renamed(rows, links)
-        links = links.union(self.confirm(self.to_leaders(rows, "key", "rep")))
-        rows = self.alive(self.renamed(rows, links))
-        while True:  # a large component that has grown is met again, by fewer and fewer classes
-            large = materialize(rows.select("rep", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE).select("comp"), "large")
-            more = self.to_large(rows, large)
+        links = self.confirm(self.to_leaders(self.lists))
+        rows = self.alive(self.moved(self.lists.withColumn("comp", F.col("rep")), links.toDF("comp", "to")))
+        while True:  # a large group that has grown is met again, by fewer and fewer classes
+            sizes = materialize(rows.select("rep", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size")), "sizes")
+            more = self.to_large(rows, sizes)
             if more.limit(1).count() == 0:
                 break
-            links = links.union(more)
-            rows = self.renamed(rows, links)
-        return links.union(self.confirm(self.across(self.open_lists(rows.join(large, "comp", "left_anti")))))
+            links = links.union(more.select("a", "b"))
+            rows = self.moved(rows, more.groupBy("comp").agg(F.min("to").alias("to")))
+        small = self.open_lists(rows.join(sizes.where(F.col("size") >= LARGE), "comp", "left_anti"))
+        return links.union(self.confirm(self.across(small)))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4) -> DataFrame:
