@@ -19,9 +19,9 @@ def connection(sf_dir: str):
 
 def canonical(frame: pd.DataFrame) -> list[tuple]:
     def one(v):
-        if v is None or v is pd.NaT or isinstance(v, float) and v != v:
+        if v is None or pd.api.types.is_scalar(v) and pd.isna(v):
             return "NULL"
-        if isinstance(v, float):
+        if isinstance(v, (float, int)) and not isinstance(v, bool):  # pandas makes floats of nullable integers
             return f"{v:.6f}"
         return repr(list(v)) if hasattr(v, "__iter__") and not isinstance(v, (str, bytes)) else str(v)
 
