@@ -61,3 +61,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     should be cheap to count (a small aggregate or a materialised table).
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def release(spark: SparkSession) -> None:
+    """Removes every table that this engine has left in the shared folder; results not yet written are lost with them."""
+    remove(spark, f"{shared_root(spark)}/screenwright")
