@@ -16,10 +16,11 @@
     links are followed to groups.  In lists that still hold several groups,
     classes of which over a fifth of the shingles occur nowhere else in such
     lists can't be linked at all and leave.  Those that stay meet the classes of
-    other groups: large groups in blocks of bounded size, where a kernel counts
-    common shingles by merging and reports a class at most once a block, again
-    until none joins; small ones pair by pair, each pair in one list only.  So a
-    large group never becomes rows of pairs.  Only pairs of one group, whose
+    other groups.  A large group and all classes that share a list with it are
+    dealt to blocks of bounded size; a kernel counts common shingles by merging
+    and reports only links that join two groups of its blocks.  The others, in
+    small groups, meet pair by pair, each pair in one list only.  So a large
+    group never becomes rows of pairs.  Only pairs of one group, whose
     connection is known, are skipped: no component is lost.
 5.  A match is confirmed on the full shingle sets (64-bit hashes).
 
@@ -140,14 +141,21 @@ def _confirmed(percent: int, batches):
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
-def _first_links(percent: int, batches):
-    """(a, b, comp, to): for each class a, of group comp, of a block the first class b of the other block, of group to, that it can be linked to."""
+def _joining(percent: int, batches):
+    """(a, b): links between the classes of two blocks, as many as join their groups; the other links would add nothing."""
     import pyarrow as pa
 
     for batch in batches:
-        out: list[tuple[int, int, int, int]] = []
-        for mine, theirs, to_group in zip(batch.column("mine"), batch.column("theirs"), batch.column("to").to_pylist(), strict=True):
+        out: list[tuple[int, int]] = []
+        for mine, theirs in zip(batch.column("mine"), batch.column("theirs"), strict=True):
             mine, theirs = mine.as_py(), theirs.as_py()
+            root = {r["comp"]: r["comp"] for r in (*mine, *theirs)}
+
+            def find(x, root=root):
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
             sets = [np.frombuffer(r["s"], dtype=np.uint64) for r in theirs]
             sizes = np.array([len(x) for x in sets])
             value, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -159,11 +167,13 @@ def _first_links(percent: int, batches):
                 n = hi - lo
                 to = np.cumsum(n)
                 both = np.bincount(owner[np.arange(to[-1]) + np.repeat(lo - to + n, n)], minlength=len(sets))
-                hit = np.flatnonzero(100 * both >= percent * (len(x) + sizes - both))
-                if len(hit):
-                    out.append((r["rep"], theirs[hit[0]]["rep"], r["comp"], to_group))
-        columns = zip(*out, strict=True) if out else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in columns], names=["a", "b", "comp", "to"])
+                for k in np.flatnonzero(100 * both >= percent * (len(x) + sizes - both)):
+                    p, q = find(r["comp"]), find(theirs[k]["comp"])
+                    if p != q:
+                        root[max(p, q)] = min(p, q)
+                        out.append((r["rep"], theirs[k]["rep"]))
+        columns = zip(*out, strict=True) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in columns], names=["a", "b"])
 
 
 class _Links:
@@ -226,18 +236,20 @@ class _Links:
         enough = common.groupBy("rep").agg(F.count("*").alias("s")).join(reps, "rep").where(F.col("s") * 100 >= F.col("n") * self.percent).select("rep")
         return materialize(self.open_lists(rows.join(enough, "rep", "left_semi")), "alive")
 
-    def across(self, rows: DataFrame) -> DataFrame:
-        """All pairs of other, small components that share a list and enough coordinates, each from its first common list.
+    def across(self, rows: DataFrame, visits: DataFrame) -> DataFrame:
+        """All pairs of other, small groups that share a list and enough coordinates, each from its first common list.
 
-        The largest component of a list stands on the right only.
+        Pairs that visit the same large group have met there.  The largest group
+        of a list stands on the right only.
         """
         main = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
         rows = rows.join(rows.groupBy("rep").agg(F.collect_set("key").alias("keys")), "rep").join(self.keys, "rep").join(main, "key")
-        left = rows.where("comp <> main").select("key", F.col("rep").alias("a"), "n", F.col("comp").alias("ca"), F.col("keys").alias("ka"), F.col("every").alias("ea"))
-        right = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("keys").alias("kb"), F.col("every").alias("eb"), (F.col("comp") == F.col("main")).alias("own"))
+        rows = rows.join(visits.groupBy("rep").agg(F.collect_set("to").alias("to")), "rep", "left").withColumn("to", F.coalesce("to", F.array().cast("array<bigint>")))
+        left = rows.where("comp <> main").select("key", F.col("rep").alias("a"), "n", F.col("comp").alias("ca"), F.col("keys").alias("ka"), F.col("every").alias("ea"), F.col("to").alias("ta"))
+        right = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("keys").alias("kb"), F.col("every").alias("eb"), F.col("to").alias("tb"), (F.col("comp") == F.col("main")).alias("own"))
         enough = F.size(F.array_intersect("ea", "eb")) >= self.match
         first = F.array_min(F.array_intersect("ka", "kb")) == left["key"]
-        apart = (F.col("ca") != F.col("cb")) & (F.col("own") | (F.col("a") > F.col("b"))) & self._fits("n", "m")
+        apart = (F.col("ca") != F.col("cb")) & (F.col("own") | (F.col("a") > F.col("b"))) & self._fits("n", "m") & ~F.arrays_overlap("ta", "tb")
         return left.join(right, (left["key"] == right["key"]) & apart & enough & first).select("a", "b").distinct()
 
     def _blocks(self, rows: DataFrame, name: str) -> DataFrame:
@@ -246,30 +258,27 @@ class _Links:
         dealt = rows.join(deal, "to").select("to", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
         return dealt.join(self.sets, "rep").groupBy("to", "block").agg(F.collect_list(F.struct("rep", "comp", F.col("shingles").alias("s"))).alias(name)).drop("block")
 
-    def to_large(self, rows: DataFrame, sizes: DataFrame) -> DataFrame:
-        """(a, b, comp, to): a link to each large group for the classes of smaller ones that share a list with it."""
-        large = sizes.where(F.col("size") >= LARGE)
-        of = rows.join(sizes, "comp")
-        there = rows.join(large, "comp").select("key", F.col("comp").alias("to"), F.col("size").alias("to_size")).distinct()
+    def visits(self, rows: DataFrame, sizes: DataFrame) -> DataFrame:
+        """(to, rep, comp, n): the classes of smaller groups that share a list with a large group ``to``."""
+        there = rows.join(sizes.where(F.col("size") >= LARGE), "comp").select("key", F.col("comp").alias("to"), F.col("size").alias("to_size")).distinct()
         smaller = F.struct("size", "comp") < F.struct("to_size", "to")
-        visitors = of.join(there, "key").where(smaller).select("to", "rep", "comp", "n").distinct()
-        members = rows.join(large, "comp", "left_semi").select(F.col("comp").alias("to"), "rep", "comp", "n").distinct()
-        met = self._blocks(visitors, "mine").join(self._blocks(members, "theirs"), "to")
-        return materialize(met.select("to", "mine", "theirs").mapInArrow(partial(_first_links, self.percent), "a long, b long, comp long, to long"), "links")
+        return materialize(rows.join(sizes, "comp").join(there, "key").where(smaller).select("to", "rep", "comp", "n").distinct(), "visits")
+
+    def to_large(self, rows: DataFrame, sizes: DataFrame, visits: DataFrame) -> DataFrame:
+        """Links that join the visitors of each large group with it and with each other."""
+        members = rows.join(sizes.where(F.col("size") >= LARGE), "comp").select(F.col("comp").alias("to"), "rep", "comp", "n").distinct()
+        met = self._blocks(visits, "mine").join(self._blocks(members.union(visits), "theirs"), "to")
+        return materialize(met.select("mine", "theirs").mapInArrow(partial(_joining, self.percent), "a long, b long"), "links")
 
     def all(self) -> DataFrame:
         """Links (a, b) between classes that have the components of all links."""
         links = self.confirm(self.to_leaders(self.lists))
         rows = self.alive(self.moved(self.lists.withColumn("comp", F.col("rep")), links.toDF("comp", "to")))
-        while True:  # a large group that has grown is met again, by fewer and fewer classes
-            sizes = materialize(rows.select("rep", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size")), "sizes")
-            more = self.to_large(rows, sizes)
-            if more.limit(1).count() == 0:
-                break
-            links = links.union(more.select("a", "b"))
-            rows = self.moved(rows, more.groupBy("comp").agg(F.min("to").alias("to")))
+        sizes = materialize(rows.select("rep", "comp").distinct().groupBy("comp").agg(F.count("*").alias("size")), "sizes")
+        visits = self.visits(rows, sizes)
+        links = links.union(self.to_large(rows, sizes, visits))
         small = self.open_lists(rows.join(sizes.where(F.col("size") >= LARGE), "comp", "left_anti"))
-        return links.union(self.confirm(self.across(small)))
+        return links.union(self.confirm(self.across(small, visits)))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4) -> DataFrame:
