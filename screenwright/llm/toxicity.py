@@ -57,10 +57,14 @@ for _i, _c in enumerate(LETTERS):
 _AT = {c: i + 1 for i, c in enumerate(LETTERS)}
 _WORD = re.compile(r"[^\W\d_]+")
 _LEET_CLASS = re.escape("".join(LEET))
-#: A token with a look-alike beside a letter, or a letter three times in a row.
-_DISGUISED = re.compile(rf"(?=[^\s]*[^\W\d_][{_LEET_CLASS}]|[^\s]*[{_LEET_CLASS}][^\W\d_]|[^\s]*([^\W\d_])\1\1|[^\s]*[^\W\d_][._~'-][^\W\d_])(?<!\S)\S+")
-#: At least four single characters set apart in the same way.
-_SPACED = re.compile(rf"(?<!\S)[\w{_LEET_CLASS}](?:([ ._~-])[\w{_LEET_CLASS}])(?:\1[\w{_LEET_CLASS}]){{2,}}(?![^\s.,;:!?])")
+#: Within a token: a look-alike beside a letter, a letter three times in a row, or letters set apart.
+_DISGUISED = re.compile(rf"[^\W\d_][{_LEET_CLASS}]|[{_LEET_CLASS}][^\W\d_]|([^\W\d_])\1\1|[^\W\d_][._~'-][^\W\d_]")
+#: At least four single characters with a space between.
+_SPACED = re.compile(rf"(?<!\S)[\w{_LEET_CLASS}](?: [\w{_LEET_CLASS}]){{3,}}(?![^\s.,;:!?])")
+#: Marks around a token; an exclamation mark in front may be a letter.
+_BEFORE, _AFTER = ".,;:?\"'()[]{}«»“”‘’…-", ".,;:?!\"'()[]{}«»“”‘’…-"
+#: A worker remembers the words of so many tokens.
+REMEMBERED = 200_000
 
 
 def trigram_counts(batches):
@@ -122,19 +126,26 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.model, self.known = model, {}
 
+    def words(self, token: str) -> tuple[str, ...]:
+        core = token.lstrip(_BEFORE).rstrip(_AFTER)
+        plain = (core,) if core.isalpha() else tuple(_WORD.findall(core))
+        return (*plain, restore(core, self.model)) if _DISGUISED.search(core) else plain
+
     def __call__(self, text: str) -> set[str]:
         text = text.lower()
-        words = set(_WORD.findall(text))
-        found = {m.group() for m in _DISGUISED.finditer(text)}
-        found.update(m.group() for m in _SPACED.finditer(text))
-        for token in found:
-            if token not in self.known:
-                if len(self.known) > 50_000:
-                    self.known.clear()
-                self.known[token] = restore(token.strip(".,;:?!\"()'"), self.model)
-            words.add(self.known[token])
-        words.discard("")
-        return words
+        tokens, known = set(text.split()), self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        out: set[str] = set()
+        for token in tokens:
+            words = known.get(token)
+            if words is None:
+                words = known[token] = self.words(token)
+            out.update(words)
+        if sum(len(t) == 1 for t in tokens) > 1:
+            out.update(restore(m.group(), self.model) for m in _SPACED.finditer(text))
+        out.discard("")
+        return out
 
 
 def _restored(model: np.ndarray, texts: list[bytes]) -> list:
@@ -216,14 +227,13 @@ def _scores(model: np.ndarray, lexicon: dict[str, float], base: float, texts: li
     """The noisy-or over the words of each text; a word speaks through its likeliest feature only."""
     r = Restorer(model)
     whole = {f[:-1] for f in lexicon if f.endswith("$")}
-    begins = {n: {f for f in lexicon if len(f) == n and not f.endswith("$")} for n in PREFIXES}
-    begins = {n: d for n, d in begins.items() if d}
+    begins = {f for f in lexicon if not f.endswith("$")}
+    short = {f[: PREFIXES[0]] for f in begins}
     out = []
     for t in texts:
         words = r(t.decode("utf-8", "replace"))
         hits = words & whole
-        for n, d in begins.items():
-            hits.update(w for w in words if w[:n] in d)
+        hits.update(w for w in words if w[: PREFIXES[0]] in short and any(w[:n] in begins for n in PREFIXES))
         clear = 1 - base
         for w in sorted(hits):
             clear *= 1 - max(lexicon.get(w + "$", 0.0), *(lexicon.get(w[:n], 0.0) for n in PREFIXES))
