@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenwright.functions.text import normalize
+from screenwright.functions.text import ngrams, normalize
 from screenwright.operators.components import connected_components
 from screenwright.storage import materialize
 
@@ -179,3 +179,16 @@ def canonical(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
     """``rows`` with ``is_canonical``: the earliest of each group (ties kept by ``order`` being unique)."""
     w = Window.partitionBy(group)
     return rows.withColumn("is_canonical", F.struct(*order) == F.min(F.struct(*order)).over(w))
+
+
+def md5_bands(rows: DataFrame, id: str, text: Column, bands: int, rows_each: int, width: int = WIDTH) -> DataFrame:
+    """As ``banded`` with an MD5 hash family, all in the JVM: for few permutations and short texts, and for comparison with other engines."""
+    # a lambda evaluates what it captures once per element, so the normalised texts and the windows are written first
+    norm = materialize(rows.select(F.col(id).alias("id"), normalize(text).alias("t")).where(F.length("t") > 0), "normalised")
+    held = materialize(norm.select("id", F.array_distinct(ngrams(F.col("t"), width)).alias("g")), "ngrams")
+
+    def least(k: int) -> Column:
+        return F.array_min(F.transform("g", lambda x: F.md5(F.concat(F.lit(f"{k}:"), x).cast("binary"))))
+
+    keys = [F.concat_ws("|", *[least(b * rows_each + r) for r in range(rows_each)]) for b in range(bands)]
+    return held.select("id", F.posexplode(F.array(*keys)).alias("band", "hash"))

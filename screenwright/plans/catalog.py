@@ -140,6 +140,32 @@ def char_ngrams_count(spark, d) -> DataFrame:
     return table(spark, d, "benchmark").select("item_id", F.size(F.array_distinct(g)).cast("long").alias("n_shingles"))
 
 
+_MD5 = f"""l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents),
+x AS (SELECT doc_id * 100000 + i AS doc_id, {B.norm("text")} AS t FROM l), y AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(length(t) - 59, 1) + 1), lambda i: substr(t, i, 60))) AS g FROM x WHERE length(t) > 0),
+z AS (SELECT doc_id, unnest([0, 1]) AS band, unnest([list_min(list_transform(g, lambda v: md5('0:' || v))) || '|' || list_min(list_transform(g, lambda v: md5('1:' || v))),
+  list_min(list_transform(g, lambda v: md5('2:' || v))) || '|' || list_min(list_transform(g, lambda v: md5('3:' || v)))]) AS hash FROM y),
+e AS (SELECT DISTINCT doc_id AS a, b FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY band, hash) AS b FROM z) WHERE doc_id <> b)"""
+
+
+def _md5_edges(spark, d) -> DataFrame:
+    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "text"))
+    lines = lines.select((F.col("doc_id") * 100000 + F.col("i")).alias("id"), "text")
+    return dedup.star_edges(materialize(dedup.md5_bands(lines, "id", F.col("text"), 2, 2), "md5-bands"))
+
+
+@query(f"WITH {_MD5} SELECT a, b FROM e")
+def minhash_links_md5(spark, d) -> DataFrame:
+    return _md5_edges(spark, d)
+
+
+@query(f"""WITH RECURSIVE {_MD5}, s AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS root FROM s UNION SELECT s.b, r.root FROM r JOIN s ON s.a = r.node)
+SELECT node, min(root) AS component FROM r GROUP BY node""")
+def minhash_components_md5(spark, d) -> DataFrame:
+    from screenwright.operators.components import connected_components
+
+    return connected_components(_md5_edges(spark, d))
+
+
 @query()
 def near_duplicates_lsh(spark, d) -> DataFrame:
     return dedup.near_duplicates(table(spark, d, "documents"), "doc_id", F.col("text"))
@@ -549,6 +575,47 @@ def shard_balance(spark, d) -> DataFrame:
     return table(spark, d, "documents").groupBy(F.col("source").alias("folder"), (F.col("doc_id") % 4).alias("shard")).agg(F.count("*").alias("n_rows"), F.sum(F.length("text")).cast("long").alias("characters"))
 
 
+@query("WITH x AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents) SELECT n // 64 % 4 AS chunk, n // 64 AS batch, count(*) AS n_rows, min(doc_id) AS first_doc FROM x GROUP BY ALL")
+def chunk_layout(spark, d) -> DataFrame:
+    """Batch i of 64 rows goes to chunk i mod 4: the layout of the chunked sink."""
+    held = numbered(table(spark, d, "documents").select("doc_id"), ["doc_id"], name="n").withColumn("batch", F.expr("(n - 1) div 64"))
+    return held.groupBy((F.col("batch") % 4).alias("chunk"), "batch").agg(F.count("*").alias("n_rows"), F.min("doc_id").alias("first_doc"))
+
+
+@query("""WITH j AS (SELECT CASE WHEN conv_id % 2 = 0 THEN 'number' ELSE 'null' END AS k, count(*) AS n FROM conversations GROUP BY 1), c AS (SELECT count(*) AS n FROM conversations)
+SELECT '' AS path, 'object' AS type, n FROM c UNION ALL SELECT 'id', k, n FROM j UNION ALL SELECT 'm', 'array', n FROM c UNION ALL SELECT 'm[]', 'object', n FROM c UNION ALL SELECT 'm[].content', 'string', n FROM c UNION ALL SELECT 'm[].role', 'string', n FROM c""")
+def schema_tree(spark, d) -> DataFrame:
+    c = table(spark, d, "conversations")
+    row = F.struct(F.when(F.col("conv_id") % 2 == 0, F.col("conv_id")).alias("id"), F.array(F.struct("role", F.col("text").alias("content"))).alias("m"))
+    return reports.schema_tree(c.select(F.to_json(row, {"ignoreNullFields": "false"}).alias("raw")), "raw")
+
+
+@query("""WITH a AS (SELECT CASE WHEN toxic = 1 THEN 'FILTER' WHEN doc_id % 9 = 0 THEN 'REVIEW' ELSE 'KEEP' END AS l, CASE WHEN quality = 0 THEN 'FILTER' ELSE 'KEEP' END AS r FROM labels)
+SELECT count(*) AS n_rows, round(avg((l = r)::INT::DOUBLE) FILTER (l <> 'REVIEW'), 6) AS agreement, round(2.0 * count(*) FILTER (l = 'FILTER' AND r = 'FILTER') / (count(*) FILTER (l = 'FILTER') + count(*) FILTER (r = 'FILTER')), 6)::DOUBLE AS f1 FROM a""")
+def model_agreement(spark, d) -> DataFrame:
+    left = F.when(F.col("toxic") == 1, "FILTER").when(F.col("doc_id") % 9 == 0, "REVIEW").otherwise("KEEP")
+    right = F.when(F.col("quality") == 0, "FILTER").otherwise("KEEP")
+    x = table(spark, d, "labels").select(left.alias("l"), right.alias("r"))
+    n = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    f1 = ner.f1(n((F.col("l") == "FILTER") & (F.col("r") == "FILTER")), n(F.col("l") == "FILTER"), n(F.col("r") == "FILTER"))
+    return x.agg(F.count("*").alias("n_rows"), F.round(toxicity.agreement(F.col("l"), F.col("r")), 6).alias("agreement"), F.round(f1, 6).alias("f1"))
+
+
+@query("SELECT source AS source_file, count(*) AS n_rows, count(*) FILTER (doc_id > 500) AS n_bad FROM documents GROUP BY 1 HAVING count(*) FILTER (doc_id > 500) > 0")
+def invalid_locations(spark, d) -> DataFrame:
+    r = rows(spark, d)
+    files = r.groupBy("source_file").agg(F.lit(500).alias("rows"))
+    bad = filtering.invalid_locations(r.where("source_line > 0"), files).groupBy("source_file").agg(F.count("*").alias("n_bad"))
+    return r.groupBy("source_file").agg(F.count("*").alias("n_rows")).join(bad, "source_file")
+
+
+@query("SELECT conv_id, max(i)::INT AS message_index FROM (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i FROM conversations) WHERE role = 'assistant' GROUP BY conv_id")
+def flagged_message_located(spark, d) -> DataFrame:
+    c = chats(spark, d)
+    at = toxicity.locate(F.col("messages"), F.lit("assistant"), F.lit("a text that no message has"))
+    return c.select("conv_id", at.alias("message_index")).where("message_index is not null")
+
+
 # --- span models -----------------------------------------------------------------------
 
 _LABELLED = """sp AS (SELECT source AS source_file, doc_id AS source_line, CASE doc_id % 5 WHEN 0 THEN 'email' WHEN 1 THEN 'first_name' WHEN 2 THEN 'city' WHEN 3 THEN 'user_name' ELSE 'device_identifier' END AS label,
