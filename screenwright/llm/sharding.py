@@ -10,7 +10,8 @@ A bucket is the only thing that a task holds at once; its expected size is
 and every other column, so copies of a text spread over all buckets; only rows
 equal in every column share one.  A bucket is sorted by that hash before it is
 permuted and always sits in the same partition, so a rerun, or a task that is
-repeated after an executor is lost, gives the same order.
+repeated after an executor is lost, gives the same order.  Buckets are dealt by
+number, so a partition is exactly one bucket.
 
 Defined results: a null text has 1 byte (size is the bytes plus 1), and the CRC
 of the empty text; repeated rows each get a slot of their own; with fewer rows
@@ -56,7 +57,7 @@ class ExternalShuffle:
         own = self.docs.columns
         row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)])
         order = F.struct(self.mix.alias("m"), row.alias("r"))
-        scattered = self.docs.select(self.bucket.alias("_sw_bucket"), order.alias("o")).repartition(self.buckets, "_sw_bucket")
+        scattered = self.docs.select(self.bucket.alias("_sw_bucket"), order.alias("o")).repartitionById(self.buckets, "_sw_bucket")
         if len(self.hashed) == len(own):
             held = scattered.groupBy("_sw_bucket").agg(F.array_sort(F.collect_list("o")).alias("a"))
         else:
