@@ -24,6 +24,7 @@ rows.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter, defaultdict
 from functools import partial
 
@@ -253,7 +254,9 @@ def fitted(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, key
     sample = known.orderBy(F.xxhash64(key), key).limit(train_rows)
     rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key)
     words = materialize(map_texts(rows, [key, "toxic"], "text", partial(_restored, model), "words array<string>"), "toxic-words")
-    lexicon, base = learn([(bool(t), list(w)) for t, w in words.select("toxic", "words").toPandas().itertuples(index=False)])
+    # one object for each distinct word, whatever the number of rows that hold it
+    held = words.select("toxic", "words").toArrow()
+    lexicon, base = learn([(bool(t.as_py()), [sys.intern(x) for x in w.as_py()]) for t, w in zip(held["toxic"], held["words"], strict=True)])
     return partial(_scores, model, lexicon, base)
 
 
