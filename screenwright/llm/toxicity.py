@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 import sys
 from collections import Counter, defaultdict
+from collections.abc import Iterable
 from functools import partial
 
 import numpy as np
@@ -175,18 +176,18 @@ def _groups(rows: list[list[str]]) -> list[int]:
     return out
 
 
-def learn(rows: list[tuple[bool, list[str]]], precision: float = 0.9, gain: int = 3) -> tuple[dict[str, float], float]:
+def learn(rows: Iterable[tuple[bool, Iterable[str]]], precision: float = 0.9, gain: int = 3) -> tuple[dict[str, float], float]:
     """(feature -> probability, base) from labelled rows.
 
     Near copies among the toxic rows count once.  Features come from a greedy
     cover of the toxic groups; to them are added those that are too often toxic,
     given the share of toxic rows and the number of features, to be so by chance.
     """
-    rows = list({(toxic, tuple(words)) for toxic, words in rows})
+    rows = list({(toxic, tuple(words)) for toxic, words in rows})  # equal texts count once
     toxic_words = [w for toxic, w in rows if toxic]
     merged = defaultdict(set)
     for g, w in zip(_groups(toxic_words), toxic_words, strict=True):
-        merged[g] |= features(w)
+        merged[g].update(map(sys.intern, features(w)))
     bad = list(merged.values())
     seen = Counter(f for row in bad for f in row)
     open_ = {f for f, n in seen.items() if n >= gain}
@@ -255,8 +256,8 @@ def fitted(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, key
     rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key)
     words = materialize(map_texts(rows, [key, "toxic"], "text", partial(_restored, model), "words array<string>"), "toxic-words")
     # one object for each distinct word, whatever the number of rows that hold it
-    held = words.select("toxic", "words").toArrow()
-    lexicon, base = learn([(bool(t.as_py()), [sys.intern(x) for x in w.as_py()]) for t, w in zip(held["toxic"], held["words"], strict=True)])
+    rows = ((bool(r.toxic), tuple(map(sys.intern, r.words))) for r in words.select("toxic", "words").toLocalIterator())
+    lexicon, base = learn(rows)
     return partial(_scores, model, lexicon, base)
 
 
