@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from screenwright.functions.text import ngrams, normalize
 from screenwright.operators.components import connected_components
-from screenwright.storage import materialize
+from screenwright.storage import bounded_broadcast, materialize
 
+#: Word windows of the reference rows are broadcast up to so many; beyond, the join shuffles.
+BROADCAST_WINDOWS = 1_000_000
 WIDTH, BANDS, ROWS = 60, 16, 16
 _RNG = np.random.default_rng(256)
 _MULTIPLY = _RNG.integers(0, 1 << 31, 1024, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -121,6 +123,38 @@ def cross_pairs(candidates: DataFrame, reference: DataFrame, id: str, ref_id: st
     return ours.join(theirs, ["band", "hash"]).select(F.col("id").alias(id), F.col("ref").alias(ref_id)).distinct()
 
 
+def word_windows(rows: DataFrame, keys: list[str], text: Column, widths: list[int], short: bool = False) -> DataFrame:
+    """(keys..., n, h): the length and the hash of every window of ``widths`` words of the normalised texts.
+
+    With ``short`` a text of fewer words than the one width is one window.
+    """
+    held = rows.select(*keys, normalize(text).alias("_t")).where(F.length("_t") > 0).select(*keys, F.split("_t", " ").alias("_w"))
+    size, top = F.size("_w"), max(widths)
+    beside = F.arrays_zip(*[F.slice("_w", k + 1, F.greatest(size - k, F.lit(0))).alias(f"w{k}") for k in range(top)])
+    laid = held.select(*keys, size.alias("_n"), F.posexplode(beside).alias("_p", "c"))
+
+    def window(n: int, met: Column) -> Column:
+        return F.when(met, F.struct(F.lit(n).alias("n"), F.xxhash64(*[F.col(f"c.w{k}") for k in range(n)]).alias("h")))
+
+    made = [window(n, F.col("_p") + n <= F.col("_n")) for n in widths]
+    if short:
+        made += [window(n, (F.col("_n") == n) & (F.col("_p") == 0)) for n in range(1, top)]
+    if len(made) == 1:
+        return laid.where(F.col("_p") + top <= F.col("_n")).select(*keys, F.lit(top).alias("n"), F.xxhash64(*[F.col(f"c.w{k}") for k in range(top)]).alias("h"))
+    return laid.select(*keys, F.explode(F.array(*made)).alias("x")).where("x is not null").select(*keys, "x.n", "x.h")
+
+
+def containing(candidates: DataFrame, reference: DataFrame, keys: list[str], ref_id: str, text: Column, ref_text: Column, width: int = 8) -> DataFrame:
+    """(keys..., ref_id): candidates that share any window of ``width`` normalised words with a reference row, once a pair.
+
+    A reference row of fewer words is one window as a whole; one without words matches nothing.
+    """
+    index = materialize(word_windows(reference, [ref_id], ref_text, [width], short=True).distinct(), "reference-windows")
+    widths = sorted(r.n for r in index.select("n").distinct().collect()) or [width]
+    ours = word_windows(candidates, keys, text, widths)
+    return ours.join(bounded_broadcast(index, BROADCAST_WINDOWS), ["n", "h"]).select(*keys, ref_id).distinct()
+
+
 def earliest(pairs: DataFrame, candidate: list[str], reference: list[str]) -> DataFrame:
     """One decision per candidate: its earliest reference match."""
     return pairs.groupBy(*candidate).agg(F.min(F.struct(*reference)).alias("m")).select(*candidate, *[F.col(f"m.{c}").alias(c) for c in reference])
