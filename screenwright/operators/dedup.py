@@ -21,7 +21,7 @@ from screenwright.storage import bounded_broadcast, materialize
 
 #: Word windows of the reference rows are broadcast up to so many; beyond, the join shuffles.
 BROADCAST_WINDOWS = 1_000_000
-WIDTH, BANDS, ROWS = 60, 16, 16
+WIDTH, BANDS, ROWS = 60, 32, 8
 _RNG = np.random.default_rng(256)
 _MULTIPLY = _RNG.integers(0, 1 << 31, 1024, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _RNG.integers(0, 1 << 32, 1024, dtype=np.uint32)

@@ -1,5 +1,6 @@
 """Operators on the parts of their job that the driver's tables don't reach."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from screenwright.operators import dedup
@@ -41,3 +42,28 @@ def test_contamination_beyond_the_broadcast(spark, monkeypatch):
     other = spark.createDataFrame([(5, "z c d e f g h i j z"), (6, "c d e f g h i")], "ref long, text string")
     got = dedup.containing(rows, other, ["id"], "ref", F.col("text"), F.col("text"))
     assert sorted((r.id, r.ref) for r in got.collect()) == [(1, 5), (1, 6)]
+
+
+def test_recall_of_near_copies(spark):
+    """Pairs at a window similarity of 0.7 to 0.9: nearly all are met by the bands that the queries use."""
+    rng = np.random.default_rng(11)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    rows, true, size = [], {}, 1500
+    for k in range(120):
+        whole = "".join(rng.choice(letters, size))
+        want = 0.7 + 0.2 * k / 119
+        cut = round((size - 59) * (1 - want) / (1 + want))
+        other = "".join(rng.choice(letters, cut)) + whole[cut:]
+        a, b = ({t[i : i + 60] for i in range(size - 59)} for t in (whole, other))
+        true[k] = len(a & b) / len(a | b)
+        rows += [(2 * k, whole), (2 * k + 1, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    met = {(r.id, r.duplicate_of) for r in dedup.near_duplicates(docs, "doc_id", F.col("text")).collect()}
+    assert met <= {(2 * k + 1, 2 * k) for k in true}
+    strict = {(r.id, r.duplicate_of) for r in dedup.near_duplicates(docs, "doc_id", F.col("text"), 16, 16).collect()}
+    high = [k for k, s in true.items() if s >= 0.8]
+    low = [k for k, s in true.items() if s < 0.8]
+    share = lambda found, ks: sum((2 * k + 1, 2 * k) in found for k in ks) / len(ks)
+    assert len(high) > 20 and len(low) > 20
+    assert share(met, high) >= 0.99 and share(met, low) >= 0.85, (share(met, high), share(met, low))
+    assert share(strict, low) < 0.5
