@@ -214,3 +214,22 @@ def test_sharding(spark, odd, tmp_path):
     sharding.write_shards(odd, str(tmp_path / "s"), 3, bucket_bytes=1000)
     back = spark.read.parquet(str(tmp_path / "s"))
     assert sorted(r["count"] for r in back.groupBy("shard").count().collect()) == [3, 4, 4]
+
+
+def test_every_accepted_pattern_has_a_seed(spark):
+    """All ways to change as many words as the rule allows, in items of 8 to 15 words."""
+    from itertools import combinations
+
+    items, docs, want = [], [], set()
+    for n in range(8, 16):
+        item = [f"n{n}w{i}" for i in range(n)]
+        items.append((n, " ".join(item)))
+        run = min(13, n)
+        spare = run - -(-run * 75 // 100)
+        for start in range(n - run + 1):
+            for bad in combinations(range(start, start + run), spare):
+                k = len(docs)
+                docs.append((k, " ".join(w if start <= i < start + run and i not in bad else "other" for i, w in enumerate(item))))
+                want.add((k, n))
+    got = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
