@@ -2,11 +2,13 @@
 
 1.  A kernel reduces each text to its set of distinct word shingles, a MinHash
     signature, and a 128-bit fingerprint of the set.  Texts with equal sets form
-    one *class*, represented by its smallest id, so a group of copies, however
-    large, goes on as one row.
-2.  A coordinate of the signature is a run of ``rows`` minima.  Every class is
-    posted under each of its ``coords`` (coordinate, value) pairs.  Values held
-    by one class only can't collide and are dropped.
+    one *class* with a number of its own, so a group of copies, however large,
+    goes on as one row.
+2.  A coordinate of the signature is a run of ``rows`` minima taken as one value
+    (a single minimum is shared by too many unlike texts to be worth a posting;
+    ``rows_each=1`` gives plain coordinates).  Every class is posted under each
+    of its ``coords`` (coordinate, value) pairs.  Values held by one class only
+    can't collide and are dropped.
 3.  Two classes match if at least ``match`` coordinates collide.  Ordered by
     (frequency, value), such a pair shares one of its first
     ``coords - match + 1`` postings (prefix filter), so only these rare ones
@@ -28,9 +30,10 @@ A pair at the similarity threshold 0.8 is missed with a probability of about
 1e-6 (fewer than 4 of 32 coordinates of 3 minima).
 
 Defined results: texts without words (null, empty, blank) have 0 shingles and
-are linked with nothing; repeated rows are copies; a null id is kept and never
-names a component; an empty table gives no rows; only the id and the text of
-the input are used, so other columns may have any names.
+are linked with nothing; repeated rows are copies; an id with several texts is
+a document for each text; a null id is kept and never names a component; an
+empty table gives no rows; only the id and the text of the input are used, so
+other columns may have any names and types.
 """
 
 from __future__ import annotations
@@ -41,6 +44,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from screenwright.llm.tables import without_maps
 from screenwright.llm.words import Block, map_texts, mix, windows
 from screenwright.operators.components import connected_components
 from screenwright.storage import bounded_broadcast, materialize
@@ -52,6 +56,8 @@ _ADD = _RNG.integers(0, 1 << 32, 256, dtype=np.uint32)
 BROADCAST_IDS = 1_000_000
 #: Components from this size on are met in blocks of about so many shingles.
 LARGE, BLOCK_SHINGLES = 8, 1 << 16
+#: A posting list is cut into parts of about so many rows, each of which meets what the list has to meet.
+LIST_ROWS = 512
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
@@ -92,6 +98,20 @@ def sketches(width: int, minima: int, texts: list[bytes]) -> list:
     return [sizes, first, second, signature]
 
 
+def in_parts(rows: DataFrame, small: DataFrame, size: str = "c") -> DataFrame:
+    """``rows`` (key, rep, ...) joined with ``small`` (key, size, ...), in which ``size`` is the number of rows of the key.
+
+    The rows of a long list are dealt to parts by their class, and what stands in
+    ``small`` is repeated for each part, so that no key is one task.  Lists longer
+    than LIST_ROWS are few (rows / LIST_ROWS); their sizes are broadcast.
+    """
+    long_ = small.where(F.col(size) > LIST_ROWS).select("key", F.expr(f"({size} div {LIST_ROWS}) + 1").cast("int").alias("parts")).distinct()
+    dealt = rows.join(bounded_broadcast(long_, BROADCAST_IDS), "key", "left")
+    dealt = dealt.withColumn("part", F.coalesce(F.pmod(F.xxhash64("rep"), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
+    every = small.withColumn("part", F.explode(F.sequence(F.lit(0), F.when(F.col(size) > LIST_ROWS, F.expr(f"{size} div {LIST_ROWS}")).otherwise(0).cast("int")))).drop(size)
+    return dealt.join(every, ["key", "part"]).drop("part")
+
+
 def _postings(coords: int, rows: int, batches):
     import pyarrow as pa
 
@@ -190,8 +210,8 @@ class _Links:
         self.keys = materialize(held.select("rep", F.col("k.key").alias("every")), "keys")
         prefix = F.slice("every", F.lit(1), F.size("every") - (self.match - 1))
         self.lists = materialize(self.keys.select("rep", F.explode(prefix).alias("key")).join(classes.select("rep", "n"), "rep"), "postings")
-        ids = self.lists.select("rep").distinct()
-        mine = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(bounded_broadcast(ids, BROADCAST_IDS), "rep", "left_semi")
+        wanted = materialize(classes.select("rep", "id", "h").join(self.lists.select("rep").distinct(), "rep"), "posted")
+        mine = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")).join(bounded_broadcast(wanted, BROADCAST_IDS), ["id", "h"])
         sets = map_texts(mine, ["rep"], "text", lambda texts: [[s.tobytes() for s in shingle_sets(texts, width)]], "shingles binary")
         self.sets = materialize(sets.dropDuplicates(["rep"]), "shingles")
 
@@ -208,8 +228,9 @@ class _Links:
 
     def to_leaders(self, rows: DataFrame) -> DataFrame:
         """Each class with that leader that it meets most often in its lists; a hash ranks leaders."""
-        lead = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n")).alias("l")).select("key", F.col("l.rep").alias("b"), F.col("l.n").alias("m"))
-        met = rows.join(lead, "key").where((F.col("rep") != F.col("b")) & self._fits("n", "m")).groupBy("rep", "b").agg(F.count("*").alias("c"))
+        lead = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "n")).alias("l"), F.count("*").alias("c"))
+        lead = materialize(lead.where("c > 1").select("key", "c", F.col("l.rep").alias("b"), F.col("l.n").alias("m")), "leaders")
+        met = in_parts(rows, lead).where((F.col("rep") != F.col("b")) & self._fits("n", "m")).groupBy("rep", "b").agg(F.count("*").alias("c"))
         return met.groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("c", (-F.col("b")).alias("b"))).alias("t")).select("a", (-F.col("t.b")).alias("b"))
 
     def open_lists(self, rows: DataFrame) -> DataFrame:
@@ -253,10 +274,10 @@ class _Links:
         return left.join(right, (left["key"] == right["key"]) & apart & enough & first).select("a", "b").distinct()
 
     def _blocks(self, rows: DataFrame, name: str) -> DataFrame:
-        """(to, name): the sets of ``rows`` (to, rep, n), dealt to blocks of about BLOCK_SHINGLES shingles."""
+        """(to, block, blocks, name): the sets of ``rows`` (to, rep, comp, n), dealt to blocks of about BLOCK_SHINGLES shingles."""
         deal = rows.groupBy("to").agg(F.expr(f"(sum(n) div {BLOCK_SHINGLES}) + 1").alias("blocks"))
-        dealt = rows.join(deal, "to").select("to", "rep", "comp", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
-        return dealt.join(self.sets, "rep").groupBy("to", "block").agg(F.collect_list(F.struct("rep", "comp", F.col("shingles").alias("s"))).alias(name)).drop("block")
+        dealt = rows.join(deal, "to").select("to", "rep", "comp", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
+        return dealt.join(self.sets, "rep").groupBy("to", "block", "blocks").agg(F.collect_list(F.struct("rep", "comp", F.col("shingles").alias("s"))).alias(name))
 
     def visits(self, rows: DataFrame, sizes: DataFrame) -> DataFrame:
         """(to, rep, comp, n): the classes of smaller groups that share a list with a large group ``to``."""
@@ -267,7 +288,12 @@ class _Links:
     def to_large(self, rows: DataFrame, sizes: DataFrame, visits: DataFrame) -> DataFrame:
         """Links that join the visitors of each large group with it and with each other."""
         members = rows.join(sizes.where(F.col("size") >= LARGE), "comp").select(F.col("comp").alias("to"), "rep", "comp", "n").distinct()
-        met = self._blocks(visits, "mine").join(self._blocks(members.union(visits), "theirs"), "to")
+        # each pair of blocks is a key of its own
+        theirs = self._blocks(members.union(visits), "theirs")
+        many = theirs.select("to", "blocks").distinct()
+        mine = self._blocks(visits, "mine").drop("block", "blocks").join(many, "to")
+        mine = mine.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        met = mine.join(theirs.drop("blocks"), ["to", "block"])
         return materialize(met.select("mine", "theirs").mapInArrow(partial(_joining, self.percent), "a long, b long"), "links")
 
     def all(self) -> DataFrame:
@@ -281,6 +307,24 @@ class _Links:
         return links.union(self.confirm(self.across(small, visits)))
 
 
+def labelled(docs: DataFrame, key: str, text: str, width: int, percent: int, shape: tuple[int, int, int]) -> DataFrame:
+    """(id, h, n, first): a row for each of ``docs``, with the hash of its text, the size of its set and the first (id, h) of its component.
+
+    ``first`` is null for texts without words and for classes without an id.
+    """
+    coords, rows_each, _ = shape
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    rows = materialize(map_texts(rows, ["id", "h"], "text", partial(sketches, width, coords * rows_each), "n long, f1 long, f2 long, sig binary"), "sketches")
+    classes = rows.where("n > 0 and id is not null").groupBy("f1", "f2", "n").agg(F.min(F.struct("id", "h")).alias("o"), F.max("sig").alias("sig"))
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("rep"), "o.id", "o.h", "f1", "f2", "n", "sig"), "classes")
+    of = connected_components(_Links(docs, classes, key, text, width, percent, shape).all()).toDF("rep", "comp")
+    linked = materialize(classes.select("rep", F.struct("id", "h").alias("o")).join(of, "rep"), "linked")
+    first = linked.groupBy("comp").agg(F.min("o").alias("first"))
+    named = classes.join(linked.join(first, "comp").select("rep", "first"), "rep", "left")
+    named = named.select("f1", "f2", "n", F.coalesce("first", F.struct("id", "h")).alias("first"))
+    return rows.select("id", "h", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left").select("id", "h", "n", "first")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of ``docs``.
 
@@ -288,30 +332,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     similarity of at least ``percent`` %; the component is named by its smallest
     id, and the row of that id is kept.
     """
-    rows = materialize(map_texts(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), ["id"], "text", partial(sketches, width, coords * rows_each), "n long, f1 long, f2 long, sig binary"), "sketches")
-    classes = materialize(rows.where("n > 0 and id is not null").groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"), F.max("sig").alias("sig")), "classes")
-    links = _Links(docs, classes, key, text, width, percent, (coords, rows_each, match)).all()
-    of = connected_components(links).toDF("rep", "comp")
-    # an id that stands for several classes joins them: its rows are one document
-    named = classes.select("f1", "f2", "n", "rep").join(of, "rep", "left").select("f1", "f2", "n", F.coalesce("comp", "rep").alias("comp"))
-    out = rows.join(named, ["f1", "f2", "n"], "left")
-    component = F.when(F.col("n") > 0, F.coalesce("comp", "id")).otherwise(F.col("id"))
+    out = labelled(docs, key, text, width, percent, (coords, rows_each, match))
+    component = F.coalesce("first.id", "id")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of ``docs`` for each group; rows with a null id stay."""
-    gone = materialize(near_duplicates(docs, key, text, **options).where("not kept").select(key).distinct(), "near-copies")
-    left = docs.join(bounded_broadcast(gone, BROADCAST_IDS), key, "left_anti")
-    # rows of one id: its first text
-    known = left.where(F.col(key).isNotNull())
-    twice = materialize(known.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated-ids")
-    if twice.limit(1).count() == 0:
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4) -> DataFrame:
+    """One row of ``docs`` for each component, that of the smallest (id, text hash); rows with a null id or without words stay.
+
+    Of rows equal in id and text one stays, that with the smallest hash of the
+    other columns (maps take no part in it).
+    """
+    rows = labelled(docs, key, text, width, percent, (coords, rows_each, match))
+    rows = materialize(rows.where("n > 0 and id is not null").select("id", "h", (F.struct("id", "h") == F.col("first")).alias("stays")), "stays")
+    gone = materialize(rows.where("not stays").select(F.col("id").alias("_sw_id"), F.col("h").alias("_sw_h")).distinct(), "near-copies")
+    twice = materialize(rows.where("stays").groupBy("id", "h").agg(F.count("*").alias("c")).where("c > 1").select(F.col("id").alias("_sw_id"), F.col("h").alias("_sw_h")), "repeated-rows")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    here = (F.col(f"`{key}`").cast("long") == F.col("_sw_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_sw_h"))
+    left = docs.join(bounded_broadcast(gone, BROADCAST_IDS), here, "left_anti")
+    if twice.isEmpty():
         return left
-    again = F.broadcast(twice) if twice.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else twice
-    first = known.join(again, key, "left_semi").groupBy(key).agg(F.min(F.struct(F.col(text), *[F.col(f"`{c}`") for c in docs.columns if c not in (key, text)])).alias("_sw"))
-    first = first.select(*[F.col(key) if c == key else F.col(f"_sw.`{c}`") for c in docs.columns])
-    return left.join(again, key, "left_anti").unionByName(first)
+    again = bounded_broadcast(twice, BROADCAST_IDS)
+    one = left.join(again, here).groupBy("_sw_id", "_sw_h").agg(F.min_by(F.struct(*own), F.xxhash64(*[F.col(f"`{c}`") for c in without_maps(docs)])).alias("_sw_row"))
+    return left.join(again, here, "left_anti").unionByName(one.select(*[F.col(f"_sw_row.`{c}`") for c in docs.columns]))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

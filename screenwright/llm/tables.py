@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, MapType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _has_map(kind: DataType) -> bool:
+    inner = [getattr(kind, "elementType", None), *[f.dataType for f in getattr(kind, "fields", [])]]
+    return isinstance(kind, MapType) or any(_has_map(x) for x in inner if x is not None)
+
+
+def without_maps(df: DataFrame) -> list[str]:
+    """The columns that can be hashed and ordered: those that hold no map."""
+    return [f.name for f in df.schema if not _has_map(f.dataType)]
+
+
 def binary_text(col: str = "text"):
     """The UTF-8 bytes of a text, for kernels that work on bytes."""
     return F.col(col).cast("binary")
