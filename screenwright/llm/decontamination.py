@@ -3,20 +3,24 @@
 Texts are lower-cased and split into words (runs of letters and digits).  A
 fixed mask picks some of the words of a window and ignores the others, so a
 seed survives substitutions at the ignored positions; the masks cover each
-other's blind spots: whatever words an accepted run lacks, one mask fits it.  Seeds of the benchmark, a table of bounded size, are
-joined with the seeds of all documents.  Each hit fixes an alignment (document
-position minus item position); along it the item's words are compared one by
-one, and the pair counts if some run of ``window`` words (the whole item, if it
-is shorter) holds at least ``agree`` % equal words.
+other's blind spots: whatever words an accepted run lacks, one mask fits it.
+Seeds of the benchmark, a table of bounded size, are joined with the seeds of
+all documents.  Each hit fixes an alignment (document position minus item
+position); along it the item's words are compared one by one, and the pair
+counts if some run of ``window`` words (the whole item, if it is shorter) holds
+at least ``agree`` % equal words.  An item of fewer than SPAN words, of which a
+few equal words say little, is one seed as a whole and must occur word for word.
 
 All of it is DataFrame functions.  Words are laid side by side with
 ``arrays_zip`` and hashed in generated code; the text itself never takes part in
 the explosion.  Only hits go on, and only documents with a hit are read again.
+A seed that many items share makes a hit for each of them in a document: what
+is gathered is bounded by the documents times the items, of which there are few.
 
-Defined results: null and empty texts and items of fewer words than SPAN match
-nothing; repeated rows and items are reported alike (once per
-pair of ids); null ids are ignored; empty tables give no rows; only the id and
-the text of either side are used.
+Defined results: null and empty texts match nothing; repeated rows and items are
+reported alike (once per pair of ids); null ids are not reported, but
+``decontaminated`` judges each row by its text, whatever its id; empty tables
+give no rows; only the id and the text of either side are used.
 """
 
 from __future__ import annotations
@@ -43,12 +47,13 @@ def _plain_words(text: str) -> Column:
     return F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+")
 
 
-def seeds(rows: DataFrame, key: str, w: str) -> DataFrame:
-    """(key, pos, seed) of every place in the word arrays of column ``w`` where a mask fits."""
-    at = sorted({o for m in MASKS for o in m})
+def seeds(rows: DataFrame, key: str, w: str, short: tuple[int, ...] = ()) -> DataFrame:
+    """(key, pos, seed) of every place in the word arrays of column ``w`` where a mask fits, or ``short`` words stand."""
+    needs = [(i, m) for i, m in enumerate(MASKS)] + [(-n, tuple(range(n))) for n in short]
+    at = sorted({o for _, m in needs for o in m})
     columns = [F.slice(w, o + 1, F.greatest(F.size(w) - o, F.lit(0))).alias(f"w{o}") for o in at]
-    one = rows.select(key, F.posexplode(F.arrays_zip(*columns)).alias("pos", "c")).where(F.col(f"c.w{min(m[-1] for m in MASKS)}").isNotNull())
-    hashes = F.array(*[F.when(F.col(f"c.w{m[-1]}").isNotNull(), F.xxhash64(F.lit(i), *[F.col(f"c.w{o}") for o in m])) for i, m in enumerate(MASKS)])
+    one = rows.select(key, F.posexplode(F.arrays_zip(*columns)).alias("pos", "c")).where(F.col(f"c.w{min(m[-1] for _, m in needs)}").isNotNull())
+    hashes = F.array(*[F.when(F.col(f"c.w{m[-1]}").isNotNull(), F.xxhash64(F.lit(i), *[F.col(f"c.w{o}") for o in m])) for i, m in needs])
     return one.select(key, "pos", F.explode(hashes).alias("seed")).where("seed is not null")
 
 
@@ -59,10 +64,16 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str =
     document, ``equal`` how many of them agree, ``first`` and ``last`` the first and last of those
     in the document's words.
     """
-    theirs = items.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), words(text).alias("iw")).where(F.size("iw") >= SPAN)
-    index = materialize(seeds(theirs, "item", "iw").toDF("item", "ipos", "seed").distinct(), "benchmark-seeds")
+    theirs = items.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), words(text).alias("iw")).where(F.size("iw") > 0)
+    long_, few = theirs.where(F.size("iw") >= SPAN), theirs.where(F.size("iw") < SPAN)
+    # at most SPAN - 1 lengths
+    short = tuple(sorted(r.n for r in few.select(F.size("iw").alias("n")).distinct().collect()))
+    index = seeds(long_, "item", "iw")
+    for n in short:
+        index = index.union(few.where(F.size("iw") == n).select("item", F.lit(0), F.xxhash64(F.lit(-n), *[F.get("iw", F.lit(k)) for k in range(n)])))
+    index = materialize(index.toDF("item", "ipos", "seed").distinct(), "benchmark-seeds")
     ours = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), _plain_words(text).alias("w"))
-    hits = seeds(ours, "id", "w").join(bounded_broadcast(index, BROADCAST_SEEDS), "seed").select("id", "item", (F.col("pos") - F.col("ipos")).alias("at")).distinct()
+    hits = seeds(ours, "id", "w", short).join(bounded_broadcast(index, BROADCAST_SEEDS), "seed").select("id", "item", (F.col("pos") - F.col("ipos")).alias("at")).distinct()
     hits = materialize(hits, "seed-hits")
     pairs = ours.join(bounded_broadcast(hits, BROADCAST_HITS), "id").join(bounded_broadcast(theirs, BROADCAST_HITS), "item")
     beside = F.transform("iw", lambda x, j: F.coalesce(F.get("w", j + F.col("at")) == x, F.lit(False)))
@@ -70,7 +81,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str =
     run = F.least(F.lit(window), F.col("n"))
     starts = F.sequence(F.lit(1), F.col("n") - run + 1)
     best = F.array_max(F.transform(starts, lambda i: F.size(F.filter(F.slice("same", i, run), lambda x: x))))
-    pairs = pairs.where(best * 100 >= run * agree)
+    pairs = pairs.where(best * 100 >= run * F.when(F.col("n") < SPAN, 100).otherwise(agree))
     equal = F.size(F.filter("same", lambda x: x))
     aligned = F.least(F.col("at") + F.col("n"), F.col("words")) - F.greatest("at", F.lit(0))
     first = F.col("at") + F.array_position("same", True) - 1
@@ -80,10 +91,12 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str =
     return top.select(F.col("id").alias(key), F.col("item").alias(item), *[F.col(f"m.{c}").cast("long").alias(c) for c in ("aligned", "equal", "first", "last")])
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that match no item; rows with a null id stay."""
-    bad = materialize(matches(docs, items, key, **options).select(key).distinct(), "contaminated")
-    return docs.join(bounded_broadcast(bad, BROADCAST_HITS), key, "left_anti")
+def decontaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text matches no item; equal texts are looked at once a row and judged alike."""
+    texts = docs.select(F.xxhash64(F.col(f"`{text}`")).alias("_sw_h"), F.col(f"`{text}`").alias("_sw_text"))
+    theirs = items.select("item_id", F.col("text").alias("_sw_text"))
+    bad = materialize(matches(texts, theirs, "_sw_h", text="_sw_text", **options).select("_sw_h").distinct(), "contaminated")
+    return docs.join(bounded_broadcast(bad, BROADCAST_HITS), F.xxhash64(F.col(f"`{text}`")) == F.col("_sw_h"), "left_anti")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

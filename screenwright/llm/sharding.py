@@ -5,28 +5,35 @@ record; pass 2 permutes each bucket with a seeded Fisher-Yates shuffle (Spark's
 ``shuffle``) and lays the buckets end to end.  Cut into equal runs, that
 sequence gives shards whose row counts differ by one at most (law ``rows``).
 
-A bucket is the only thing that a task holds at once; its expected size is
-``bucket_bytes`` whatever the input's size.  The hash covers the id, the text
-and every other column, so copies of a text spread over all buckets; only rows
-equal in every column share one.  A bucket is sorted by that hash before it is
-permuted and always sits in the same partition, so a rerun, or a task that is
-repeated after an executor is lost, gives the same order.  Buckets are dealt by
-number, so a partition is exactly one bucket.
+A bucket is the only thing that a task holds at once.  Its expected size is
+``bucket_bytes``: by default a 24th of an executor's memory for each of its
+cores, 16 MB at least and 256 MB at most, so that the number of buckets, each a
+partition of the one exchange, follows the cluster (100 TB on executors of 8 GB
+a core: 400,000).  The hash covers the id, the text and every other column, so
+copies of a text spread over all buckets.  Rows equal in every column, from
+``REPEATED`` of them on, are counted to one row each and dealt out again by copy
+number, so they spread as well; fewer share a bucket.  A bucket is sorted by that
+hash before it is permuted and always sits in the same partition, so a rerun, or
+a task that is repeated after an executor is lost, gives the same order.
 
 Defined results: a null text has 1 byte (size is the bytes plus 1), and the CRC
 of the empty text; repeated rows each get a slot of their own; with fewer rows
-than shards some shards are empty; an empty table gives no rows; map columns
-are carried along but take no part in the hash; the input may have columns of
-any name but ``_sw_*``, ``shard`` and ``slot``.
+than shards some shards are empty; an empty table gives no rows; maps within
+other columns take no part in the hash; columns ``shard`` and ``slot`` of the
+input give way to those of the result, other columns (but ``_sw_*``) may have
+any name.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType
 
-BUCKET_BYTES = 16 << 20
+from screenwright.llm.tables import fingerprint, with_copies, without_maps
+
+LEAST_BUCKET, MOST_BUCKET = 16 << 20, 256 << 20
+#: Equal rows are spread from so many on.
+REPEATED = 1000
 #: The offsets (a row per bucket) are broadcast up to so many buckets.
 BROADCAST_BUCKETS = 200_000
 LAW = "rows"
@@ -36,33 +43,37 @@ def text_size(text: str = "text") -> Column:
     return (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long")
 
 
-def _has_map(kind: DataType) -> bool:
-    inner = [getattr(kind, "elementType", None), *[f.dataType for f in getattr(kind, "fields", [])]]
-    return isinstance(kind, MapType) or any(_has_map(x) for x in inner if x is not None)
+def bucket_size(spark) -> int:
+    """The bytes of a bucket that suit the executors of this session."""
+    conf = spark.sparkContext.getConf()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    said = conf.get("spark.executor.memory", "1g").lower().removesuffix("b")
+    memory = int(said[:-1]) * units[said[-1]] if said[-1] in units else int(said)
+    return max(LEAST_BUCKET, min(MOST_BUCKET, memory // int(conf.get("spark.executor.cores", "1")) // 24))
 
 
 class ExternalShuffle:
     """The two passes over ``docs``; the number of buckets follows its bytes."""
 
-    def __init__(self, docs: DataFrame, seed: int, bucket_bytes: int, text: str):
-        self.docs, self.seed = docs, seed
-        size, self.rows = docs.agg(F.sum(text_size(text)), F.count("*")).first()
-        self.buckets = int((size or 0) // bucket_bytes) + 1
-        self.hashed = [f.name for f in docs.schema if not _has_map(f.dataType)]
-        self.mix = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in self.hashed])
+    def __init__(self, docs: DataFrame, seed: int, bucket_bytes: int | None, text: str):
+        self.columns, self.seed = docs.columns, seed
+        size, self.rows = docs.agg(F.sum(text_size(f"`{text}`")), F.count("*")).first()
+        self.buckets = int((size or 0) // (bucket_bytes or bucket_size(docs.sparkSession))) + 1
+        self.docs = with_copies(docs, REPEATED)
+        self.mix = F.xxhash64(F.lit(seed), fingerprint(docs, seed), F.col("_sw_copy"))
         self.bucket = F.pmod(F.xxhash64(F.lit(seed + 1), self.mix), F.lit(self.buckets)).cast("int")
 
     def shuffled(self) -> DataFrame:
         """The columns of ``docs`` with ``_sw_bucket`` and ``_sw_pos`` (gapless from 0 within a bucket)."""
-        own = self.docs.columns
+        own = self.columns
         row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)])
         order = F.struct(self.mix.alias("m"), row.alias("r"))
         scattered = self.docs.select(self.bucket.alias("_sw_bucket"), order.alias("o")).repartitionById(self.buckets, "_sw_bucket")
-        if len(self.hashed) == len(own):
-            held = scattered.groupBy("_sw_bucket").agg(F.array_sort(F.collect_list("o")).alias("a"))
-        else:
-            by_hash = lambda x, y: F.when(x["m"] < y["m"], -1).when(x["m"] > y["m"], 1).otherwise(0)
-            held = scattered.groupBy("_sw_bucket").agg(F.array_sort(F.collect_list("o"), by_hash).alias("a"))
+        if without_maps(self.docs) == self.docs.columns:
+            ordered = F.array_sort(F.collect_list("o"))
+        else:  # rows with maps can't be compared as a whole
+            ordered = F.array_sort(F.collect_list("o"), lambda x, y: F.when(x["m"] < y["m"], -1).when(x["m"] > y["m"], 1).otherwise(0))
+        held = scattered.groupBy("_sw_bucket").agg(ordered.alias("a"))
         permuted = held.sortWithinPartitions("_sw_bucket").select("_sw_bucket", F.shuffle("a", self.seed).alias("a"))
         one = permuted.select("_sw_bucket", F.posexplode("a").alias("_sw_pos", "o"))
         return one.select("_sw_bucket", "_sw_pos", *[F.col(f"o.r.c{i}").alias(c) for i, c in enumerate(own)])
@@ -75,12 +86,13 @@ class ExternalShuffle:
         return F.broadcast(found) if self.buckets <= BROADCAST_BUCKETS else found
 
 
-def shards(docs: DataFrame, n_shards: int, seed: int = 17, bucket_bytes: int = BUCKET_BYTES, text: str = "text") -> DataFrame:
+def shards(docs: DataFrame, n_shards: int, seed: int = 17, bucket_bytes: int | None = None, text: str = "text") -> DataFrame:
     """The columns of ``docs`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 in a shard).
 
-    ``docs`` is read three times (sizes, offsets, records); give a table or a
-    materialised frame.
+    ``docs`` is read four times (sizes, equal rows, offsets, records); give a
+    table or a materialised frame.
     """
+    docs = docs.drop("shard", "slot")
     x = ExternalShuffle(docs, seed, bucket_bytes, text)
     n, at = max(x.rows, 1), F.col("_sw_offset") + F.col("_sw_pos")
     out = x.shuffled().join(x.offsets(), "_sw_bucket").withColumn("_sw_at", at)

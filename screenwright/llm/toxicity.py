@@ -65,8 +65,10 @@ for _i, _c in enumerate(LETTERS):
 _AT = {c: i + 1 for i, c in enumerate(LETTERS)}
 _WORD = re.compile(r"[^\W\d_]+")
 _LEET_CLASS = re.escape("".join(LEET))
-#: Within a token: a look-alike beside a letter, a letter twice in a row, or letters set apart.
-_DISGUISED = re.compile(rf"[^\W\d_][{_LEET_CLASS}]|[{_LEET_CLASS}][^\W\d_]|([^\W\d_])\1|[^\W\d_][._~'-][^\W\d_]")
+#: Within a token: a look-alike beside a letter, a letter three times in a row, or letters set apart; to these come unusual doubles.
+_DISGUISED = rf"[^\W\d_][{_LEET_CLASS}]|[{_LEET_CLASS}][^\W\d_]|([^\W\d_])\1\1|[^\W\d_][._~'-][^\W\d_]"
+#: A letter's double is unusual if it is less likely than this after any letter.
+UNUSUAL = 0.02
 #: At least two single characters with a space between.
 _SPACED = re.compile(rf"(?<!\S)[\w{_LEET_CLASS}](?: [\w{_LEET_CLASS}])+(?![^\s.,;:!?])")
 #: Marks around a token; an exclamation mark in front may be a letter.
@@ -146,11 +148,13 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.penalty, self.known = (-model).tolist(), {}
+        rare = [c for c, i in _AT.items() if model[:, i, i].max() < np.log(UNUSUAL)]
+        self.disguised = re.compile("|".join([_DISGUISED, *[c * 2 for c in rare]]))
 
     def words(self, token: str) -> tuple[str, ...]:
         core = token.lstrip(_BEFORE).rstrip(_AFTER)
         plain = (core,) if core.isalpha() else tuple(_WORD.findall(core))
-        return (*plain, *restore(core, self.penalty).split()) if _DISGUISED.search(core) else plain
+        return (*plain, *restore(core, self.penalty).split()) if self.disguised.search(core) else plain
 
     def __call__(self, text: str) -> set[str]:
         text = text.lower()
