@@ -161,7 +161,7 @@ def mixed_documents(docs: DataFrame, m: Mixture, key: str = "doc_id", source: st
 def op9(spark, sf_dir: str) -> DataFrame:
     from screenwright.llm.tables import table
 
-    return taken(mix(table(spark, sf_dir, "documents"))).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "first_slot")
+    return taken(mix(table(spark, sf_dir, "documents"))).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", F.coalesce("first_slot", F.lit(-1)).cast("long").alias("first_slot"))
 
 
 SQL = r"""
@@ -190,5 +190,5 @@ p AS (SELECT d.rid, d.doc_id, d.size, q.i, q.source_size, q.target, q.quota,
 fs AS (SELECT rid, min(slot) AS first_slot FROM (SELECT *, unnest(range(start // 512, (start + size - 1) // 512 + 1)) AS block FROM p WHERE size > 0) AS p JOIN sb USING (i, block)
   WHERE greatest(start, lo) < least(start + size, hi) GROUP BY rid)
 SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0
-  ELSE (quota // source_size) * size + greatest(0, least(start + size, quota % source_size) - start) END::BIGINT AS taken, first_slot FROM p LEFT JOIN fs USING (rid)
+  ELSE (quota // source_size) * size + greatest(0, least(start + size, quota % source_size) - start) END::BIGINT AS taken, coalesce(first_slot, -1)::BIGINT AS first_slot FROM p LEFT JOIN fs USING (rid)
 """

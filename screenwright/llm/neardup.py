@@ -263,15 +263,17 @@ class _Links:
         Pairs that visit the same large group have met there.  The largest group
         of a list stands on the right only.
         """
-        main = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m")).select("key", F.col("m.comp").alias("main"))
-        rows = rows.join(rows.groupBy("rep").agg(F.collect_set("key").alias("keys")), "rep").join(self.keys, "rep").join(main, "key")
+        main = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("c"))
+        main = materialize(main.select("key", "c", F.col("m.comp").alias("main"), F.expr(f"cast(c div {LIST_ROWS} as int)").alias("more")), "lists")
+        rows = in_parts(rows.join(rows.groupBy("rep").agg(F.collect_set("key").alias("keys")), "rep").join(self.keys, "rep"), main)
         rows = rows.join(visits.groupBy("rep").agg(F.collect_set("to").alias("to")), "rep", "left").withColumn("to", F.coalesce("to", F.array().cast("array<bigint>")))
-        left = rows.where("comp <> main").select("key", F.col("rep").alias("a"), "n", F.col("comp").alias("ca"), F.col("keys").alias("ka"), F.col("every").alias("ea"), F.col("to").alias("ta"))
-        right = rows.select("key", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("keys").alias("kb"), F.col("every").alias("eb"), F.col("to").alias("tb"), (F.col("comp") == F.col("main")).alias("own"))
+        # what stands on the right is repeated for each part of a long list, what stands on the left is dealt to them
+        left = rows.where("comp <> main").select("key", F.pmod(F.xxhash64("rep"), F.col("more") + 1).cast("int").alias("part"), F.col("rep").alias("a"), "n", F.col("comp").alias("ca"), F.col("keys").alias("ka"), F.col("every").alias("ea"), F.col("to").alias("ta"))
+        right = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("more"))).alias("part"), F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("keys").alias("kb"), F.col("every").alias("eb"), F.col("to").alias("tb"), (F.col("comp") == F.col("main")).alias("own"))
         enough = F.size(F.array_intersect("ea", "eb")) >= self.match
         first = F.array_min(F.array_intersect("ka", "kb")) == left["key"]
         apart = (F.col("ca") != F.col("cb")) & (F.col("own") | (F.col("a") > F.col("b"))) & self._fits("n", "m") & ~F.arrays_overlap("ta", "tb")
-        return left.join(right, (left["key"] == right["key"]) & apart & enough & first).select("a", "b").distinct()
+        return left.join(right, (left["key"] == right["key"]) & (left["part"] == right["part"]) & apart & enough & first).select("a", "b").distinct()
 
     def _blocks(self, rows: DataFrame, name: str) -> DataFrame:
         """(to, block, blocks, name): the sets of ``rows`` (to, rep, comp, n), dealt to blocks of about BLOCK_SHINGLES shingles."""

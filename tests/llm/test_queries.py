@@ -91,12 +91,11 @@ def test_toxicity(spark):
 
 
 def test_tokens(spark, sf):
-    from screenwright.llm.tokens import RANKS, encoder
+    from screenwright.llm.tokens import RANKS, encoder, vocabulary
 
-    e = encoder(RANKS)
-    want = Counter(len(e.encode_ordinary(t or "")) for t in documents(sf).values())
+    e = encoder(vocabulary(RANKS))
     got = rows(spark, sf, "op6_token_counts")
-    assert Counter(r.n_tokens for r in got) == want and all(r.sealed for r in got)
+    assert sorted((r.doc_id, r.n_tokens) for r in got) == sorted((k, len(e.encode_ordinary(t or ""))) for k, t in documents(sf).items())
 
 
 def near_components(texts, width, percent=80):
