@@ -6,9 +6,9 @@ record; pass 2 permutes each bucket with a seeded Fisher-Yates shuffle (Spark's
 sequence gives shards whose row counts differ by one at most (law ``rows``).
 
 A bucket is the only thing that a task holds at once.  Its expected size is
-``bucket_bytes``: by default a 24th of an executor's memory for each of its
+``bucket_bytes``: by default a 48th of an executor's memory for each of its
 cores, 16 MB at least and 256 MB at most, so that the number of buckets, each a
-partition of the one exchange, follows the cluster (100 TB on executors of 8 GB
+partition of the one exchange, follows the cluster (100 TB on executors of 12 GB
 a core: 400,000).  The hash covers the id, the text and every other column, so
 copies of a text spread over all buckets.  Rows equal in every column, from
 ``REPEATED`` of them on, are counted to one row each and dealt out again by copy
@@ -45,11 +45,12 @@ def text_size(text: str = "text") -> Column:
 
 def bucket_size(spark) -> int:
     """The bytes of a bucket that suit the executors of this session."""
-    conf = spark.sparkContext.getConf()
+    conf, master = spark.sparkContext.getConf(), spark.sparkContext.master
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
     said = conf.get("spark.executor.memory", "1g").lower().removesuffix("b")
     memory = int(said[:-1]) * units[said[-1]] if said[-1] in units else int(said)
-    return max(LEAST_BUCKET, min(MOST_BUCKET, memory // int(conf.get("spark.executor.cores", "1")) // 24))
+    cores = master.split(",")[1] if master.startswith("local-cluster[") else conf.get("spark.executor.cores", "4")
+    return max(LEAST_BUCKET, min(MOST_BUCKET, memory // int(cores) // 48))
 
 
 class ExternalShuffle:

@@ -74,7 +74,7 @@ _SPACED = re.compile(rf"(?<!\S)[\w{_LEET_CLASS}](?: [\w{_LEET_CLASS}])+(?![^\s.,
 #: Marks around a token; an exclamation mark in front may be a letter.
 _BEFORE, _AFTER = ".,;:?\"'()[]{}«»“”‘’…-", ".,;:?!\"'()[]{}«»“”‘’…-"
 #: A worker remembers the words of so many tokens.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 
 def trigram_counts(batches):
