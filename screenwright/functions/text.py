@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Fixed value: ASCII punctuation.
+#: Fixed value: ASCII punctuation, in the order of its code points: the class [!-/:-@\\[-`{-~].
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def normalize(text: Column) -> Column:
     """Lower-cased, ASCII punctuation deleted, runs of Unicode white space to one space, trimmed."""
-    bare = F.translate(F.lower(text), PUNCTUATION, "")
-    return F.trim(F.regexp_replace(bare, r"(?U)\s+", " "))
+    bare = F.regexp_replace(F.lower(text), r"[!-/:-@\[-`{-~]++", "")
+    # only runs that aren't a single space are replaced
+    return F.trim(F.regexp_replace(bare, r"(?U)[\s&&[^ ]]\s*+| \s++", " "))
 
 
 def ngrams(text: Column, width: int = 60) -> Column:

@@ -3,8 +3,10 @@
 Alternates the large-star and small-star steps of Kiveris et al., "Connected
 Components in MapReduce and Beyond" (2014).  Each step is one aggregate and one
 equi-join on node ids; a hub only meets its neighbours as rows, never as a
-collected list, so a group that holds a third of all nodes is split by AQE like
-any other skewed join.  Every round is written to the shared folder.
+collected list.  The join has one row per node on its right side, so adaptive
+execution can split a hub's rows once they fill several partitions of the
+advisory size; below that they are small.  Every round is written to the shared
+folder.
 """
 
 from __future__ import annotations

@@ -9,11 +9,13 @@ test unless ``verified`` is asked for.
 
 from __future__ import annotations
 
+import hashlib
 from functools import partial
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from screenwright.functions.text import ngrams, normalize
 from screenwright.operators.components import connected_components
@@ -32,17 +34,27 @@ def check_bands(bands: int, rows: int, permutations: int) -> None:
         raise ValueError(f"{bands} bands of {rows} rows don't make {permutations} permutations")
 
 
+def digest(text: Column) -> Column:
+    """The SHA-256 of the normalised text, null if nothing is left of it; the text is normalised once."""
+    return F.nullif(F.sha2(normalize(text).cast("binary"), 256), F.lit(hashlib.sha256(b"").hexdigest()))
+
+
 def exact_groups(rows: DataFrame, text: Column) -> DataFrame:
-    """``rows`` with ``digest``, the SHA-256 of the normalised text (null if nothing is left of it)."""
-    norm = normalize(text)
-    return rows.withColumn("digest", F.when(F.length(norm) > 0, F.sha2(norm.cast("binary"), 256)))
+    """``rows`` with ``digest``."""
+    return rows.withColumn("digest", digest(text))
+
+
+def digests(rows: DataFrame, keep: list[str], text: Column) -> DataFrame:
+    """``keep`` and ``digest`` of each row, written once: what groups and decisions read in place of the texts."""
+    return materialize(rows.select(*keep, digest(text).alias("digest")), "digests")
 
 
 def decisions(rows: DataFrame, group: str, order: list[str], location: list[str]) -> DataFrame:
     """(location..., original_<location>...): every row of a group but the earliest, with that one.
 
-    One aggregate and one equi-join on the group; the aggregate combines on the
-    map side, and a group that holds a third of all rows is split by AQE.
+    One aggregate, which combines on the map side, and one equi-join on the
+    group.  ``rows`` should be narrow (``digests``); a group whose rows fill
+    several partitions of the advisory size is split by adaptive execution.
     """
     first = rows.where(F.col(group).isNotNull()).groupBy(group).agg(F.min(F.struct(*dict.fromkeys([*order, *location]))).alias("o"), F.count("*").alias("c")).where("c > 1")
     joined = rows.join(first.select(group, "o"), group)
@@ -53,44 +65,97 @@ def decisions(rows: DataFrame, group: str, order: list[str], location: list[str]
 
 
 def band_hashes(permutations: int, bands: int, width: int, batches):
-    """Adds ``bands``: one 64-bit hash per band of each text's signature (null without characters)."""
+    """Adds ``bands`` to the other columns: one 64-bit hash per band of each text's signature (null without characters)."""
     import pyarrow as pa
 
     for batch in batches:
-        out = []
-        for t in batch.column("text").to_pylist():
-            out.append(_bands(t or "", permutations, bands, width))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, type=pa.list_(pa.int64()))], names=["id", "bands"])
-
-
-def _bands(text: str, permutations: int, bands: int, width: int) -> list[int] | None:
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
-    if not len(points):
-        return None
+        at = batch.schema.get_field_index("text")
+        texts = batch.column(at).to_pylist()
+        made = []
+        for first, part in _blocks(texts):
+            made.append(_bands(part, permutations, bands, width))
+        flat = np.concatenate(made) if made else np.zeros((0, bands), dtype=np.int64)
+        empty = pa.array([not t for t in texts], type=pa.bool_())
+        offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * bands)
+        lists = pa.ListArray.from_arrays(offsets, pa.array(flat.ravel()), mask=empty) if len(texts) else pa.array([], type=pa.list_(pa.int64()))
+        names = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], lists], names=[*names, "bands"])
+
+
+#: Texts are hashed in blocks of about so many characters, whose hashes stay in a core's cache.
+BLOCK_CHARS = 1 << 16
+
+
+def _blocks(texts: list[str | None]):
+    """(index of the first text, texts) of consecutive blocks; a longer text is a block of its own."""
+    first, size, held = 0, 0, []
+    for i, t in enumerate(texts):
+        t = t or ""
+        if held and size + len(t) > BLOCK_CHARS:
+            yield first, held
+            first, size, held = i, 0, []
+        held.append(t)
+        size += len(t)
+    if held:
+        yield first, held
+
+
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The first powers of the base and of its inverse, modulo 2**64."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, BLOCK_CHARS + 1)
+        with np.errstate(over="ignore"):
+            _POWERS[:] = [np.cumprod(np.concatenate(([np.uint64(1)], np.full(size - 1, b, dtype=np.uint64)))) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return _POWERS
+
+
+def _bands(texts: list[str], permutations: int, bands: int, width: int) -> np.ndarray:
+    """A row of band hashes for each text; zeros for an empty one."""
+    out = np.zeros((len(texts), bands), dtype=np.uint64)
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    has = np.flatnonzero(sizes)
+    if not len(has):
+        return out.view(np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
+    forth, back = _powers(len(points) + 1)
     with np.errstate(over="ignore"):
-        w = min(width, len(points))
-        base = np.uint64(0x9E3779B97F4A7C15)
-        powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(points), base))))
-        prefix = np.concatenate(([np.uint64(0)], np.cumsum((points + np.uint64(0x1234567)) * powers[: len(points)])))
-        inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        undo = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(points), inverse))))
-        h = (prefix[w:] - prefix[:-w]) * undo[: len(points) - w + 1]
+        prefix = np.concatenate(([np.uint64(0)], np.cumsum((points + np.uint64(0x1234567)) * forth[: len(points)])))
+        begin = (np.cumsum(sizes) - sizes)[has]
+        span = np.minimum(sizes[has], width)
+        n = sizes[has] - span + 1
+        to = np.cumsum(n)
+        start = np.arange(int(to[-1])) + np.repeat(begin - (to - n), n)
+        h = (prefix[start + np.repeat(span, n)] - prefix[start]) * back[start]
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = np.unique((h ^ (h >> np.uint64(32))).astype(np.uint32))
-        signature = np.array([(x * _MULTIPLY[k] + _ADD[k]).min() for k in range(permutations)], dtype=np.uint64).reshape(bands, -1)
-        out = np.zeros(bands, dtype=np.uint64)
-        for column in signature.T:
-            out = (out ^ column) * np.uint64(0xFF51AFD7ED558CCD)
-            out ^= out >> np.uint64(33)
-    return out.view(np.int64).tolist()
+        x, at = (h ^ (h >> np.uint64(32))).astype(np.uint32), to - n
+        signature = np.empty((permutations, len(has)), dtype=np.uint64)
+        for k in range(permutations):
+            signature[k] = np.minimum.reduceat(x * _MULTIPLY[k] + _ADD[k], at)
+        made = np.zeros((bands, len(has)), dtype=np.uint64)
+        for row in signature.reshape(bands, -1, len(has)).transpose(1, 0, 2):
+            made = (made ^ row) * np.uint64(0xFF51AFD7ED558CCD)
+            made ^= made >> np.uint64(33)
+    out[has] = made.T
+    return out.view(np.int64)
+
+
+def signed(rows: DataFrame, keep: list[str], text: Column, bands: int, rows_each: int, width: int) -> DataFrame:
+    """``keep``, ``digest`` and ``bands`` (array<long>, null without characters) of each row, in one pass over the texts."""
+    check_bands(bands, rows_each, bands * rows_each)
+    norm = rows.select(*keep, normalize(text).alias("text"))
+    held = norm.select(*keep, F.nullif(F.sha2(F.col("text").cast("binary"), 256), F.lit(hashlib.sha256(b"").hexdigest())).alias("digest"), "text")
+    out = StructType([f for f in held.schema.fields if f.name != "text"]).add("bands", ArrayType(LongType()))
+    return held.mapInArrow(partial(band_hashes, bands * rows_each, bands, width), out)
 
 
 def banded(rows: DataFrame, id: str, text: Column, bands: int = BANDS, rows_each: int = ROWS, width: int = WIDTH) -> DataFrame:
     """(id, band, hash): a row per band of each hashable text."""
-    check_bands(bands, rows_each, bands * rows_each)
-    norm = rows.select(F.col(id).alias("id"), normalize(text).alias("text")).where(F.length("text") > 0)
-    made = norm.mapInArrow(partial(band_hashes, bands * rows_each, bands, width), "id long, bands array<long>")
-    return made.select("id", F.posexplode("bands").alias("band", "hash"))
+    made = signed(rows.select(F.col(id).alias("id"), text.alias("_t")), ["id"], F.col("_t"), bands, rows_each, width)
+    return made.where("bands is not null").select("id", F.posexplode("bands").alias("band", "hash"))
 
 
 def star_edges(bands: DataFrame) -> DataFrame:
@@ -99,28 +164,33 @@ def star_edges(bands: DataFrame) -> DataFrame:
     return bands.join(least, ["band", "hash"]).where("id <> b").select(F.col("id").alias("a"), "b").distinct()
 
 
-def collapsed(rows: DataFrame, id: str, text: Column) -> DataFrame:
-    """(id, rep): the smallest id with the same normalised text; exact copies enter the bands once."""
-    digest = exact_groups(rows.select(F.col(id).alias("id"), text.alias("text")), F.col("text")).where(F.col("digest").isNotNull())
-    reps = digest.groupBy("digest").agg(F.min("id").alias("rep"))
-    return digest.select("id", "digest").join(reps, "digest").select("id", "rep")
+def copies_of(made: DataFrame) -> DataFrame:
+    """(digest, rep, bands): the smallest id of each normalised text; exact copies enter the bands once."""
+    return made.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
 
 
 def near_duplicates(rows: DataFrame, id: str, text: Column, bands: int = BANDS, rows_each: int = ROWS, width: int = WIDTH) -> DataFrame:
     """(id, duplicate_of): every row that is removed, with the earliest row of its component."""
-    copies = materialize(collapsed(rows, id, text), "copies")
-    reps = rows.join(copies.where("id = rep").select(F.col("id").alias("_id")), F.col(id) == F.col("_id"), "left_semi")
-    edges = star_edges(materialize(banded(reps, id, text, bands, rows_each, width), "bands"))
+    made = materialize(signed(rows.select(F.col(id).alias("id"), text.alias("_t")), ["id"], F.col("_t"), bands, rows_each, width), "signed")
+    reps = materialize(copies_of(made), "copies")
+    edges = star_edges(materialize(reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("band", "hash")), "bands"))
     of = connected_components(edges).toDF("rep", "component")
-    out = copies.join(of, "rep", "left").select("id", F.coalesce("component", "rep").alias("duplicate_of"))
-    return out.where("id <> duplicate_of")
+    named = reps.select("digest", "rep").join(of, "rep", "left").select("digest", F.coalesce("component", "rep").alias("duplicate_of"))
+    return made.select("id", "digest").join(named, "digest").select("id", "duplicate_of").where("id <> duplicate_of")
 
 
 def cross_pairs(candidates: DataFrame, reference: DataFrame, id: str, ref_id: str, text: Column, ref_text: Column, bands: int = BANDS, rows_each: int = ROWS, width: int = WIDTH) -> DataFrame:
-    """(id, ref_id): candidates that share a band with a reference row; candidates aren't compared with each other."""
-    ours = banded(candidates, id, text, bands, rows_each, width)
-    theirs = banded(reference, ref_id, ref_text, bands, rows_each, width).withColumnRenamed("id", "ref")
-    return ours.join(theirs, ["band", "hash"]).select(F.col("id").alias(id), F.col("ref").alias(ref_id)).distinct()
+    """(id, ref_id): candidates that share a band with a reference row; candidates aren't compared with each other.
+
+    Exact copies of either side meet as one row and are named again at the end.
+    """
+    sides = []
+    for rows, key, t in ((candidates, id, text), (reference, ref_id, ref_text)):
+        made = materialize(signed(rows.select(F.col(key).alias("id"), t.alias("_t")), ["id"], F.col("_t"), bands, rows_each, width), "signed")
+        sides.append((made.where("digest is not null").select("id", "digest"), copies_of(made).select("digest", F.posexplode("bands").alias("band", "hash"))))
+    (ours, a), (theirs, b) = sides
+    met = materialize(a.join(b.withColumnRenamed("digest", "ref_digest"), ["band", "hash"]).select("digest", "ref_digest").distinct(), "met")
+    return met.join(ours.withColumnRenamed("id", id), "digest").join(theirs.select(F.col("id").alias(ref_id), F.col("digest").alias("ref_digest")), "ref_digest").select(id, ref_id)
 
 
 def word_windows(rows: DataFrame, keys: list[str], text: Column, widths: list[int], short: bool = False) -> DataFrame:

@@ -187,3 +187,72 @@ def matched_by_overlap(left: list[tuple[str, int, int]], right: list[tuple[str,
             used_l.add(i)
             used_r.add(j)
     return len(used_l)
+
+
+# Shared names for the labels of several models and of the pattern scan.
+CATEGORY_OF = {
+    "private_address": "address", "street_address": "address", "postcode": "address", "coordinate": "address", "private_date": "date", "date_of_birth": "date",
+    "private_email": "email", "email": "email", "private_person": "person", "first_name": "person", "last_name": "person", "private_phone": "phone", "phone_number": "phone",
+    "fax_number": "phone", "private_url": "url", "url": "url", "user_name": "account", "account_number": "account", "password": "secret", "pin": "secret", "cvv": "secret", "secret": "secret",
+}
+LABEL_OF_PATTERN = {
+    "btc_addresses": "account_number", "credit_cards": "credit_debit_card", "emails": "email", "ips": "ipv4", "ipv6s": "ipv6", "phones": "phone_number", "phones_with_exts": "phone_number",
+    "po_boxes": "street_address", "postcodes": "postcode", "street_addresses": "street_address", "zip_codes": "postcode",
+}
+LABEL_OF_MODEL = {"private_email": "email", "private_phone": "phone_number", "private_address": "street_address", "private_person": "person_name", "private_url": "url", "private_date": "date_of_birth"}
+
+
+def mapped_label(label: Column, names: dict[str, str]) -> Column:
+    """A label under its shared name; others stay as they are."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), label), label)
+
+
+def highlight(text: Column, start: Column, end: Column, shown: int | None = None) -> Column:
+    """struct<matched, why>: the text of a span, or why it can't be placed: no such message, outside of its text, beyond what is shown."""
+    inside = F.coalesce((start >= 0) & (start < end) & (end <= F.length(text)), F.lit(False))
+    beyond = (end > shown) if shown is not None else F.lit(False)
+    why = F.when(text.isNull(), F.lit("no such message")).when(~inside, F.lit("outside of the text")).when(beyond, F.lit("beyond the part that is shown"))
+    return F.struct(F.when(why.isNull(), F.substring(text, start + 1, end - start)).alias("matched"), why.alias("why"))
+
+
+def overlapping(left: DataFrame, right: DataFrame, key: list[str], least: float) -> DataFrame:
+    """(key..., label, a_start, a_end, b_start, b_end, overlap): pairs of spans (key..., label, start, end) of a text with the same label that overlap by ``least`` or more of their union."""
+    a = left.select(*key, "label", F.col("start").alias("a_start"), F.col("end").alias("a_end"))
+    b = right.select(*key, "label", F.col("start").alias("b_start"), F.col("end").alias("b_end"))
+    both = F.greatest(F.lit(0), F.least("a_end", "b_end") - F.greatest("a_start", "b_start"))
+    union = F.greatest("a_end", "b_end") - F.least("a_start", "b_start")
+    overlap = F.when(union > 0, both / union).otherwise(F.lit(1.0))
+    return a.join(b, [*key, "label"]).withColumn("overlap", overlap).where(F.col("overlap") >= least)
+
+
+def matched_spans(left: DataFrame, right: DataFrame, key: list[str], least: float) -> DataFrame:
+    """(key..., n_left, n_right, n_matched): spans matched one to one, pairs of the largest overlap first (then the later positions).
+
+    The greedy choice runs over the pairs of one text, which a task holds.
+    """
+    pairs = overlapping(left, right, key, least)
+    gathered = pairs.groupBy(*key).agg(F.collect_list(F.struct("overlap", "label", "a_start", "a_end", "b_start", "b_end")).alias("pairs"))
+
+    def greedy(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for row in batch.column("pairs").to_pylist():
+                used: set[tuple] = set()
+                n = 0
+                for p in sorted(row, key=lambda p: (-p["overlap"], p["label"], p["a_start"], p["a_end"], p["b_start"], p["b_end"])):
+                    a, b = ("a", p["label"], p["a_start"], p["a_end"]), ("b", p["label"], p["b_start"], p["b_end"])
+                    if a not in used and b not in used:
+                        used |= {a, b}
+                        n += 1
+                out.append(n)
+            kept = [n for n in batch.schema.names if n != "pairs"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], pa.array(out, type=pa.int64())], names=[*kept, "n_matched"])
+
+    kinds = ", ".join(f"`{k}` {left.schema[k].dataType.simpleString()}" for k in key)
+    n = gathered.mapInArrow(greedy, f"{kinds}, n_matched long")
+    a = left.groupBy(*key).agg(F.count("*").alias("n_left"))
+    b = right.groupBy(*key).agg(F.count("*").alias("n_right"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return a.join(b, key, "full_outer").join(n, key, "left").select(*key, zero("n_left"), zero("n_right"), zero("n_matched"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screenwright.functions.validators import validated
+from screenwright.functions.validators import CATEGORIES, validated
 
-#: Patterns by category; a match is the whole of group 0.  They avoid look-arounds where another engine must follow.
+#: Patterns by category; a match is the whole of group 0.  A lookbehind and possessive quantifiers keep the address pattern from
+#: scanning a run twice; its matches are those of the plain ``local@label(.label)+``.
 PATTERNS = {
-    "emails": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "emails": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "phones": r"(?:\+?1[-. ]?)?\(?[2-9][0-9]{2}\)?[-. ][0-9]{3}[-. ][0-9]{4}",
     "ips": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
     "ipv6s": r"(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}",
@@ -30,9 +31,9 @@ def _named(category: str):
     return lambda v: F.struct(F.lit(category).alias("category"), v.alias("value"))
 
 
-def validate(found: DataFrame) -> DataFrame:
-    """The hits that survive the validator of their category."""
-    return found.where(validated(F.col("category"), F.col("value")))
+def validate(found: DataFrame, categories: list[str] | None = None) -> DataFrame:
+    """The hits that survive the validator of their category; ``categories`` (default: all) says which there can be, so that only their rules are planned."""
+    return found.where(validated(F.col("category"), F.col("value"), tuple(categories) if categories else CATEGORIES, from_patterns=categories is not None))
 
 
 def extract(found: DataFrame, rows: DataFrame, location: list[str], text: str) -> DataFrame:
@@ -82,11 +83,31 @@ def match_kinds(reply: Column, target: Column, category: Column) -> Column:
 
 
 def redact(text: Column, target: Column, mark: str = "[REDACTED]") -> Column:
-    """The text without a value: literally, or else ignoring case (3 characters or more), or else by its digits (7 or more) with separators between; null if it is not found."""
-    quoted = F.regexp_replace(target, r"([\\.\[\]{}()*+?^$|/-])", r"\\$1")
+    """The text without a value, null if it is not found: every literal place (as it is and trimmed), then those that differ in case (3 characters or more), then those of the same digits (7 or more) with anything but digits between them."""
+    trimmed = F.trim(target)
+    quoted = F.regexp_replace(trimmed, r"([\\.\[\]{}()*+?^$|/-])", r"\\$1")
     d = F.regexp_replace(target, "[^0-9]", "")
-    spaced = F.concat(F.lit("(?<![0-9])"), F.array_join(F.filter(F.split(d, ""), lambda x: x != ""), r"[^0-9]{0,3}"), F.lit("(?![0-9])"))
-    plain = F.replace(text, target, F.lit(mark))
-    folded = F.call_function("regexp_replace", text, F.concat(F.lit("(?i)"), quoted), F.lit(mark))
-    by_digits = F.call_function("regexp_replace", text, spaced, F.lit(mark))
-    return F.when(text.contains(target), plain).when((F.length(target) >= 3) & (folded != text), folded).when((F.length(d) >= 7) & (by_digits != text), by_digits)
+    spaced = F.concat(F.lit("(?<![0-9])"), F.array_join(F.filter(F.split(d, ""), lambda x: x != ""), r"[^0-9]*+"), F.lit("(?![0-9])"))
+    plain = F.replace(F.replace(text, target, F.lit(mark)), trimmed, F.lit(mark))
+    folded = F.when(F.length(trimmed) >= 3, F.call_function("regexp_replace", plain, F.concat(F.lit("(?iu)"), quoted), F.lit(mark))).otherwise(plain)
+    bare = F.when(F.length(d) >= 7, F.call_function("regexp_replace", folded, spaced, F.lit(mark))).otherwise(folded)
+    return F.when((F.length(trimmed) > 0) & (bare != text), bare)
+
+
+OMITTED = "[context left out: the value was not found in it]"
+
+
+def redacted_context(text: Column, target: Column) -> Column:
+    """The redacted text; the text as it is without a target; a note in its place if the target is not found."""
+    return F.when(F.length(F.trim(target)) > 0, F.coalesce(redact(text, target), F.lit(OMITTED))).otherwise(text)
+
+
+def value_places(text: Column, value: Column, limit: int = 50) -> Column:
+    """array<struct<start, end>>: where a value stands in a text, the first ``limit`` places, without overlap; empty if it is not there.
+
+    The pieces between the places give their positions.
+    """
+    pieces = F.split(text, F.concat(F.lit(r"\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")), -1)
+    n, size = F.least(F.size(pieces) - 1, F.lit(limit)), F.length(value)
+    begin = F.aggregate(F.slice(pieces, F.lit(1), n), F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("out")), lambda acc, p: F.struct((acc["pos"] + F.length(p) + size).alias("pos"), F.concat(acc["out"], F.array(acc["pos"] + F.length(p))).alias("out")), lambda acc: acc["out"])
+    return F.when(F.coalesce(size > 0, F.lit(False)) & (n > 0), F.transform(begin, lambda b: F.struct(b.alias("start"), (b + size).alias("end")))).otherwise(F.array().cast("array<struct<start:int,end:int>>"))

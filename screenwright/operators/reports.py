@@ -73,8 +73,14 @@ def index(decided: DataFrame, text: Column) -> DataFrame:
 
 
 def page(rows: DataFrame, order: list[str], number: int, size: int) -> DataFrame:
-    """The rows of a page (counted from 0) in a total order."""
-    return rows.orderBy(*order).offset(number * size).limit(size)
+    """The rows of a page (counted from 0) in a total order, with ``total`` and ``has_next``.
+
+    Rows are numbered by range partitions, so a page far behind costs what the
+    first one does: no task gathers what stands before it.
+    """
+    total = rows.count()
+    held = numbered(rows, order, name="_n").where((F.col("_n") > number * size) & (F.col("_n") <= (number + 1) * size))
+    return held.orderBy("_n").drop("_n").withColumn("total", F.lit(total).cast("long")).withColumn("has_next", F.lit((number + 1) * size < total))
 
 
 def top(rows: DataFrame, group: str, k: int) -> DataFrame:
@@ -114,7 +120,7 @@ def first_prefix(rows: DataFrame, path: str, groups: DataFrame) -> DataFrame:
     each path is exploded to those of its own prefixes that have the length of
     some group's prefix, and these join by equality.
     """
-    lengths = F.array(*map(F.lit, sorted({r[0] for r in groups.select(F.length("prefix")).distinct().limit(1000).collect()}) or [0]))
+    lengths = F.array(*map(F.lit, sorted({r[0] for r in groups.select(F.length("prefix")).distinct().collect()}) or [0]))
     keyed = rows.select(F.col(path).alias("_path")).distinct().select("_path", F.explode(lengths).alias("_n")).where(F.length("_path") >= F.col("_n"))
     met = keyed.withColumn("prefix", F.expr("substring(_path, 1, _n)")).join(groups, "prefix").groupBy("_path").agg(F.min_by("group", "rank").alias("group"))
     return rows.join(met, F.col(path) == F.col("_path"), "left").drop("_path")

@@ -40,23 +40,17 @@ def guard_outcome_final(verdict: Column, error: Column | None = None) -> Column:
     return known if error is None else F.when(F.length(error) > 0, F.lit("error")).otherwise(known)
 
 
-def parse_guard(reply: Column) -> Column:
-    """struct<safety, categories, refusal> of a guard reply; categories without repeats, in order."""
-    first = lambda p: F.nullif(F.regexp_extract(reply, p, 1), F.lit(""))
-    said = F.filter(F.transform(F.split(first(r"(?im)^\s*Categories:\s*(.*)$"), ","), lambda c: F.trim(c)), lambda c: (c != "") & (F.lower(c) != "none"))
-    return F.struct(first(r"(?i)Safety:\s*(Safe|Unsafe|Controversial)").alias("safety"), F.coalesce(F.array_distinct(said), F.array().cast("array<string>")).alias("categories"), first(r"(?i)Refusal:\s*(Yes|No)").alias("refusal"))
-
-
-def parse_score_tag(reply: Column) -> Column:
-    """The last ``<score>`` of a reply as an integer, else null."""
-    return F.try_element_at(F.regexp_extract_all(reply, F.lit(r"(?is)<score>\s*([0-9]+)\s*</score>"), F.lit(1)), F.lit(-1)).try_cast("int")
+# The categories that the guard names.
+CATEGORIES = ("Violent", "Non-violent Illegal Acts", "Sexual Content or Sexual Acts", "PII", "Suicide & Self-Harm", "Unethical Acts", "Politically Sensitive Topics", "Copyright Violation", "Jailbreak", "None")
 
 
-def parse_json_reply(reply: Column) -> Column:
-    """The JSON object of a reply as VARIANT: all of it, a fenced block, or from the first brace to the last."""
-    fenced = F.nullif(F.regexp_extract(reply, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1), F.lit(""))
-    braces = F.nullif(F.regexp_extract(reply, r"(?s)(\{.*\})", 1), F.lit(""))
-    return F.coalesce(F.try_parse_json(reply), F.try_parse_json(fenced), F.try_parse_json(braces))
+def parse_guard(reply: Column, last_role: Column | None = None) -> Column:
+    """struct<safety, categories, refusal> of a guard reply; every category that it names, without repeats, in order; a refusal only after an assistant's message."""
+    first = lambda p: F.nullif(F.regexp_extract(reply, p, 1), F.lit(""))
+    said = F.array_distinct(F.regexp_extract_all(reply, F.lit("(" + "|".join(CATEGORIES) + ")"), F.lit(1)))
+    refusal = first(r"Refusal:\s*(Yes|No)")
+    refusal = refusal if last_role is None else F.when(last_role == "assistant", refusal)
+    return F.struct(first(r"Safety:\s*(Safe|Unsafe|Controversial)").alias("safety"), F.coalesce(said, F.array().cast("array<string>")).alias("categories"), refusal.alias("refusal"))
 
 
 def atoms(verdict: Column, categories: Column) -> Column:
@@ -97,14 +91,40 @@ def record_impact(messages: DataFrame, location: list[str], outcome: str, names:
     return per.groupBy(*[f"has_{n}" for n in names]).agg(F.count("*").alias("n_records"), F.sum("n").alias("n_messages"))
 
 
-def locate(messages: Column, role: Column, content: Column) -> Column:
-    """The index of the flagged message: the last with that role and content, else the last of that role, else null."""
-    at = F.transform(messages, lambda m, i: F.struct(i.alias("i"), (m["role"] == role).alias("r"), ((m["role"] == role) & (m["content"] == content)).alias("e")))
-    exact, same = F.filter(at, lambda x: x["e"]), F.filter(at, lambda x: x["r"])
-    return F.coalesce(F.try_element_at(exact, F.lit(-1))["i"], F.try_element_at(same, F.lit(-1))["i"])
+def locate(messages: Column, text: Column) -> Column:
+    """struct<index, kind>: which message a scored text ``role: content`` is: the last one equal to it (exact), else the last of its role (fallback), else missing.
+
+    Texts of other roles than user and assistant fall back to the user.
+    """
+    role, content = F.regexp_extract(text, r"(?s)^(.*?): ", 1), F.regexp_extract(text, r"(?s)^.*?: (.*)$", 1)
+    other = F.when(role.isin("user", "assistant"), role).when(text.startswith("assistant:"), F.lit("assistant")).otherwise(F.lit("user"))
+    at = F.transform(messages, lambda m, i: F.struct(i.alias("i"), (m["role"] == other).alias("r"), (role.isin("user", "assistant", "system", "tool") & (m["role"] == role) & (m["content"] == content)).alias("e")))
+    exact = F.try_element_at(F.filter(at, lambda x: x["e"]), F.lit(-1))["i"]
+    same = F.try_element_at(F.filter(at, lambda x: x["r"]), F.lit(-1))["i"]
+    return F.struct(F.coalesce(exact, same).alias("index"), F.when(exact.isNotNull(), F.lit("exact")).when(same.isNotNull(), F.lit("fallback")).otherwise(F.lit("missing")).alias("kind"))
+
+
+def policy_keeps(policy: Column) -> Column:
+    """Whether the policy judge called a message suitable, which un-flags it; no policy changes nothing."""
+    return F.coalesce(policy == "KEEP_GENERAL", F.lit(False))
+
+
+def needs_policy(outcome: Column, policy: Column) -> Column:
+    """Messages that go to the policy judge: flagged by the guard, and not judged yet."""
+    return outcome.isin("unsafe", "controversial") & policy.isNull()
 
 
 def agreement(left: Column, right: Column) -> Column:
     """Share of equal actions; REVIEW and missing ones are left out; null if nothing is comparable."""
     comparable = left.isin("KEEP", "FILTER") & right.isin("KEEP", "FILTER")
     return F.avg(F.when(comparable, (left == right).cast("double")))
+
+
+def what_if(messages: DataFrame, location: list[str], outcome: str, steps: tuple[tuple[str, ...], ...]) -> DataFrame:
+    """(removed, n_removed, n_left): records that go if messages of these outcomes remove theirs, for each of ``steps``."""
+    names = sorted({n for s in steps for n in s})
+    per = messages.groupBy(*location).agg(*[F.max((F.col(outcome) == n).cast("int")).alias(f"o{i}") for i, n in enumerate(names)])
+    gone = [sum((F.col(f"o{names.index(n)}") for n in s), F.lit(0)) > 0 for s in steps]
+    one = per.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(g.cast("long")), F.lit(0)).alias(f"g{i}") for i, g in enumerate(gone)])
+    each = F.array(*[F.struct(F.lit("+".join(s)).alias("removed"), F.col(f"g{i}").alias("n_removed"), (F.col("n") - F.col(f"g{i}")).alias("n_left")) for i, s in enumerate(steps)])
+    return one.select(F.explode(each).alias("s")).select("s.removed", "s.n_removed", "s.n_left")

@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from screenwright.functions.text import PUNCTUATION
 
 
+_Q: dict = {}
+_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function (spark, sf_dir) as a query, with its SQL if there is one."""
+    def add(f):
+        _Q[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,31 +10,17 @@ from screenwright.functions.validators import validated
 from screenwright.operators import dedup, filtering, ner, pii, quality, reports, toxicity
 from screenwright.operators.numbering import numbered
 from screenwright.plans import base as B
-from screenwright.plans.base import chats, rows, table
+from screenwright.plans.base import chats, query, rows, table
 from screenwright.storage import materialize
 
 FLAGSHIP = "filter_decisions"
 LOC = ["source_file", "source_line"]
-_Q: dict = {}
-_SQL: dict = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        _Q[f.__name__] = f
-        if sql is not None:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 def queries() -> dict:
-    return dict(_Q)
+    return dict(B._Q)
 
 
 def oracle_sql() -> dict:
-    return dict(_SQL)
+    return dict(B._SQL)
 
 
 # --- rows, fingerprints, normalisation -------------------------------------------------
@@ -71,7 +57,7 @@ def file_manifest(spark, d) -> DataFrame:
 
 
 def _decided(spark, d) -> DataFrame:
-    return dedup.decisions(dedup.exact_groups(rows(spark, d), F.col("text")), "digest", LOC, LOC)
+    return dedup.decisions(dedup.digests(rows(spark, d), LOC, F.col("text")), "digest", LOC, LOC)
 
 
 @query(f"WITH {B.DECIDED} SELECT * FROM dec")
@@ -109,7 +95,7 @@ _RANKED = "CASE source WHEN 'src7' THEN 0 WHEN 'src3' THEN 1 ELSE 2 END"
 @query(f"""WITH {B.NORMED}, first AS (SELECT digest, min(struct_pack(r := {_RANKED}, s := source, l := doc_id)) AS o FROM n WHERE digest IS NOT NULL GROUP BY digest HAVING count(*) > 1)
 SELECT doc_id, o.s AS kept_in, o.l AS original FROM n JOIN first USING (digest) WHERE doc_id <> o.l""")
 def dup_priority_order(spark, d) -> DataFrame:
-    ranked = dedup.exact_groups(rows(spark, d), F.col("text")).withColumn("rank", dedup.priority_order(F.col("source_file"), ["src3"], ["src7"]))
+    ranked = dedup.digests(rows(spark, d), LOC, F.col("text")).withColumn("rank", dedup.priority_order(F.col("source_file"), ["src3"], ["src7"]))
     out = dedup.decisions(ranked, "digest", ["rank", *LOC], LOC)
     return out.select(F.col("source_line").alias("doc_id"), F.col("original_source_file").alias("kept_in"), F.col("original_source_line").alias("original"))
 
@@ -141,15 +127,16 @@ def char_ngrams_count(spark, d) -> DataFrame:
 
 
 _MD5 = f"""l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents),
-x AS (SELECT doc_id * 100000 + i AS doc_id, {B.norm("text")} AS t FROM l), y AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(length(t) - 59, 1) + 1), lambda i: substr(t, i, 60))) AS g FROM x WHERE length(t) > 0),
+x AS (SELECT doc_id * 2147483648 + i AS doc_id, {B.norm("text")} AS t FROM l), y AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(length(t) - 59, 1) + 1), lambda i: substr(t, i, 60))) AS g FROM x WHERE length(t) > 0),
 z AS (SELECT doc_id, unnest([0, 1]) AS band, unnest([list_min(list_transform(g, lambda v: md5('0:' || v))) || '|' || list_min(list_transform(g, lambda v: md5('1:' || v))),
   list_min(list_transform(g, lambda v: md5('2:' || v))) || '|' || list_min(list_transform(g, lambda v: md5('3:' || v)))]) AS hash FROM y),
 e AS (SELECT DISTINCT doc_id AS a, b FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY band, hash) AS b FROM z) WHERE doc_id <> b)"""
 
 
 def _md5_edges(spark, d) -> DataFrame:
+    # a text has fewer than 2**31 lines
     lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "text"))
-    lines = lines.select((F.col("doc_id") * 100000 + F.col("i")).alias("id"), "text")
+    lines = lines.select((F.col("doc_id") * 2147483648 + F.col("i")).alias("id"), "text")
     return dedup.star_edges(materialize(dedup.md5_bands(lines, "id", F.col("text"), 2, 2), "md5-bands"))
 
 
@@ -173,9 +160,9 @@ def near_duplicates_lsh(spark, d) -> DataFrame:
 
 @query()
 def candidate_pairs_lsh(spark, d) -> DataFrame:
-    docs = table(spark, d, "documents")
-    copies = materialize(dedup.collapsed(docs, "doc_id", F.col("text")), "copies").where("id = rep").select(F.col("id").alias("doc_id"))
-    bands = materialize(dedup.banded(docs.join(copies, "doc_id", "left_semi"), "doc_id", F.col("text")), "bands")
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    made = dedup.signed(docs, ["id"], F.col("text"), dedup.BANDS, dedup.ROWS, dedup.WIDTH)
+    bands = materialize(dedup.copies_of(made), "copies").select(F.posexplode("bands").alias("band", "hash"))
     return bands.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1").groupBy("band").agg(F.count("*").alias("n_buckets"), F.max("n").alias("largest"))
 
 
@@ -184,16 +171,15 @@ def contamination_lsh(spark, d) -> DataFrame:
     return dedup.cross_pairs(table(spark, d, "documents"), table(spark, d, "benchmark"), "doc_id", "item_id", F.col("text"), F.col("text"), 64, 4)
 
 
-_CONTAINED = f"""i AS (SELECT item_id, array_to_string(list_slice(string_split({B.norm("text")}, ' '), 1, 8), ' ') AS head, len(string_split({B.norm("text")}, ' ')) AS k FROM benchmark),
-w AS (SELECT doc_id, source, ' ' || {B.norm("text")} || ' ' AS norm FROM documents),
-pairs AS (SELECT DISTINCT doc_id, source, item_id FROM w JOIN i ON contains(norm, ' ' || head || ' ') WHERE k >= 8)"""
+_CONTAINED = f"""i AS (SELECT item_id, string_split(t, ' ') AS w FROM (SELECT item_id, {B.norm("text")} AS t FROM benchmark) WHERE length(t) > 0),
+iw AS (SELECT DISTINCT item_id, least(len(w), 8) AS n, array_to_string(list_slice(w, k, k + least(len(w), 8) - 1), ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 7, 1) + 1)) AS k FROM i)),
+dw AS (SELECT doc_id, source, string_split(t, ' ') AS w FROM (SELECT doc_id, source, {B.norm("text")} AS t FROM documents) WHERE length(t) > 0),
+dg AS (SELECT doc_id, source, n, array_to_string(list_slice(w, k, k + n - 1), ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS k FROM dw, (SELECT DISTINCT n FROM iw))),
+pairs AS (SELECT DISTINCT doc_id, source, item_id FROM dg JOIN iw USING (n, g))"""
 
 
 def _contained(spark, d) -> DataFrame:
-    """(doc_id, source, item_id): documents that hold 8 successive normalised words of a benchmark item from anywhere in it, or all of a shorter item.
-
-    The SQL above looks for the head of an item only, which comes to the same where passages begin at the head, as in the driver's tables.
-    """
+    """(doc_id, source, item_id): documents that hold 8 successive normalised words of a benchmark item from anywhere in it, or all of a shorter item."""
     return dedup.containing(table(spark, d, "documents"), table(spark, d, "benchmark"), ["doc_id", "source"], "item_id", F.col("text"), F.col("text"))
 
 
@@ -207,7 +193,7 @@ SELECT bench, count(DISTINCT g.item_id) AS hashed, count(DISTINCT pairs.item_id)
   round(100.0::DOUBLE * count(DISTINCT pairs.item_id) / count(DISTINCT g.item_id), 4) AS percent FROM g LEFT JOIN pairs USING (item_id) GROUP BY bench""")
 def contamination_by_benchmark(spark, d) -> DataFrame:
     items = table(spark, d, "benchmark").select("item_id", (F.col("item_id") % 4).alias("bench"))
-    pairs = _contained(spark, d).join(F.broadcast(items), "item_id")
+    pairs = _contained(spark, d).join(items, "item_id")
     return dedup.contamination(pairs, items, "bench", "item_id", "doc_id")
 
 
@@ -260,7 +246,7 @@ def compared_messages_prompt(spark, d) -> DataFrame:
 f AS (SELECT norm, min(conv_id) AS o FROM x WHERE length(norm) > 0 GROUP BY norm) SELECT conv_id, o AS original_conv_id FROM x JOIN f USING (norm) WHERE conv_id <> o""")
 def conversation_dedup_prompt(spark, d) -> DataFrame:
     c = chats(spark, d).select("conv_id", T.dedup_text(F.col("text"), F.col("messages"), "prompt", True).alias("text"))
-    return dedup.decisions(dedup.exact_groups(c, F.col("text")), "digest", ["conv_id"], ["conv_id"])
+    return dedup.decisions(dedup.digests(c, ["conv_id"], F.col("text")), "digest", ["conv_id"], ["conv_id"])
 
 
 @query(f"WITH {B.TURNS} SELECT conv_id, substr(trim(regexp_replace(string_agg(content, chr(10) ORDER BY i), '\\s+', ' ', 'g')), 1, 160) AS preview FROM t GROUP BY conv_id")
@@ -284,14 +270,14 @@ def pii_hits(spark, d) -> DataFrame:
 
 @query(f"WITH {B.HITS}, {B.VALID} SELECT source_file, source_line, category, value FROM valid")
 def pii_validated(spark, d) -> DataFrame:
-    return pii.validate(_hits(spark, d))
+    return pii.validate(_hits(spark, d), _CATEGORIES)
 
 
 @query(f"""WITH {B.HITS}, {B.VALID}, r AS (SELECT category, count(*) AS raw FROM h GROUP BY 1), k AS (SELECT category, count(*) AS validated FROM valid GROUP BY 1)
 SELECT category, raw, coalesce(validated, 0) AS validated, round(coalesce(validated, 0)::DOUBLE / raw, 6) AS keep_rate FROM r LEFT JOIN k USING (category)""")
 def pii_hits_by_category(spark, d) -> DataFrame:
     raw = materialize(_hits(spark, d), "hits")
-    return pii.by_category(raw, pii.validate(raw))
+    return pii.by_category(raw, pii.validate(raw, _CATEGORIES))
 
 
 @query(f"WITH {B.HITS} SELECT category, count(DISTINCT source_file || ':' || source_line) AS n_rows FROM h GROUP BY category UNION ALL SELECT 'TOTAL', count(DISTINCT source_file || ':' || source_line) FROM h")
@@ -316,19 +302,34 @@ def probe_repeat_filter(spark, d) -> DataFrame:
     return pii.first_occurrence(_hits(spark, d), LOC, 1).groupBy("category").agg(F.count("*").alias("n_values"))
 
 
-@query(f"""WITH {B.HITS}, p AS (SELECT h.*, upper(text) AS reply, regexp_replace(value, '[^0-9]', '', 'g') AS dg FROM h JOIN documents ON source = source_file AND doc_id = source_line)
-SELECT source_file, source_line, category, value, array_to_string(list_filter([CASE WHEN contains(reply, value) THEN 'exact' END, 'casefold', 'whitespace_casefold',
-  CASE WHEN length(dg) >= 7 AND contains(regexp_replace(reply, '[^0-9]', '', 'g'), dg) THEN 'digits' END,
-  CASE WHEN regexp_matches(category, 'email|phone') AND length(regexp_replace(lower(value), '[\\W_]', '', 'g')) >= 6 THEN 'compact' END], lambda x: x IS NOT NULL), ',') AS kinds FROM p""")
+_ASKED = "h JOIN documents ON source = source_file AND doc_id = source_line"
+_LOOSE = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
+_COMPACT = "regexp_replace(lower({}), '[^\\p{{L}}\\p{{M}}\\p{{Nd}}]', '', 'g')"
+
+
+@query(f"""WITH {B.HITS}, p AS (SELECT h.*, CASE source_line % 4 WHEN 0 THEN upper(text) WHEN 1 THEN text WHEN 2 THEN regexp_replace(text, '[-. ()]', ' / ', 'g') ELSE 'nothing' END AS reply, regexp_replace(value, '[^0-9]', '', 'g') AS dg FROM {_ASKED})
+SELECT source_file, source_line, category, value, array_to_string(list_filter([CASE WHEN contains(reply, value) THEN 'exact' END, CASE WHEN contains(lower(reply), lower(value)) THEN 'casefold' END,
+  CASE WHEN contains({_LOOSE.format("reply")}, {_LOOSE.format("value")}) THEN 'whitespace_casefold' END, CASE WHEN length(dg) >= 7 AND contains(regexp_replace(reply, '[^0-9]', '', 'g'), dg) THEN 'digits' END,
+  CASE WHEN regexp_matches(category, 'email|phone') AND length({_COMPACT.format("value")}) >= 6 AND contains({_COMPACT.format("reply")}, {_COMPACT.format("value")}) THEN 'compact' END], lambda x: x IS NOT NULL), ',') AS kinds FROM p""")
 def response_match_kinds(spark, d) -> DataFrame:
-    both = pii.extract(_hits(spark, d), rows(spark, d), LOC, "text")
-    return both.select(*LOC, "category", "value", F.array_join(pii.match_kinds(F.upper("whole_line"), F.col("value"), F.col("category")), ",").alias("kinds"))
+    both, k = pii.extract(_hits(spark, d), rows(spark, d), LOC, "text"), F.col("source_line") % 4
+    reply = F.when(k == 0, F.upper("whole_line")).when(k == 1, F.col("whole_line")).when(k == 2, F.regexp_replace("whole_line", "[-. ()]", " / ")).otherwise(F.lit("nothing"))
+    return both.select(*LOC, "category", "value", F.array_join(pii.match_kinds(reply, F.col("value"), F.col("category")), ",").alias("kinds"))
+
+
+_MARK = "'[REDACTED]'"
 
 
-@query(f"WITH {B.HITS} SELECT source_file, source_line, category, value, md5(replace(text, value, '[REDACTED]')) AS redacted_md5 FROM h JOIN documents ON source = source_file AND doc_id = source_line")
+@query(f"""WITH {B.HITS}, p AS (SELECT h.*, text, CASE source_line % 4 WHEN 0 THEN value WHEN 1 THEN upper(value) WHEN 2 THEN regexp_replace(value, '[^0-9A-Za-z]', '/', 'g') ELSE '' END AS asked FROM {_ASKED}),
+a AS (SELECT *, regexp_replace(asked, '[^0-9]', '', 'g') AS dg, CASE WHEN asked = '' THEN text ELSE replace(text, asked, {_MARK}) END AS t1 FROM p),
+b AS (SELECT *, CASE WHEN length(asked) >= 3 THEN regexp_replace(t1, '(?i)' || regexp_escape(asked), {_MARK}, 'g') ELSE t1 END AS t2 FROM a),
+c AS (SELECT *, CASE WHEN length(dg) >= 7 THEN regexp_replace(t2, '(^|[^0-9])' || array_to_string(string_split(dg, ''), '[^0-9]*') || '($|[^0-9])', '\\1[REDACTED]\\2', 'g') ELSE t2 END AS t3 FROM b)
+SELECT source_file, source_line, category, value, t3 <> text AS found, md5(CASE WHEN asked = '' OR t3 <> text THEN t3 ELSE '[context left out: the value was not found in it]' END) AS context_md5 FROM c""")
 def redacted_contexts(spark, d) -> DataFrame:
-    both = pii.extract(_hits(spark, d), rows(spark, d), LOC, "text")
-    return both.select(*LOC, "category", "value", F.md5(pii.redact(F.col("whole_line"), F.col("value")).cast("binary")).alias("redacted_md5"))
+    both, k = pii.extract(_hits(spark, d), rows(spark, d), LOC, "text"), F.col("source_line") % 4
+    asked = F.when(k == 0, F.col("value")).when(k == 1, F.upper("value")).when(k == 2, F.regexp_replace("value", "[^0-9A-Za-z]", "/")).otherwise(F.lit(""))
+    found = pii.redact(F.col("whole_line"), asked).isNotNull()
+    return both.select(*LOC, "category", "value", found.alias("found"), F.md5(pii.redacted_context(F.col("whole_line"), asked).cast("binary")).alias("context_md5"))
 
 
 @query()
@@ -399,10 +400,21 @@ def messages_per_record(spark, d) -> DataFrame:
     return per.groupBy("n_unsafe").agg(F.count("*").alias("n_records"))
 
 
-@query("""SELECT doc_id, 'Unsafe' AS safety, 'Violent,PII' AS categories, 'No' AS refusal FROM labels WHERE toxic = 1 UNION ALL SELECT doc_id, 'Safe', '', 'Yes' FROM labels WHERE toxic = 0""")
+_REPLY = """CASE doc_id % 6 WHEN 0 THEN 'Safety: Unsafe' || chr(10) || 'Categories: Violent, PII, Violent' || chr(10) || 'Refusal: No' WHEN 1 THEN 'Safety: Safe' || chr(10) || 'Categories: None' || chr(10) || 'Refusal: Yes'
+  WHEN 2 THEN 'safety: unsafe' WHEN 3 THEN 'Safety:Controversial (Unethical Acts, Jailbreak)' WHEN 4 THEN '' END"""
+
+
+@query(f"""WITH r AS (SELECT doc_id, {_REPLY} AS r, regexp_extract_all({_REPLY}, '(Violent|Unethical Acts|PII|Jailbreak|None)') AS c FROM labels)
+SELECT doc_id, nullif(regexp_extract(r, 'Safety:\\s*(Safe|Unsafe|Controversial)', 1), '') AS safety, coalesce(array_to_string(list_filter(c, lambda x, i: list_position(c, x) = i), ','), '') AS categories,
+  CASE WHEN doc_id % 5 < 3 THEN nullif(regexp_extract(r, 'Refusal:\\s*(Yes|No)', 1), '') END AS refusal FROM r""")
 def guard_replies(spark, d) -> DataFrame:
-    reply = F.when(F.col("toxic") == 1, F.lit("Safety: Unsafe\nCategories: Violent, PII, Violent\nRefusal: No")).otherwise(F.lit("Safety: Safe\nCategories: None\nRefusal: Yes"))
-    return table(spark, d, "labels").where("toxic is not null").withColumn("g", toxicity.parse_guard(reply)).select("doc_id", "g.safety", F.array_join("g.categories", ",").alias("categories"), "g.refusal")
+    k = F.col("doc_id") % 6
+    reply = (
+        F.when(k == 0, F.lit("Safety: Unsafe\nCategories: Violent, PII, Violent\nRefusal: No")).when(k == 1, F.lit("Safety: Safe\nCategories: None\nRefusal: Yes"))
+        .when(k == 2, F.lit("safety: unsafe")).when(k == 3, F.lit("Safety:Controversial (Unethical Acts, Jailbreak)")).when(k == 4, F.lit(""))
+    )
+    role = F.when(F.col("doc_id") % 5 < 3, F.lit("assistant")).otherwise(F.lit("user"))
+    return table(spark, d, "labels").withColumn("g", toxicity.parse_guard(reply, role)).select("doc_id", "g.safety", F.array_join("g.categories", ",").alias("categories"), "g.refusal")
 
 
 # --- filter ----------------------------------------------------------------------------
@@ -410,19 +422,23 @@ def guard_replies(spark, d) -> DataFrame:
 RULES = filtering.Rules(protected=("src3",))
 
 
-def _findings(spark, d) -> DataFrame:
-    r = rows(spark, d)
-    at = r.select(*LOC, "source_sha256")
-    found = pii.validate(_hits(spark, d)).join(at, LOC)
-    guard = table(spark, d, "labels").join(r.select(F.col("source_line").alias("doc_id"), "source_file", "source_sha256"), "doc_id")
+def _findings(spark, d, at: DataFrame) -> DataFrame:
+    """The findings of all scanners on the rows ``at`` (LOC and fingerprint, a narrow table)."""
+    found = pii.validate(_hits(spark, d), _CATEGORIES).join(at, LOC)
+    guard = table(spark, d, "labels").join(at.withColumnRenamed("source_line", "doc_id"), "doc_id")
     guard = guard.select("source_file", F.col("doc_id").alias("source_line"), "source_sha256", F.when(F.col("toxic") == 1, F.lit("Unsafe")).otherwise(F.lit("Safe")).alias("verdict"))
     copies = _decided(spark, d).join(at, LOC).withColumn("duplicate_of", F.concat_ws(":", "original_source_file", F.col("original_source_line").cast("string")))
     leaks = _contained(spark, d).select(F.col("source").alias("source_file"), F.col("doc_id").alias("source_line"), F.col("item_id").cast("string").alias("duplicate_of")).join(at, LOC)
     return filtering.findings(filtering.pii_hits(found, RULES), filtering.toxicity_hits(guard, RULES), filtering.duplicate_hits(copies, RULES), filtering.duplicate_hits(leaks, RULES, "cross"), protected=RULES.protected)
 
 
-def _filtered(spark, d) -> DataFrame:
-    return filtering.decide(rows(spark, d), _findings(spark, d))
+def _places(spark, d) -> DataFrame:
+    return materialize(rows(spark, d).select(*LOC, "source_sha256"), "places")
+
+
+def _filtered(spark, d, texts: bool = True) -> DataFrame:
+    at = _places(spark, d)
+    return filtering.decide(rows(spark, d) if texts else at, _findings(spark, d, at))
 
 
 _FOUND = f"""{B.DECIDED}, {B.HITS}, {B.VALID}, {_CONTAINED},
@@ -435,17 +451,17 @@ de AS (SELECT source AS source_file, doc_id AS source_line, text, CASE WHEN sour
 
 @query(f"WITH {_FOUND} SELECT source_file, source_line, sha256(text) AS source_sha256, reasons, n_findings::BIGINT AS n_findings FROM de")
 def filter_decisions(spark, d) -> DataFrame:
-    return _filtered(spark, d).select(*LOC, "source_sha256", F.array_join("reasons", ",").alias("reasons"), "n_findings")
+    return _filtered(spark, d, texts=False).select(*LOC, "source_sha256", F.array_join("reasons", ",").alias("reasons"), "n_findings")
 
 
 @query(f"WITH {_FOUND} SELECT source_file, source_line, sha256(text) AS source_sha256 FROM de WHERE reasons = ''")
 def filter_line_map(spark, d) -> DataFrame:
-    return filtering.kept(_filtered(spark, d)).select(*LOC, "source_sha256")
+    return filtering.kept(_filtered(spark, d, texts=False)).select(*LOC, "source_sha256")
 
 
 @query(f"WITH {_FOUND} SELECT reason, count(*) AS n_rows FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM de WHERE reasons <> '') GROUP BY 1")
 def filter_removed_by_reason(spark, d) -> DataFrame:
-    return filtering.by_reason(_filtered(spark, d))
+    return filtering.by_reason(_filtered(spark, d, texts=False))
 
 
 @query(f"""WITH {_FOUND} SELECT source_file, count(*) AS rows, count(*) FILTER (reasons = '') AS kept, count(*) FILTER (reasons <> '') AS removed, sum(strlen(text))::BIGINT AS bytes,
@@ -456,11 +472,11 @@ def filter_per_file(spark, d) -> DataFrame:
 
 @query(f"WITH {_FOUND} SELECT source_file AS file, source_line AS line, sha256(text) AS sha256, 'manual' AS scanner, 'scan-1' AS scan_id, reasons, false AS automatic FROM de WHERE contains(reasons, 'duplicate_cross') OR contains(reasons, 'toxicity_unsafe')")
 def drop_list(spark, d) -> DataFrame:
-    out = filtering.drop_list(filtering.removed(_filtered(spark, d)), ["duplicate_cross", "toxicity_unsafe"], "manual", "scan-1")
+    out = filtering.drop_list(filtering.removed(_filtered(spark, d, texts=False)), ["duplicate_cross", "toxicity_unsafe"], "manual", "scan-1")
     return out.withColumn("reasons", F.array_join("reasons", ","))
 
 
-@query(f"""WITH {_FOUND} SELECT source_file, source_line, substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 160) AS preview, reasons FROM de WHERE reasons <> '' ORDER BY source_file, source_line LIMIT 25 OFFSET 25""")
+@query(f"""WITH {_FOUND} SELECT source_file, source_line, substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 160) AS preview, reasons, count(*) OVER () AS total, count(*) OVER () > 50 AS has_next FROM de WHERE reasons <> '' ORDER BY source_file, source_line LIMIT 25 OFFSET 25""")
 def flagged_page(spark, d) -> DataFrame:
     i = reports.index(_filtered(spark, d), F.col("text")).withColumn("reasons", F.array_join("reasons", ",")).select(*LOC, "preview", "reasons")
     return reports.page(i, LOC, 1, 25)
@@ -468,7 +484,7 @@ def flagged_page(spark, d) -> DataFrame:
 
 @query(f"WITH {_FOUND} SELECT source_file, count(*) AS n_rows FROM de WHERE reasons <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5")
 def topk_flagged_sources(spark, d) -> DataFrame:
-    return reports.top(filtering.removed(_filtered(spark, d)), "source_file", 5)
+    return reports.top(filtering.removed(_filtered(spark, d, texts=False)), "source_file", 5)
 
 
 @query(f"WITH {_FOUND} SELECT count(*) AS n_problems FROM (SELECT source_file FROM de GROUP BY 1 HAVING count(*) <> count(*) FILTER (reasons = '') + count(*) FILTER (reasons <> ''))")
@@ -484,7 +500,7 @@ def _flags(spark, d) -> DataFrame:
     r = rows(spark, d).select(F.col("source_line").alias("doc_id"))
     leak = _contained(spark, d).select("doc_id").distinct().withColumn("l", F.lit(True))
     tox = table(spark, d, "labels").where("toxic = 1").select("doc_id").distinct().withColumn("t", F.lit(True))
-    hit = pii.validate(_hits(spark, d)).select(F.col("source_line").alias("doc_id")).distinct().withColumn("p", F.lit(True))
+    hit = pii.validate(_hits(spark, d), _CATEGORIES).select(F.col("source_line").alias("doc_id")).distinct().withColumn("p", F.lit(True))
     out = r.join(leak, "doc_id", "left").join(tox, "doc_id", "left").join(hit, "doc_id", "left")
     return out.select("doc_id", *[F.coalesce(c, F.lit(False)).alias(n) for c, n in (("l", "leak"), ("t", "toxic"), ("p", "pii"))])
 
@@ -568,11 +584,6 @@ def traced_rows(spark, d) -> DataFrame:
     return reports.traced(own, now, ["doc_id"])
 
 
-@query("SELECT source AS folder, (doc_id % 4)::BIGINT AS shard, count(*) AS n_rows, sum(length(text))::BIGINT AS characters FROM documents GROUP BY ALL")
-def shard_balance(spark, d) -> DataFrame:
-    return table(spark, d, "documents").groupBy(F.col("source").alias("folder"), (F.col("doc_id") % 4).alias("shard")).agg(F.count("*").alias("n_rows"), F.sum(F.length("text")).cast("long").alias("characters"))
-
-
 @query("WITH x AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents) SELECT n // 64 % 4 AS chunk, n // 64 AS batch, count(*) AS n_rows, min(doc_id) AS first_doc FROM x GROUP BY ALL")
 def chunk_layout(spark, d) -> DataFrame:
     """Batch i of 64 rows goes to chunk i mod 4: the layout of the chunked sink."""
@@ -607,11 +618,16 @@ def invalid_locations(spark, d) -> DataFrame:
     return r.groupBy("source_file").agg(F.count("*").alias("n_rows")).join(bad, "source_file")
 
 
-@query("SELECT conv_id, max(i)::INT AS message_index FROM (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i FROM conversations) WHERE role = 'assistant' GROUP BY conv_id")
+@query(f"""WITH {B.TURNS}, f AS (SELECT conv_id, min_by(role, i) AS r0, min_by(content, i) AS c0 FROM t GROUP BY 1),
+q AS (SELECT conv_id, CASE conv_id % 4 WHEN 0 THEN r0 WHEN 1 THEN 'assistant' WHEN 2 THEN 'tool' ELSE '' END AS role, CASE conv_id % 4 WHEN 0 THEN c0 ELSE 'a text that no message has' END AS content FROM f),
+m AS (SELECT q.conv_id, max(i) FILTER (t.role = q.role AND t.content = q.content AND q.role IN ('user', 'assistant', 'system', 'tool')) AS e, max(i) FILTER (t.role = CASE WHEN q.role IN ('user', 'assistant') THEN q.role ELSE 'user' END) AS s FROM q JOIN t USING (conv_id) GROUP BY 1)
+SELECT conv_id, coalesce(e, s, -1)::INT AS message_index, CASE WHEN e IS NOT NULL THEN 'exact' WHEN s IS NOT NULL THEN 'fallback' ELSE 'missing' END AS kind FROM m""")
 def flagged_message_located(spark, d) -> DataFrame:
-    c = chats(spark, d)
-    at = toxicity.locate(F.col("messages"), F.lit("assistant"), F.lit("a text that no message has"))
-    return c.select("conv_id", at.alias("message_index")).where("message_index is not null")
+    c, k, first = chats(spark, d), F.col("conv_id") % 4, F.get("messages", F.lit(0))
+    told = F.concat(first["role"], F.lit(": "), F.coalesce(first["content"], F.lit("")))
+    text = F.when(k == 0, told).when(k == 1, F.lit("assistant: a text that no message has")).when(k == 2, F.lit("tool: a text that no message has")).otherwise(F.lit("a text that no message has"))
+    messages = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), F.coalesce(m["content"], F.lit("")).alias("content")))
+    return c.select("conv_id", toxicity.locate(messages, text).alias("at")).select("conv_id", F.coalesce("at.index", F.lit(-1)).alias("message_index"), "at.kind")
 
 
 # --- span models -----------------------------------------------------------------------
@@ -675,3 +691,6 @@ def word_diff(spark, d) -> DataFrame:
     pairs = dedup.near_duplicates(docs, "doc_id", F.col("text")).toDF("a", "b")
     both = pairs.join(docs.toDF("a", "left"), "a").join(docs.toDF("b", "right"), "b")
     return reports.word_diff(both, "left", "right").select("a", "b", F.round("ratio", 6).alias("ratio"), "same_words")
+
+
+from screenwright.plans import more  # noqa: E402, F401  (its queries register themselves)

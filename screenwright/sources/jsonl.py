@@ -1,99 +1,122 @@
 """JSONL with lineage: line numbers, byte offsets and fingerprints.
 
-A Python data source reads byte ranges of files.  Planning counts the line ends
-of each range (on the driver, in streaming blocks, for files of a file system;
-ranges of several hundred megabytes keep the plan small), so every task knows
-the number of its first line.  Lines are bytes as they stand; only CR and LF at the
-end are left out of the fingerprint.
+Files are cut into byte ranges.  A first pass counts the line ends of every
+range, a task for each; prefix sums over the ranges of a file tell each range
+the number of its first line; a second pass reads the lines.  The driver sees
+neither contents nor counts, and the listing is Spark's.  Lines are bytes as they
+stand; only CR and LF at the end are left out of the fingerprint.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from screenwright.sources.ranges import Bytes
+from screenwright.storage import materialize
 
 SCHEMA = "source_file string, source_line long, byte_offset long, raw binary, source_sha256 string"
 RANGE_BYTES = 256 << 20
-
-
-@dataclass
-class _Range(InputPartition):
-    path: str
-    name: str
-    start: int
-    end: int
-    first_line: int
+#: A worker reads so many bytes at a time, and hands on about as many.
+READ_BYTES = 4 << 20
 
 
 def files_of(path: str, suffix: str = ".jsonl") -> list[tuple[str, str]]:
-    """(path, relative name) of the files under a folder, sorted; a single file stands for itself."""
+    """(path, relative name) of the files under a local folder, sorted; a single file stands for itself."""
     if os.path.isfile(path):
         return [(path, os.path.basename(path))]
     found = [os.path.join(d, n) for d, _, names in os.walk(path) for n in names if n.endswith(suffix)]
     return [(f, os.path.relpath(f, path)) for f in sorted(found)]
 
 
-class _Reader(DataSourceReader):
-    def __init__(self, path: str, range_bytes: int, names: list[str] | None):
-        self.path, self.range_bytes, self.names = path, range_bytes, names
-
-    def partitions(self):
-        out = []
-        for path, name in files_of(self.path):
-            if self.names is not None and name not in self.names:
-                continue
-            size, line, at = os.path.getsize(path), 1, 0
-            with open(path, "rb") as f:
-                while at < size:
-                    end = min(size, at + self.range_bytes)
-                    out.append(_Range(path, name, at, end, line))
-                    left = end - at
-                    while left and (block := f.read(min(left, 1 << 20))):
-                        line += block.count(b"\n")
-                        left -= len(block)
-                    at = end
-        return out or [_Range("", "", 0, 0, 1)]
-
-    def read(self, partition):
-        if not partition.path:
+def listed(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
+    """(path, name, length) of the files under a folder of any store; ``name`` is relative to it.  A single file stands for itself."""
+    root = path.rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    alone = root.endswith(glob.lstrip("*")) and glob != "*"
+    files = (files if alone else files.option("pathGlobFilter", glob)).load(root).select("path", "length")
+    plain = root.split("://", 1)[-1] if "://" in root else os.path.abspath(root)
+    at = F.call_function("instr", F.col("path"), F.lit(plain if "://" not in root else root.split("://", 1)[1]))
+    name = F.when(F.col("path").endswith(plain), F.element_at(F.split("path", "/"), -1)).otherwise(F.expr("path").substr(at + len(plain) + 1, F.length("path")))
+    return files.select("path", name.alias("name"), "length")
+
+
+def _counts(batches):
+    """Adds the number of line ends of each range."""
+    import pyarrow as pa
+
+    for batch in batches:
+        lines = []
+        for path, length, start, end in zip(*(batch.column(c).to_pylist() for c in ("path", "length", "start", "end")), strict=True):
+            data, n = Bytes(path, length), 0
+            for at in range(start, end, READ_BYTES):
+                n += data.read(at, min(READ_BYTES, end - at)).count(b"\n")
+            lines.append(n)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines, type=pa.int64())], names=[*batch.schema.names, "lines"])
+
+
+def _lines(data: Bytes, start: int, end: int):
+    """(byte offset, line) of the lines that begin in a range; the line that runs into it belongs to the range before."""
+    at = start
+    if start:
+        at = start - 1
+        while (block := data.read(at, READ_BYTES)) and b"\n" not in block:
+            at += len(block)
+        at += block.find(b"\n") + 1 if block else 0
+    held, begin = b"", at
+    while begin < end:
+        block = data.read(at, READ_BYTES)
+        at += len(block)
+        pieces = (held + block).split(b"\n")
+        held = pieces.pop()
+        for piece in pieces:
+            if begin >= end:
+                return
+            yield begin, piece + b"\n"
+            begin += len(piece) + 1
+        if not block:
+            if held and begin < end:
+                yield begin, held
             return
-        with open(partition.path, "rb") as f:
-            line, at = partition.first_line, partition.start
-            if at:  # the line that starts before this range belongs to the one before
-                f.seek(at - 1)
-                tail = f.readline()
-                if tail != b"\n":
-                    at, line = at - 1 + len(tail), line + 1
-            while at < partition.end and (raw := f.readline()):
-                yield partition.name, line, at, raw, hashlib.sha256(raw.rstrip(b"\r\n")).hexdigest()
-                at, line = at + len(raw), line + 1
-
 
-class JsonlSource(DataSource):
-    """``spark.read.format("jsonl_lineage").load(path)``; options: rangeBytes, names (a comma-separated manifest)."""
 
-    @classmethod
-    def name(cls):
-        return "jsonl_lineage"
+def _read(batches):
+    import pyarrow as pa
 
-    def schema(self):
-        return SCHEMA
+    def batch(rows):
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["source_file", "source_line", "byte_offset", "raw", "source_sha256"])
 
-    def reader(self, schema):
-        names = self.options.get("names")
-        return _Reader(self.options["path"], int(self.options.get("rangeBytes", RANGE_BYTES)), names.split(",") if names else None)
+    for part in batches:
+        for path, name, length, start, end, before in zip(*(part.column(c).to_pylist() for c in ("path", "name", "length", "start", "end", "before")), strict=True):
+            data, rows, size, line = Bytes(path, length), [], 0, before + 1
+            # a line that begins before the range ends in it, unless the byte before is a line end
+            if start and data.read(start - 1, 1) != b"\n":
+                line += 1
+            for at, raw in _lines(data, start, end):
+                rows.append((name, line, at, raw, hashlib.sha256(raw.rstrip(b"\r\n")).hexdigest()))
+                line, size = line + 1, size + len(raw)
+                if size > READ_BYTES:
+                    yield batch(rows)
+                    rows, size = [], 0
+            if rows:
+                yield batch(rows)
 
 
 def read_jsonl(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, names: list[str] | None = None) -> DataFrame:
-    """SCHEMA rows of every line, blank ones included."""
-    spark.dataSource.register(JsonlSource)
-    reader = spark.read.format("jsonl_lineage").option("rangeBytes", range_bytes)
-    return (reader.option("names", ",".join(names)) if names else reader).load(path)
+    """SCHEMA rows of every line, blank ones included; ``names`` keeps to files of a manifest."""
+    files = listed(spark, path).where("length > 0")
+    if names is not None:
+        files = files.join(F.broadcast(spark.createDataFrame([(n,) for n in names], "name string")), "name", "left_semi")
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long")))
+    ranges = materialize(files.withColumn("start", start).withColumn("end", F.least(F.col("start") + range_bytes, F.col("length"))).select("path", "name", "length", "start", "end"), "ranges")
+    n = max(1, min(ranges.count(), 100_000))
+    counted = materialize(ranges.repartition(n, "path", "start").mapInArrow(_counts, "path string, name string, length long, start long, end long, lines long"), "range-lines")
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return counted.withColumn("before", before).repartition(n, "path", "start").mapInArrow(_read, SCHEMA)
 
 
 def objects(lines: DataFrame) -> DataFrame:

@@ -139,6 +139,44 @@ def suggest(rows: DataFrame) -> dict[str, str]:
     return {"text": hints[0]} if hints else {}
 
 
+def preview(rows: DataFrame, mapping: dict[str, str], required: list[str] = (), n: int = 20, order: list[str] = ()) -> DataFrame:
+    """The first ``n`` rows (of ``order``, or as they come) as ``mapped`` makes them, with ``characters`` of their text: what a mapping would do, on a sample."""
+    made = mapped(rows.orderBy(*order).limit(n) if order else rows.limit(n), mapping, list(required))
+    text = F.col("text") if "text" in made.columns else F.lit(None).cast("string")
+    said = F.aggregate(F.transform("messages", lambda m: F.length(F.coalesce(m["content"], F.lit("")))), F.lit(0), lambda a, x: a + x) if "messages" in made.columns else F.lit(None).cast("int")
+    return made.withColumn("characters", F.coalesce(F.length(text), said, F.lit(0)))
+
+
+def skip_counts(made: DataFrame, file: str) -> DataFrame:
+    """(file, skip_reason, column, n_rows) of rows that ``mapped`` skips."""
+    gone = made.where("skip_reason is not null")
+    return gone.groupBy(F.col(file).alias("file"), F.split_part("skip_reason", F.lit(":"), F.lit(1)).alias("skip_reason"), F.split_part("skip_reason", F.lit(":"), F.lit(2)).alias("column")).agg(F.count("*").alias("n_rows"))
+
+
+def from_nested(record: Column, *path: str) -> Column:
+    """Messages that stand at a path of a VARIANT record."""
+    from screenwright.functions.prompts import at, normal_messages
+
+    return normal_messages(at(record, *path))
+
+
+def from_preference(prompt: Column, chosen: Column, rejected: Column) -> Column:
+    """array<struct<which, messages>>: a preference pair as two conversations."""
+    def said(which: str, reply: Column) -> Column:
+        turn = lambda r, c: F.struct(F.lit(r).alias("role"), c.alias("content"))
+        return F.struct(F.lit(which).alias("which"), F.array(turn("user", prompt), turn("assistant", reply)).alias("messages"))
+
+    return F.array(said("chosen", chosen), said("rejected", rejected))
+
+
+def inspect(spark: SparkSession, path: str) -> DataFrame:
+    """(format, files, bytes, largest): what lies under a folder, by the listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    name = F.element_at(F.split("path", "/"), -1)
+    kind = F.when(name.contains("."), F.lower(F.element_at(F.split(name, r"\."), -1))).otherwise(F.lit(""))
+    return files.groupBy(kind.alias("format")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("length").alias("largest"))
+
+
 def from_parallel(conversations: str, role: str = "from", content: str = "value") -> Column:
     """Messages out of a struct of two parallel arrays."""
     pairs = F.arrays_zip(F.col(f"{conversations}.{role}").alias("role"), F.col(f"{conversations}.{content}").alias("content"))

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL: dict[str, str] = {}
+_LOCAL: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -30,13 +30,18 @@ def shared_root(spark: SparkSession) -> str:
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = tempfile.mkdtemp(prefix="screenwright-")
-    return f"file://{_LOCAL[app]}"
+    if app not in _LOCAL:  # goes with the process
+        _LOCAL[app] = tempfile.TemporaryDirectory(prefix="screenwright-", ignore_cleanup_errors=True)
+    return f"file://{_LOCAL[app].name}"
+
+
+def own_folder(spark: SparkSession) -> str:
+    """The folder of this application; others may share the root."""
+    return f"{shared_root(spark)}/screenwright/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/screenwright/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -64,5 +69,5 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Removes every table that this engine has left in the shared folder; results not yet written are lost with them."""
-    remove(spark, f"{shared_root(spark)}/screenwright")
+    """Removes every table that this application has left in the shared folder; results not yet written are lost with them."""
+    remove(spark, own_folder(spark))

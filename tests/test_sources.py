@@ -114,3 +114,86 @@ def test_stream(spark, tmp_path):
     found = S.pii_stream(S.stream_documents(spark, str(tmp_path / "in"), df.schema), ["doc_id"], "text", ["emails"])
     S.write_stream(found, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination(60)
     assert [r.value for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["a.b@uni.edu"]
+
+
+def test_summary_is_replaced_in_one_step(spark, tmp_path):
+    at = str(tmp_path / "s.json")
+    for n in (1, 2):
+        sinks.write_summary(spark, at, {"n": n}, marker=True)
+        assert json.loads((tmp_path / "s.json").read_text()) == {"n": n} and (tmp_path / "_SUCCESS").exists()
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["_SUCCESS", "s.json"]
+
+
+def test_release_keeps_to_its_own(spark, tmp_path, monkeypatch):
+    from screenwright import storage
+
+    monkeypatch.setattr(storage, "shared_root", lambda spark: f"file://{tmp_path}")
+    other = tmp_path / "screenwright" / "another-application"
+    other.mkdir(parents=True)
+    storage.materialize(spark.range(3), "x")
+    assert len(list((tmp_path / "screenwright").iterdir())) == 2
+    storage.release(spark)
+    assert list((tmp_path / "screenwright").iterdir()) == [other]
+
+
+def test_benchmark_files(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from screenwright.sources import benchmarks
+
+    root = tmp_path / "bench"
+    (root / "a").mkdir(parents=True)
+    (root / "mmlu").mkdir()
+    (root / "a" / "x.jsonl").write_text('{"question": "q1", "id": 7}\n\n{"nothing": 1}\n')
+    (root / "a" / "y.csv").write_text('\ufeffquestion,opa,opb,opc,opd\n"two\nlines",1,2,3,4\n', encoding="utf-8")
+    (root / "mmlu" / "z.csv").write_text("which?,one,two,three,four,B\n")
+    pq.write_table(pa.table({"prompt": ["p1", "p2"]}), str(root / "a" / "w.parquet"))
+    (root / "note.txt").write_text("no benchmark")
+    got = benchmarks.prepared(benchmarks.read_benchmarks(spark, str(root), ("mmlu/",))).collect()
+    said = {(r.benchmark_source_file, r.benchmark_source_line): r.messages[0].content if r.messages else None for r in got}
+    assert said == {
+        ("a/x.jsonl", 1): "q1", ("a/x.jsonl", 3): None, ("a/y.csv", 2): "two\nlines\n\nOptions:\nA. 1\nB. 2\nC. 3\nD. 4", ("mmlu/z.csv", 1): "which?\n\nOptions:\nA. one\nB. two\nC. three\nD. four",
+        ("a/w.parquet", 1): "p1", ("a/w.parquet", 2): "p2",
+    }
+    assert {r.benchmark_id for r in got} == {"7", ""} and {r.benchmark_suite for r in got} == {"a", "mmlu"} and sum(r.skipped for r in got) == 1
+    (root / "bad.jsonl").write_text("[1]\n")
+    with pytest.raises(Exception, match="no JSON object"):
+        benchmarks.read_benchmarks(spark, str(root), ("mmlu/",)).collect()
+
+
+def test_folder_inspection_and_csv(spark, tmp_path):
+    (tmp_path / "d" / "e").mkdir(parents=True)
+    for n, size in (("a.jsonl", 3), ("e/b.JSONL", 5), ("e/c.csv", 7), ("e/plain", 1)):
+        (tmp_path / "d" / n).write_bytes(b"x" * size)
+    got = {r.format: (r.files, r.bytes, r.largest) for r in readers.inspect(spark, str(tmp_path / "d")).collect()}
+    assert got == {"jsonl": (2, 8, 5), "csv": (1, 7, 7), "": (1, 1, 1)}
+    rows = spark.createDataFrame([(1, 'a "q"\nb,é'), (2, None)], "i int, t string")
+    sinks.write_csv(rows, str(tmp_path / "csv"))
+    back = readers.read_csv(spark, str(tmp_path / "csv")).orderBy("i").collect()
+    assert back[0].t == 'a "q"\nb,é'
+
+
+def test_missing_results_stop_the_run(spark):
+    from screenwright.operators import reconcile
+
+    a = spark.createDataFrame([(1, None), (2, 5)], "k long, m int")
+    b = spark.createDataFrame([(1, None, "x")], "k long, m int, v string")
+    with pytest.raises(Exception, match="no result"):
+        reconcile.hydrated(a, b, ["k", "m"], ["v"]).collect()
+    assert reconcile.hydrated(a.limit(1), b, ["k", "m"], ["v"]).first().v == "x"
+    with pytest.raises(ValueError, match="missing"):
+        reconcile.three_way(a.select("k"), b.select("k"), a.select("k"), "k")
+    twice = reconcile.differences(a, a.union(a), ["k", "m"]).collect()
+    assert [r.status for r in twice] == ["repeated"] * 2 and reconcile.differences(a, a, ["k", "m"]).count() == 0
+
+
+def test_a_problem_without_a_run_fails_every_run(spark):
+    from screenwright.operators import runs
+
+    files = spark.createDataFrame([("r/a.jsonl", "r", 1, 1, "s")], "path string, run string, rows long, bytes long, sha256 string")
+    read = spark.createDataFrame([("r/a.jsonl", "s", 1, 1, 0, 0)], "path string, sha256 string, rows_read long, rows_with_text long, rows_without_text long, findings long")
+    assert runs.problems(files, read).count() == 0 and runs.per_run(files, read, runs.problems(files, read)).first().status == "pass"
+    more = read.union(spark.createDataFrame([("else.jsonl", "s", 1, 1, 0, 0)], read.schema))
+    assert runs.per_run(files, more, runs.problems(files, more)).first().status == "fail"
+    assert runs.problems(files, read.limit(0), open_files=files).count() == 0
