@@ -21,10 +21,16 @@ from pyspark.sql import functions as F
 from screenwright.llm.words import Block, map_texts, mix, windows
 
 SYMBOLS = b"#*$%&|<>"
-MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
+MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, n_digits long, n_upper long, longest_word long"
 
-_IS_SYMBOL = np.zeros(256, dtype=bool)
-_IS_SYMBOL[list(SYMBOLS)] = True
+
+def _among(marks: bytes) -> np.ndarray:
+    out = np.zeros(256, dtype=bool)
+    out[list(marks)] = True
+    return out
+
+
+_IS_SYMBOL, _IS_DIGIT, _IS_UPPER = _among(SYMBOLS), _among(b"0123456789"), _among(bytes(range(65, 91)))
 
 
 @dataclass(frozen=True)
@@ -42,10 +48,14 @@ RULES = (
     Rule("symbols", "100 * n_symbols > 50 * n_words"),
     Rule("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule("long_words", "word_chars > 20 * n_words"),
+    Rule("short_words", "word_chars < 2 * n_words"),
+    Rule("digits", "100 * n_digits > 30 * word_chars"),
+    Rule("shouting", "100 * n_upper > 60 * word_chars"),
+    Rule("endless_word", "longest_word > 200"),
 )
 BASE = ("few_words", "repeated_words")
 #: Versioned policies: the rules that each of them enforces.
-POLICIES = {"base": BASE, "v1": (*BASE, "symbols", "duplicate_lines", "long_words")}
+POLICIES = {"base": BASE, "v1": (*BASE, "symbols", "duplicate_lines", "long_words"), "v2": tuple(r.name for r in RULES)}
 
 
 def mask(names) -> int:
@@ -63,8 +73,12 @@ def measure(texts: list[bytes]) -> list[np.ndarray]:
         return total[b.offset[1:]] - total[b.offset[:-1]]
 
     solid = ~b.space
-    chars = per_text(solid & ((b.buf & 0xC0) != 0x80))
-    symbols = per_text(_IS_SYMBOL[b.buf])
+    begins = solid & ((b.buf & 0xC0) != 0x80)  # the first bytes of the code points of words
+    chars = per_text(begins)
+    symbols, digits, upper = (per_text(flags[b.buf]) for flags in (_IS_SYMBOL, _IS_DIGIT, _IS_UPPER))
+    points = np.concatenate(([0], np.cumsum(begins)))
+    longest = np.zeros(n, dtype=np.int64)
+    np.maximum.at(longest, doc, points[b.end] - points[b.start])
 
     end = np.flatnonzero(b.buf == 10)
     begin = np.concatenate(([0], end[:-1] + 1))
@@ -97,7 +111,7 @@ def measure(texts: list[bytes]) -> list[np.ndarray]:
         for k in range(3):
             covered[word + k] = True
         repeat = np.bincount(doc[covered], minlength=n)
-    return [b.hi - b.lo, chars, symbols, lines, dup_lines, repeat]
+    return [b.hi - b.lo, chars, symbols, lines, dup_lines, repeat, digits, upper, longest]
 
 
 def fail_bits() -> Column:
@@ -143,13 +157,21 @@ def op3(spark, sf_dir: str) -> DataFrame:
 
     rows = ledger(table(spark, sf_dir, "documents"))
     return rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_digits", "n_upper", "longest_word", "fail_bits",
         (~passes("base")).alias("base_failed"), passes("v1").alias("kept"),
     )
 
 
-SQL = r"""
-WITH d AS (
+def op3_ablations(spark, sf_dir: str) -> DataFrame:
+    """What each rule of the widest policy does on the documents, from the ledger's bits alone."""
+    from screenwright.llm.tables import table
+    from screenwright.storage import materialize
+
+    rows = materialize(ledger(table(spark, sf_dir, "documents")).select("fail_bits"), "ledger")
+    return ablations(rows, "v2")
+
+
+_LEDGER = r"""d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 grams AS (SELECT rid, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS g
@@ -160,11 +182,14 @@ lines AS (SELECT rid, l FROM (SELECT rid, unnest(string_split(text, chr(10))) AS
   WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
 dup AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY rid),
 m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
-  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, length(regexp_replace(text, '[^0-9]', '', 'g'))::BIGINT AS n_digits,
+  length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_upper, coalesce(list_max(list_transform(w, lambda x: length(x))), 0)::BIGINT AS longest_word,
   coalesce(dup.n_lines, 0) AS n_lines, coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN dup USING (rid) LEFT JOIN rep USING (rid)),
 b AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (100 * n_symbols > 50 * n_words)::INT
-  + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars > 20 * n_words)::INT)::INT AS fail_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits,
-  (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
-"""
+  + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars > 20 * n_words)::INT + 32 * (word_chars < 2 * n_words)::INT
+  + 64 * (100 * n_digits > 30 * word_chars)::INT + 128 * (100 * n_upper > 60 * word_chars)::INT + 256 * (longest_word > 200)::INT)::INT AS fail_bits FROM m)"""
+SQL = f"""WITH {_LEDGER} SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_digits, n_upper, longest_word, fail_bits,
+  (fail_bits & 3) <> 0 AS base_failed, (fail_bits & 31) = 0 AS kept FROM b"""
+ABLATIONS_SQL = f"""WITH {_LEDGER}, r AS (SELECT unnest(['few_words', 'repeated_words', 'symbols', 'duplicate_lines', 'long_words', 'short_words', 'digits', 'shouting', 'endless_word']) AS rule, unnest([1, 2, 4, 8, 16, 32, 64, 128, 256]) AS bit)
+SELECT rule, count(*) FILTER (fail_bits & bit <> 0) AS failed, count(*) FILTER (fail_bits = bit) AS failed_alone, count(*) FILTER (fail_bits & (511 - bit) = 0) AS kept_without FROM b, r GROUP BY rule"""

@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_warc": warc.op8,
         "op9_source_mixing": mixing.op9,
         "op10_sharding": sharding.op10,
+        "quality_rule_ablations": quality.op3_ablations,
     }
 
 
@@ -24,6 +25,7 @@ def oracle_sql() -> dict:
     return {
         "op2_chat_rotation": chat.SQL,
         "op3_quality_rules": quality.SQL,
+        "quality_rule_ablations": quality.ABLATIONS_SQL,
         "op8_warc": warc.SQL,
         "op9_source_mixing": mixing.SQL,
     }

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from screenwright.llm.ranges import RANGE_BYTES, Bytes, scan
+from screenwright.sources.ranges import RANGE_BYTES, Bytes, scan
 from screenwright.storage import materialize, new_path
 
 #: Where the vocabulary of the query lies; operators take the path as an argument.

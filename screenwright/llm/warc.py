@@ -43,7 +43,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenwright.llm.ranges import RANGE_BYTES, Bytes, scan
+from screenwright.sources.ranges import RANGE_BYTES, Bytes, scan
 from screenwright.llm.tables import with_copies
 from screenwright.storage import bounded_broadcast, materialize, new_path
 
