@@ -39,7 +39,7 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 SEPARATOR = 50256
 BLOCK_TOKENS = 1 << 16
-PACK_BYTES = 16 << 20
+PACK_BYTES = 8 << 20
 
 
 @lru_cache(maxsize=2)

@@ -54,8 +54,10 @@ END = b"\r\n\r\n"
 MAGIC = b"\x1f\x8b\x08"
 #: Fixed value: a gzip member that holds nothing.
 EMPTY = bytes.fromhex("1f8b0800000000000003" "0300" "0000000000000000")
-#: A reader looks at so many bytes at a time.
-READ_BYTES = 1 << 20
+#: A reader looks at so many bytes of a member first, then at twice as many, and so on to the larger number.
+FIRST_BYTES, READ_BYTES = 8 << 10, 1 << 20
+#: Members are compressed fast: an archive of short records gains little from more.
+LEVEL = 1
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Archives are made up of given rows, so all of them bear one fixed date.
@@ -122,7 +124,7 @@ def _write(segment_bytes: int, chunk_bytes: int, pack_bytes: int, batches):
     for batch in batches:
         for page_id, url, html, sha, copy, holder in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "sha", "copy", "holder")), strict=True):
             for r in page_records(page_id, url, html or b"", sha, copy, (holder["page_id"], holder["url"]) if holder else None, segment_bytes, chunk_bytes):
-                held.append(gzip.compress(r, 6, mtime=0))
+                held.append(gzip.compress(r, LEVEL, mtime=0))
                 size += len(held[-1])
                 if size > pack_bytes:
                     yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], type=pa.binary())], names=["members"])
@@ -165,14 +167,14 @@ def parse(data: bytes):
 
 def _member(data: Bytes, at: int) -> tuple[bytes, int] | None:
     """(content, end) of the gzip member at ``at``; null if none is there."""
-    unzip, out = zlib.decompressobj(31), []
+    unzip, out, step = zlib.decompressobj(31), [], FIRST_BYTES
     try:
         while not unzip.eof:
-            more = data.read(at, READ_BYTES)
+            more = data.read(at, step)
             if not more:
                 return None
             out.append(unzip.decompress(more))
-            at += len(more)
+            at, step = at + len(more), min(2 * step, READ_BYTES)
             if len(out) == 1 and out[0] and not b"WARC/".startswith(out[0][:5]):
                 return None
     except zlib.error:

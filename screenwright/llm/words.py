@@ -14,7 +14,9 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Texts are gathered into blocks of about so many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+#: Rows of an Arrow batch that become Python objects at a time.
+ROWS = 512
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -125,12 +127,13 @@ def map_texts(df, keys: list[str], text: str, kernel, fields: str):
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(len(held)).to_pylist()
-            for first, part in blocks(texts):
-                got = kernel(part)
-                columns = [batch.column(i).slice(first, len(part)) for i in range(len(held))]
-                columns += [pa.array(x, type=f.type) for x, f in zip(got, list(arrow)[len(held) :], strict=True)]
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+            for k in range(0, batch.num_rows, ROWS):
+                some = batch.slice(k, ROWS)
+                for first, part in blocks(some.column(len(held)).to_pylist()):
+                    got = kernel(part)
+                    columns = [some.column(i).slice(first, len(part)) for i in range(len(held))]
+                    columns += [pa.array(x, type=f.type) for x, f in zip(got, list(arrow)[len(held) :], strict=True)]
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     made = inner.mapInArrow(run, out)
     return made.select(*[F.col(h).alias(k) for k, h in zip(keys, held, strict=True)], *[f"`{f.name}`" for f in out.fields[len(held) :]])
