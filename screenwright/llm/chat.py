@@ -10,7 +10,8 @@ task holds more than one part, however large a conversation is.  Nothing is
 cut: the parts of a speaker, laid end to end, are the rendering of the whole
 conversation, ``start`` says where a part begins in it, and masks count from the
 beginning of the whole.  Turns are numbered by a range partitioning, not by a
-window over a conversation; where parts begin comes from sums over parts.
+window over a conversation; where parts begin comes from sums over parts.  Only conversations
+of more turns than a part has need either.
 
 Defined results: a null text is an empty turn; a null turn number counts as -1
 and comes first; turns with equal numbers are ordered by role and text, and
@@ -48,12 +49,10 @@ def _who(role: Column) -> Column:
 
 
 def _starts(rows: DataFrame, speakers: DataFrame) -> DataFrame:
-    """(c, speaker, part, start): where the later parts of long conversations begin, for each speaker."""
-    long_ = rows.where("part > 0").select("c").distinct()
-    many = rows.join(bounded_broadcast(long_, BROADCAST_PARTS), rows["c"].eqNullSafe(long_["c"]), "left_semi")
+    """(tc, ts, tp, start): where the later parts of long conversations begin, for each speaker (ts)."""
     plain = F.lit(len(OPEN)) + F.length(_who(F.col("role"))) + 1 + F.length("text") + len(CLOSE) + 1
     saved = F.length("who") - len("assistant")
-    sizes = many.groupBy("c", "part", "role").agg(F.sum(plain).alias("chars"), F.count("*").alias("n"))
+    sizes = rows.groupBy("c", "part", "role").agg(F.sum(plain).alias("chars"), F.count("*").alias("n"))
     sizes = materialize(sizes.withColumn("who", _who(F.col("role"))), "chat-sizes")
     whole = sizes.groupBy("c", "part").agg(F.sum("chars").alias("chars"))
     own = sizes.select(F.col("c").alias("oc"), F.col("part").alias("op"), F.col("role").alias("speaker"), (F.col("n") * saved).alias("less"))
@@ -71,15 +70,24 @@ def rotations(turns: DataFrame, part_turns: int = PART_TURNS, conv: str = "conv_
     """
     number = F.coalesce(F.col(turn).cast("long"), F.lit(-1))
     rows = turns.select(F.col(conv).alias("c"), number.alias("turn"), F.col(role).alias("role"), _broken(F.coalesce(F.col(text), F.lit(""))).alias("text"))
-    rows = numbered(rows, ["turn", "role", "text"], ["c"], "nth")
-    rows = materialize(rows.withColumn("part", F.expr(f"(nth - 1) div {part_turns}")), "chat-turns")
     speakers = rows.where(F.col("role").isNotNull() & (F.col("role") != "system")).select(F.col("c").alias("sc"), F.col("role").alias("speaker")).distinct()
-    parts = rows.groupBy("c", "part").agg(F.array_sort(F.collect_list(F.struct("nth", "role", "text"))).alias("turns"))
+    # one conversation in part_turns turns at most is long
+    many = materialize(rows.groupBy("c").agg(F.count("*").alias("n")).where(F.col("n") > part_turns).select(F.col("c").alias("mc")), "chat-long")
+    some = not many.isEmpty()
+    later = None
+    if some:
+        few, same = bounded_broadcast(many, BROADCAST_PARTS), F.col("c").eqNullSafe(F.col("mc"))
+        later = numbered(rows.join(few, same, "left_semi"), ["turn", "role", "text"], ["c"], "nth")
+        later = materialize(later.withColumn("part", F.expr(f"(nth - 1) div {part_turns}")).drop("nth"), "chat-turns")
+        rows = rows.join(few, same, "left_anti")
+    rows = rows.withColumn("part", F.lit(0).cast("long"))
+    rows = rows.unionByName(later) if some else rows
+    parts = rows.groupBy("c", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     each = parts.join(speakers, F.col("c").eqNullSafe(F.col("sc")))
-    if rows.where("part > 0").isEmpty():
+    if not some:
         each = each.withColumn("start", F.lit(0).cast("long"))
     else:
-        begins = _starts(rows, speakers)
+        begins = _starts(later, speakers)
         same = F.col("c").eqNullSafe(F.col("tc")) & (F.col("speaker") == F.col("ts")) & (F.col("part") == F.col("tp"))
         each = each.join(begins, same, "left").withColumn("start", F.coalesce("start", F.lit(0)))
 
