@@ -201,10 +201,8 @@ class _Links:
 
     def __init__(self, docs: DataFrame, classes: DataFrame, key: str, text: str, width: int, percent: int, shape: tuple[int, int, int]):
         self.percent, self.classes, (self.coords, self.rows, self.match) = percent, classes, shape
-        spark = docs.sparkSession
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        # one exchange serves both the count and the join
-        posts = classes.select("rep", "sig").mapInArrow(partial(_postings, self.coords, self.rows), "key long, rep long").repartition(n, "key")
+        # counted and joined apart, so that the rows of a hot value can be split
+        posts = classes.select("rep", "sig").mapInArrow(partial(_postings, self.coords, self.rows), "key long, rep long")
         shared = posts.join(posts.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"), "key")
         held = shared.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("k")).where(F.size("k") >= self.match)
         self.keys = materialize(held.select("rep", F.col("k.key").alias("every")), "keys")
@@ -252,7 +250,7 @@ class _Links:
     def alive(self, rows: DataFrame) -> DataFrame:
         """The rows of classes that share enough of their shingles with others of these lists to be linked."""
         reps = rows.select("rep", "n").distinct()
-        each = self.sets.join(reps, "rep", "left_semi").mapInArrow(_spread, "h long, rep long").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "h")
+        each = self.sets.join(reps, "rep", "left_semi").mapInArrow(_spread, "h long, rep long")
         common = each.join(each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").select("h"), "h")
         enough = common.groupBy("rep").agg(F.count("*").alias("s")).join(reps, "rep").where(F.col("s") * 100 >= F.col("n") * self.percent).select("rep")
         return materialize(self.open_lists(rows.join(enough, "rep", "left_semi")), "alive")
