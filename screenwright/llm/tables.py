@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType
 
-from screenwright.storage import bounded_broadcast, materialize
+from screenwright.storage import bounded_broadcast, materialize, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    held = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(held) if name in ("documents", "pages") else held
 
 
 def _has_map(kind: DataType) -> bool:
@@ -60,8 +61,3 @@ def with_copies(df: DataFrame, from_: int, keys: int = 1_000_000) -> DataFrame:
     last = F.least(F.col("_sw_n"), (F.col("_sw_run") + 1) * COPIES) - 1
     copies = runs.withColumn("_sw_copy", F.explode(F.sequence(F.col("_sw_run") * COPIES, last)))
     return once.unionByName(copies.select(*[F.col(f"_sw_row.`{c}`") for c in df.columns], "_sw_copy"))
-
-
-def binary_text(col: str = "text"):
-    """The UTF-8 bytes of a text, for kernels that work on bytes."""
-    return F.col(col).cast("binary")
