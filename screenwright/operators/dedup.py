@@ -296,3 +296,26 @@ def md5_bands(rows: DataFrame, id: str, text: Column, bands: int, rows_each: int
 
     keys = [F.concat_ws("|", *[least(b * rows_each + r) for r in range(rows_each)]) for b in range(bands)]
     return held.select("id", F.posexplode(F.array(*keys)).alias("band", "hash"))
+
+
+def selected(matches: DataFrame, rules: list[str]) -> DataFrame:
+    """The matches (source_file, source_line, reference_file, reference_line) that a rule wants; no rule, no such match, or a place that is none stops the run."""
+    from screenwright.operators.runs import proper_path
+
+    if not rules:
+        raise ValueError("at least one rule is needed")
+    fine = proper_path(F.col("source_file")) & proper_path(F.col("reference_file")) & (F.col("source_line") >= 1) & (F.col("reference_line") >= 1)
+    checked = matches.withColumn("source_file", F.when(fine, F.col("source_file")).otherwise(F.raise_error(F.lit("a match has no proper place"))))
+    out = materialize(checked.where(glob_rule(F.col("source_file"), F.col("reference_file"), rules)), "selected")
+    if out.isEmpty():
+        raise ValueError("no match satisfies the rules")
+    return out
+
+
+def with_records(matches: DataFrame, rows: DataFrame, location: list[str], text: str) -> DataFrame:
+    """``matches`` with the texts of both of their rows (``text``, ``original_text``); a place without a row stops the run."""
+    mine = rows.select(*location, F.col(text).alias("text"), F.lit(True).alias("_m"))
+    other = rows.select(*[F.col(c).alias(f"original_{c}") for c in location], F.col(text).alias("original_text"), F.lit(True).alias("_o"))
+    both = matches.join(mine, location, "left").join(other, [f"original_{c}" for c in location], "left")
+    found = F.col("_m").isNotNull() & F.col("_o").isNotNull()
+    return both.withColumn("text", F.when(found, F.col("text")).otherwise(F.raise_error(F.lit("a match has no record")))).drop("_m", "_o")

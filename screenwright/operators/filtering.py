@@ -120,3 +120,14 @@ def invalid_locations(found: DataFrame, files: DataFrame) -> DataFrame:
     out = found.join(known, F.col("source_file") == F.col("_f"), "left")
     ok = F.col("_f").isNotNull() & (F.col("source_line") >= 1) & (F.col("source_line") <= F.col("_rows")) & F.col("source_sha256").rlike(r"^[0-9a-f]{64}\z")
     return out.where(~F.coalesce(ok, F.lit(False))).select(*found.columns)
+
+
+def automatic_drop(index: DataFrame, problems: DataFrame, names: list[str], scanner: str, scan_id: str) -> DataFrame:
+    """A drop list that no one has chosen: all of the scan or, if its coverage has a problem, nothing."""
+    out = drop_list(index, names, scanner, scan_id, automatic=True)
+    return out.where(F.lit(problems.isEmpty()))
+
+
+def hits_by_row(found: DataFrame) -> DataFrame:
+    """(LOCATION, hits): the findings of each row as a sorted array of category and value, keyed by place."""
+    return found.groupBy(*LOCATION).agg(F.array_sort(F.collect_set(F.struct("category", "value"))).alias("hits"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenwright.functions.text import PUNCTUATION
+from screenwright.storage import spread
 
 
 _Q: dict = {}
@@ -24,7 +25,8 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    held = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(held) if name == "documents" else held
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -525,7 +525,7 @@ def quality_error_policy(spark, d) -> DataFrame:
     verdict = F.when(F.col("toxic") == 1, F.lit("UNSAFE")).when(F.col("toxic") == 0, F.lit("safe"))
     outcome = toxicity.guard_outcome_final(verdict)
     outcome = F.coalesce(outcome, F.lit("error"))
-    rejects = quality.pii_rejects(F.when(F.col("quality").isNull(), F.lit("error")).otherwise(F.lit("ok")), F.when(F.col("quality") == 0, F.lit("filter")).otherwise(F.lit("keep")))
+    rejects = quality.pii_rejects(F.when(F.col("quality").isNull(), F.lit("error")).otherwise(F.lit("ok")), F.when(F.col("quality") == 0, F.lit("keep")).otherwise(F.lit("filter")))
     return both.select("doc_id", quality.row_class(outcome, rejects).alias("class"), quality.toxicity_rejects(outcome).alias("toxicity_rejects"), rejects.alias("pii_rejects"))
 
 

@@ -415,7 +415,7 @@ def quality_shards(spark, d) -> DataFrame:
     """Rows and bytes by class, of each shard and of all; the sums over a shard's classes are the shard's."""
     both = table(spark, d, "documents").select("doc_id", "source", F.octet_length("text").cast("long").alias("bytes")).join(table(spark, d, "labels"), "doc_id", "left")
     outcome = toxicity.guard_outcome_final(F.when(F.col("toxic") == 1, F.lit("UNSAFE")).when(F.col("toxic") == 0, F.lit("safe")))
-    rejects = quality.pii_rejects(F.when(F.col("quality").isNull(), F.lit("error")).otherwise(F.lit("ok")), F.when(F.col("quality") == 0, F.lit("filter")).otherwise(F.lit("keep")))
+    rejects = quality.pii_rejects(F.when(F.col("quality").isNull(), F.lit("error")).otherwise(F.lit("ok")), F.when(F.col("quality") == 0, F.lit("keep")).otherwise(F.lit("filter")))
     c = both.select("source", quality.row_class(F.coalesce(outcome, F.lit("error")), rejects).alias("class"), "bytes")
     cube = c.rollup("class", "source").agg(F.grouping("source").alias("_s"), F.grouping("class").alias("_c"), F.count("*").alias("n_rows"), F.sum("bytes").alias("bytes"))
     return cube.where("_c = 0").select(F.when(F.col("_s") == 1, F.lit("*")).otherwise(F.col("source")).alias("shard"), "class", "n_rows", "bytes")
@@ -469,6 +469,94 @@ def spans_matched(spark, d) -> DataFrame:
     return ner.matched_spans(*_two_models(spark, d), ["doc_id"], 0.5)
 
 
+# --- decisions of all stages ---------------------------------------------------------------
+
+_FINAL = f"""{B.HITS}, {_JUDGED}, pr AS (SELECT source_file, source_line, 'pii' AS l FROM h WHERE source_line % 7 <> 0 AND source_line % 2 = 0
+  UNION SELECT source_file, source_line, 'toxicity_' || CASE WHEN error <> '' OR lower(verdict) NOT IN ('safe', 'unsafe', 'controversial') THEN 'error' ELSE lower(verdict) END FROM g WHERE error <> '' OR lower(verdict) <> 'safe'),
+pa AS (SELECT source_file, source_line, list_sort(list(l)) AS r FROM pr GROUP BY 1, 2),
+fin AS (SELECT source AS source_file, doc_id AS source_line, strlen(text)::BIGINT AS bytes, coalesce(r, []) AS r FROM documents LEFT JOIN pa ON source = source_file AND doc_id = source_line),
+fc AS (SELECT *, CASE WHEN list_contains(r, 'toxicity_error') THEN 'error' WHEN list_contains(r, 'pii') AND len(r) > 1 THEN 'both' WHEN list_contains(r, 'pii') THEN 'pii' WHEN len(r) > 0 THEN 'toxicity' ELSE 'kept' END AS class FROM fin)"""
+
+
+def _final(spark, d) -> DataFrame:
+    """Candidates judged by a model (every seventh request fails, even places are confirmed) and messages judged by a guard."""
+    h = _hits(spark, d).select(*LOC, F.when(F.col("source_line") % 7 == 0, F.lit("error")).otherwise(F.lit("ok")).alias("status"), F.when(F.col("source_line") % 2 == 0, F.lit("keep")).otherwise(F.lit("filter")).alias("decision"))
+    r = rows(spark, d).select(*LOC, F.octet_length("text").cast("long").alias("bytes"))
+    return quality.finalize(r, h, _judged(spark, d), LOC, "bytes")
+
+
+@query(f"WITH {_FINAL} SELECT source_file, source_line, array_to_string(r, ',') AS reasons, class FROM fc")
+def quality_finalize(spark, d) -> DataFrame:
+    return _final(spark, d).select(*LOC, F.array_join("reasons", ",").alias("reasons"), "class")
+
+
+@query(f"WITH {_FINAL} SELECT source_file, count(*) AS input_rows, count(*) FILTER (class = 'kept') AS clean_rows, count(*) FILTER (class <> 'kept') AS rejected_rows, sum(bytes)::BIGINT AS input_bytes, coalesce(sum(bytes) FILTER (class = 'kept'), 0)::BIGINT AS clean_bytes, coalesce(sum(bytes) FILTER (class <> 'kept'), 0)::BIGINT AS rejected_bytes FROM fc GROUP BY 1")
+def quality_reconciled(spark, d) -> DataFrame:
+    n = lambda c, v: F.sum(F.when(c, v).otherwise(0)).cast("long")
+    clean = F.col("class") == "kept"
+    return _final(spark, d).groupBy("source_file").agg(
+        F.count("*").alias("input_rows"), n(clean, 1).alias("clean_rows"), n(~clean, 1).alias("rejected_rows"), F.sum("bytes").cast("long").alias("input_bytes"), n(clean, F.col("bytes")).alias("clean_bytes"), n(~clean, F.col("bytes")).alias("rejected_bytes"),
+    )
+
+
+@query(f"WITH {_FINAL} SELECT CASE WHEN class = 'kept' THEN CASE WHEN source_line % 6 = 1 THEN 'contamination' ELSE 'none' END WHEN source_line % 6 = 1 THEN 'both' ELSE 'quality' END AS removed_by, count(*) AS n_rows FROM fc GROUP BY 1")
+def final_cleaning(spark, d) -> DataFrame:
+    """Rows removed by the quality decision, by decontamination, or by both."""
+    f = materialize(_final(spark, d).select(*LOC, "class"), "final")
+    return quality.final_cleaning(f, f.where("class <> 'kept'"), f.where("source_line % 6 = 1"), LOC).groupBy("removed_by").agg(F.count("*").alias("n_rows"))
+
+
+@query(f"WITH {B.HITS}, {B.VALID}, a AS (SELECT DISTINCT source_line FROM valid), b AS (SELECT doc_id AS source_line FROM labels WHERE toxic = 1), u AS (SELECT a.source_line AS x, b.source_line AS y FROM a FULL JOIN b ON a.source_line = b.source_line) SELECT count(*) AS in_union, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS in_both, count(*) FILTER (y IS NULL) AS only_left, count(*) FILTER (x IS NULL) AS only_right FROM u")
+def location_sets(spark, d) -> DataFrame:
+    found = pii.validate(_hits(spark, d), _CATEGORIES).select("source_line")
+    return quality.set_counts(found, table(spark, d, "labels").where("toxic = 1").select(F.col("doc_id").alias("source_line")), ["source_line"])
+
+
+@query(f"WITH {B.DECIDED} SELECT source_file, count(*) AS n_selected FROM dec WHERE source_file LIKE 'src1%' AND original_source_file <> 'src0' GROUP BY 1")
+def selected_matches(spark, d) -> DataFrame:
+    """Matches that a glob rule wants: those rows go, the others stay."""
+    from screenwright.operators import dedup
+
+    dec = dedup.decisions(dedup.digests(rows(spark, d), LOC, F.col("text")), "digest", LOC, LOC)
+    m = dec.select("source_file", (F.col("source_line") + 1).alias("source_line"), F.col("original_source_file").alias("reference_file"), (F.col("original_source_line") + 1).alias("reference_line"))
+    return dedup.selected(m, ["src1*::src[1-9]*"]).groupBy("source_file").agg(F.count("*").alias("n_selected"))
+
+
+@query(f"WITH {B.DECIDED} SELECT dec.source_file, dec.source_line, md5(a.text) AS text_md5, md5(b.text) AS original_md5 FROM dec JOIN documents a ON a.doc_id = dec.source_line JOIN documents b ON b.doc_id = dec.original_source_line")
+def matched_records(spark, d) -> DataFrame:
+    """Each removed row beside the row that it repeats."""
+    from screenwright.operators import dedup
+
+    r = rows(spark, d)
+    dec = dedup.decisions(dedup.digests(r, LOC, F.col("text")), "digest", LOC, LOC)
+    both = dedup.with_records(dec, r, LOC, "text")
+    return both.select(*LOC, F.md5(F.col("text").cast("binary")).alias("text_md5"), F.md5(F.col("original_text").cast("binary")).alias("original_md5"))
+
+
+@query(f"WITH {B.HITS}, {B.VALID}, f AS (SELECT DISTINCT source_file, source_line FROM valid) SELECT 'clean' AS scan, source_file AS file, source_line AS line, true AS automatic FROM f")
+def automatic_drop_list(spark, d) -> DataFrame:
+    """Two scans of the same findings: one covers its files, the other has a problem and drops nothing."""
+    found = pii.validate(_hits(spark, d), _CATEGORIES).join(rows(spark, d).select(*LOC, "source_sha256"), LOC)
+    index = found.groupBy(*LOC, "source_sha256").agg(F.array_sort(F.collect_set(F.lit("regex_pii"))).alias("reasons"))
+    none = spark.createDataFrame([], "run string, path string, problem string")
+    some = spark.createDataFrame([("r", "p", "not read")], none.schema)
+    both = [filtering.automatic_drop(index, p, ["regex_pii"], "regex", scan) for scan, p in (("clean", none), ("broken", some))]
+    return both[0].union(both[1]).select(F.col("scan_id").alias("scan"), "file", "line", "automatic")
+
+
+@query(f"WITH {B.HITS} SELECT source_file, source_line, string_agg(DISTINCT category || '=' || value, '|' ORDER BY category || '=' || value) AS hits FROM h GROUP BY 1, 2")
+def hits_index(spark, d) -> DataFrame:
+    said = F.array_join(F.array_sort(F.transform("hits", lambda x: F.concat(x["category"], F.lit("="), x["value"]))), "|")
+    return filtering.hits_by_row(_hits(spark, d)).select(*LOC, said.alias("hits"))
+
+
+@query("""SELECT item_id, CASE item_id % 6 WHEN 0 THEN 'a/b' || item_id || '.jsonl' WHEN 1 THEN '/a' WHEN 2 THEN 'a/../b' WHEN 3 THEN '' WHEN 4 THEN 'a//b' ELSE 'x..y' END AS path, item_id % 6 IN (0, 5) AS fine FROM benchmark""")
+def safe_paths(spark, d) -> DataFrame:
+    k = F.col("item_id") % 6
+    path = F.when(k == 0, F.concat(F.lit("a/b"), F.col("item_id").cast("string"), F.lit(".jsonl"))).when(k == 1, F.lit("/a")).when(k == 2, F.lit("a/../b")).when(k == 3, F.lit("")).when(k == 4, F.lit("a//b")).otherwise(F.lit("x..y"))
+    return table(spark, d, "benchmark").select("item_id", path.alias("path"), runs.proper_path(path).alias("fine"))
+
+
 # --- sinks, read again ---------------------------------------------------------------------
 
 

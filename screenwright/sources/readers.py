@@ -181,3 +181,17 @@ def from_parallel(conversations: str, role: str = "from", content: str = "value"
     """Messages out of a struct of two parallel arrays."""
     pairs = F.arrays_zip(F.col(f"{conversations}.{role}").alias("role"), F.col(f"{conversations}.{content}").alias("content"))
     return F.transform(pairs, lambda p: F.struct(p["role"].alias("role"), p["content"].alias("content")))
+
+
+def snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """(path, bytes, modified, sha256) of each file under a folder, hashed where it is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"))
+
+
+def snapshot_changes(before: DataFrame, now: DataFrame) -> DataFrame:
+    """(path, status): missing, new, changed (other bytes), touched (another time only)."""
+    a = before.select("path", F.col("bytes").alias("_b"), F.col("modified").alias("_m"), F.col("sha256").alias("_s"))
+    both = a.join(now, "path", "full_outer")
+    status = F.when(F.col("sha256").isNull(), F.lit("missing")).when(F.col("_s").isNull(), F.lit("new")).when(F.col("_s") != F.col("sha256"), F.lit("changed")).when(F.col("_m") != F.col("modified"), F.lit("touched"))
+    return both.select("path", status.alias("status")).where("status is not null")

@@ -52,6 +52,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of fewer files than cores, and of so many bytes at most, are dealt to all cores.
+SMALL_BYTES = 24 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` (a scan) dealt to all cores if it is one small file or a few: a small file is one row group, so one task would do all the work."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size <= SMALL_BYTES and len(df.inputFiles()) < cores else df
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a path through the file system that holds it."""
     jvm = spark.sparkContext._jvm

@@ -197,3 +197,40 @@ def test_a_problem_without_a_run_fails_every_run(spark):
     more = read.union(spark.createDataFrame([("else.jsonl", "s", 1, 1, 0, 0)], read.schema))
     assert runs.per_run(files, more, runs.problems(files, more)).first().status == "fail"
     assert runs.problems(files, read.limit(0), open_files=files).count() == 0
+
+
+def test_snapshots(spark, tmp_path):
+    import os
+
+    root = tmp_path / "s"
+    root.mkdir()
+    for n in ("same", "touched", "changed", "missing"):
+        (root / n).write_bytes(n.encode())
+    before = spark.createDataFrame(readers.snapshot(spark, str(root)).collect(), "path string, bytes long, modified timestamp, sha256 string")
+    assert readers.snapshot_changes(before, readers.snapshot(spark, str(root))).count() == 0
+    (root / "changed").write_bytes(b"CHANGED")
+    os.utime(root / "touched", (1, 1))
+    (root / "missing").unlink()
+    (root / "new").write_bytes(b"n")
+    got = {r.path.split("/")[-1]: r.status for r in readers.snapshot_changes(before, readers.snapshot(spark, str(root))).collect()}
+    assert got == {"touched": "touched", "changed": "changed", "missing": "missing", "new": "new"}
+
+
+def test_decisions_outside_of_the_rows_stop_the_run(spark):
+    from screenwright.operators import dedup, quality
+
+    rows = spark.createDataFrame([("f", 1, 10)], "source_file string, source_line long, bytes long")
+    none = spark.createDataFrame([], "source_file string, source_line long, status string, decision string")
+    guard = "source_file string, source_line long, verdict string, error string"
+    at = ["source_file", "source_line"]
+    fine = quality.finalize(rows, none, spark.createDataFrame([("f", 1, "UNSAFE", None)], guard), at, "bytes").first()
+    assert fine.reasons == ["toxicity_unsafe"] and fine["class"] == "toxicity"
+    with pytest.raises(Exception, match="outside of the rows"):
+        quality.finalize(rows, none, spark.createDataFrame([("f", 2, "Unsafe", None)], guard), at, "bytes").collect()
+    match = spark.createDataFrame([("a", 1, "../b", 1)], "source_file string, source_line long, reference_file string, reference_line long")
+    with pytest.raises(Exception, match="no proper place"):
+        dedup.selected(match, ["*::*"])
+    with pytest.raises(ValueError, match="no match"):
+        dedup.selected(match.limit(0), ["*::*"])
+    with pytest.raises(Exception, match="no record"):
+        dedup.with_records(spark.createDataFrame([("f", 1, "f", 9)], "source_file string, source_line long, original_source_file string, original_source_line long"), rows.withColumn("t", F.lit("x")), at, "t").select("text").collect()
