@@ -57,7 +57,10 @@ def _starts(rows: DataFrame, speakers: DataFrame) -> DataFrame:
     whole = sizes.groupBy("c", "part").agg(F.sum("chars").alias("chars"))
     own = sizes.select(F.col("c").alias("oc"), F.col("part").alias("op"), F.col("role").alias("speaker"), (F.col("n") * saved).alias("less"))
     each = whole.join(speakers, whole["c"].eqNullSafe(speakers["sc"])).drop("sc")
-    each = each.join(own.withColumnRenamed("speaker", "os"), F.col("c").eqNullSafe(F.col("oc")) & (F.col("part") == F.col("op")) & (F.col("speaker") == F.col("os")), "left")
+    each = each.join(
+        own.withColumnRenamed("speaker", "os"),
+        F.col("c").eqNullSafe(F.col("oc")) & (F.col("part") == F.col("op")) & (F.col("speaker") == F.col("os")), "left"
+    )
     before = Window.partitionBy("c", "speaker").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     start = F.sum(F.col("chars") - F.coalesce("less", F.lit(0))).over(before)
     return each.select(F.col("c").alias("tc"), F.col("speaker").alias("ts"), F.col("part").alias("tp"), start.cast("long").alias("start")).where("tp > 0")

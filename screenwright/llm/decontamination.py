@@ -57,7 +57,9 @@ def seeds(rows: DataFrame, key: str, w: str, short: tuple[int, ...] = ()) -> Dat
     return one.select(key, "pos", F.explode(hashes).alias("seed")).where("seed is not null")
 
 
-def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text", window: int = WINDOW, agree: int = AGREE) -> DataFrame:
+def matches(
+    docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str = "item_id", text: str = "text", window: int = WINDOW, agree: int = AGREE
+) -> DataFrame:
     """(key, item, aligned, equal, first, last): the best alignment of each matching pair.
 
     ``aligned`` is the number of words of the item that lie beside a word of the
@@ -73,7 +75,9 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str =
         index = index.union(few.where(F.size("iw") == n).select("item", F.lit(0), F.xxhash64(F.lit(-n), *[F.get("iw", F.lit(k)) for k in range(n)])))
     index = materialize(index.toDF("item", "ipos", "seed").distinct(), "benchmark-seeds")
     ours = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), _plain_words(text).alias("w"))
-    hits = seeds(ours, "id", "w", short).join(bounded_broadcast(index, BROADCAST_SEEDS), "seed").select("id", "item", (F.col("pos") - F.col("ipos")).alias("at")).distinct()
+    hits = seeds(ours, "id", "w", short).join(bounded_broadcast(index, BROADCAST_SEEDS), "seed").select(
+        "id", "item", (F.col("pos") - F.col("ipos")).alias("at")
+    ).distinct()
     hits = materialize(hits, "seed-hits")
     pairs = ours.join(bounded_broadcast(hits, BROADCAST_HITS), "id").join(bounded_broadcast(theirs, BROADCAST_HITS), "item")
     beside = F.transform("iw", lambda x, j: F.coalesce(F.get("w", j + F.col("at")) == x, F.lit(False)))
@@ -88,7 +92,9 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", item: str =
     last = F.col("at") + F.col("n") - F.array_position(F.reverse("same"), True)
     found = pairs.select("id", "item", equal.alias("equal"), aligned.alias("aligned"), first.cast("long").alias("first"), last.cast("long").alias("last"))
     top = found.groupBy("id", "item").agg(F.max(F.struct("equal", "aligned", "first", "last")).alias("m"))
-    return top.select(F.col("id").alias(key), F.col("item").alias(item), *[F.col(f"m.{c}").cast("long").alias(c) for c in ("aligned", "equal", "first", "last")])
+    return top.select(
+        F.col("id").alias(key), F.col("item").alias(item), *[F.col(f"m.{c}").cast("long").alias(c) for c in ("aligned", "equal", "first", "last")]
+    )
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -74,23 +74,36 @@ def targets(sizes: DataFrame, total: float, most: int, weights: tuple = WEIGHTS)
     return own.select("source", "i", "source_size", F.coalesce(F.least(F.col("cap").cast("double"), F.col("w") * F.col("level")), F.lit(0.0)).alias("target"))
 
 
-def mix(docs: DataFrame, total: float = 1.5, most: int = 2, seed: int = 17, block_words: int = 512, key: str = "doc_id", source: str = "source", text: str = "text") -> Mixture:
+def mix(
+    docs: DataFrame, total: float = 1.5, most: int = 2, seed: int = 17, block_words: int = 512, key: str = "doc_id", source: str = "source",
+    text: str = "text"
+) -> Mixture:
     spark = docs.sparkSession
-    narrow = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("h"), F.col(text).alias("text"))
+    narrow = docs.select(
+        F.col(key).alias("id"), F.col(source).alias("source"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("h"),
+        F.col(text).alias("text")
+    )
     counted = map_texts(narrow, ["id", "source", "h"], "text", _count_words, "size long")
     base = materialize(counted.groupBy("id", "source", "h", "size").agg(F.count("*").alias("n")), "mix-docs")
     n_rows = base.count()
     sums = base.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     s = targets(sums, total, most).withColumn("quota", F.floor(F.col("target") + 0.5).cast("long"))
     s = s.withColumn("blocks", F.expr(f"(source_size + {block_words - 1}) div {block_words}"))
-    s = s.withColumn("need", F.when(F.col("source_size") > 0, F.expr(f"(quota div source_size) * blocks + (quota % source_size + {block_words - 1}) div {block_words}")).otherwise(F.lit(0)).cast("long"))
+    s = s.withColumn(
+        "need",
+        F.when(
+            F.col("source_size") > 0, F.expr(f"(quota div source_size) * blocks + (quota % source_size + {block_words - 1}) div {block_words}")
+        ).otherwise(F.lit(0)).cast("long")
+    )
     s = materialize(s.withColumn("upto", F.sum("need").over(Window.orderBy("i").rowsBetween(Window.unboundedPreceding, 0))), "mix-sources")
     few = bounded_broadcast(s, BROADCAST_SOURCES)
 
     # the stream of each source: where each document starts
     digits = max(1, math.ceil(math.log(max(n_rows, 2) / CHUNK_ROWS, 16)))
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("h")).cast("binary"))
-    rows = base.join(few.select("source", "i", "source_size", "target"), base["source"].eqNullSafe(few["source"])).select("id", base["source"], "h", "size", "n", "i", "source_size", "target", order.alias("o"))
+    rows = base.join(
+        few.select("source", "i", "source_size", "target"), base["source"].eqNullSafe(few["source"])
+    ).select("id", base["source"], "h", "size", "n", "i", "source_size", "target", order.alias("o"))
     rows = rows.withColumn("chunk", F.substring("o", 1, digits)).withColumn("words", F.col("size") * F.col("n"))
     sizes = rows.groupBy("i", "chunk").agg(F.sum("words").alias("words"))
     offset = F.coalesce(F.sum("words").over(Window.partitionBy("i").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -116,13 +129,17 @@ def mix(docs: DataFrame, total: float = 1.5, most: int = 2, seed: int = 17, bloc
     earlier = F.coalesce(F.sum("c").over(Window.partitionBy("i").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select("i", "chunk", earlier.alias("earlier"))
     slots = slots.withColumn("rn", F.row_number().over(Window.partitionBy("i", "chunk").orderBy("slot"))).join(counts, ["i", "chunk"])
-    slots = slots.withColumn("rank", F.col("earlier") + F.col("rn") - 1).withColumn("epoch", F.expr("rank div blocks")).withColumn("block", F.col("rank") % F.col("blocks"))
+    slots = slots.withColumn(
+        "rank", F.col("earlier") + F.col("rn") - 1
+    ).withColumn("epoch", F.expr("rank div blocks")).withColumn("block", F.col("rank") % F.col("blocks"))
     lo = F.col("block") * block_words
     hi = F.least(lo + block_words, F.col("source_size"), F.col("quota") - F.col("epoch") * F.col("source_size"))
     slots = slots.select("slot", "i", "rank", "epoch", "block", lo.alias("lo"), hi.alias("hi")).where("hi > lo")
 
     # blocks of documents meet the slots that take them
-    spans = rows.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))))
+    spans = rows.where("size > 0").withColumn(
+        "block", F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")))
+    )
     a, b = F.greatest("start", "lo"), F.least(F.col("start") + F.col("size"), "hi")
     pieces = spans.join(slots, ["i", "block"]).where(a < b)
     pieces = pieces.select("slot", "epoch", "id", "h", "source", "i", "start", "size", (a - F.col("start")).alias("first"), (b - F.col("start")).alias("end"))
@@ -136,7 +153,9 @@ def taken(m: Mixture) -> DataFrame:
     # documents with words differ in (i, start); those without are taken 0 times
     out = mine.join(its, (F.col("m.i") == F.col("g.i")) & (F.col("m.start") == F.col("g.start")), "left")
     fields = ("id", "source", "size", "source_size", "target")
-    with_words = out.select(*[F.col(f"m.{c}") for c in fields], F.coalesce("g.taken", F.lit(0)).cast("long").alias("taken"), F.col("g.first_slot").alias("first_slot"))
+    with_words = out.select(
+        *[F.col(f"m.{c}") for c in fields], F.coalesce("g.taken", F.lit(0)).cast("long").alias("taken"), F.col("g.first_slot").alias("first_slot")
+    )
     return with_words.union(m.docs.where("size = 0").select(*fields, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first_slot")))
 
 
@@ -147,7 +166,10 @@ def mixed_documents(docs: DataFrame, m: Mixture, key: str = "doc_id", source: st
     copy holds the words taken, with the white space between them.
     """
     got = m.pieces.groupBy("id", "source", "h", "i", "start", "size", "epoch").agg(F.min("first").alias("_sw_first"), F.max("end").alias("_sw_end"))
-    got = got.select(F.col("id").alias("_sw_id"), F.col("source").alias("_sw_source"), F.col("h").alias("_sw_h"), F.col("size").alias("_sw_size"), "_sw_first", "_sw_end")
+    got = got.select(
+        F.col("id").alias("_sw_id"), F.col("source").alias("_sw_source"), F.col("h").alias("_sw_h"), F.col("size").alias("_sw_size"), "_sw_first",
+        "_sw_end"
+    )
     own = docs.columns
     h = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
     one = docs.withColumn("_sw_text_h", h).dropDuplicates([key, source, "_sw_text_h"])
@@ -161,7 +183,9 @@ def mixed_documents(docs: DataFrame, m: Mixture, key: str = "doc_id", source: st
 def op9(spark, sf_dir: str) -> DataFrame:
     from screenwright.llm.tables import table
 
-    return taken(mix(table(spark, sf_dir, "documents"))).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", F.coalesce("first_slot", F.lit(-1)).cast("long").alias("first_slot"))
+    return taken(mix(table(spark, sf_dir, "documents"))).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", F.coalesce("first_slot", F.lit(-1)).cast("long").alias("first_slot")
+    )
 
 
 SQL = r"""

@@ -108,7 +108,9 @@ def in_parts(rows: DataFrame, small: DataFrame, size: str = "c") -> DataFrame:
     long_ = small.where(F.col(size) > LIST_ROWS).select("key", F.expr(f"({size} div {LIST_ROWS}) + 1").cast("int").alias("parts")).distinct()
     dealt = rows.join(bounded_broadcast(long_, BROADCAST_IDS), "key", "left")
     dealt = dealt.withColumn("part", F.coalesce(F.pmod(F.xxhash64("rep"), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
-    every = small.withColumn("part", F.explode(F.sequence(F.lit(0), F.when(F.col(size) > LIST_ROWS, F.expr(f"{size} div {LIST_ROWS}")).otherwise(0).cast("int")))).drop(size)
+    every = small.withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.when(F.col(size) > LIST_ROWS, F.expr(f"{size} div {LIST_ROWS}")).otherwise(0).cast("int")))
+    ).drop(size)
     return dealt.join(every, ["key", "part"]).drop("part")
 
 
@@ -209,7 +211,9 @@ class _Links:
         prefix = F.slice("every", F.lit(1), F.size("every") - (self.match - 1))
         self.lists = materialize(self.keys.select("rep", F.explode(prefix).alias("key")).join(classes.select("rep", "n"), "rep"), "postings")
         wanted = materialize(classes.select("rep", "id", "h").join(self.lists.select("rep").distinct(), "rep"), "posted")
-        mine = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")).join(bounded_broadcast(wanted, BROADCAST_IDS), ["id", "h"])
+        mine = docs.select(
+            F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")
+        ).join(bounded_broadcast(wanted, BROADCAST_IDS), ["id", "h"])
         sets = map_texts(mine, ["rep"], "text", lambda texts: [[s.tobytes() for s in shingle_sets(texts, width)]], "shingles binary")
         self.sets = materialize(sets.dropDuplicates(["rep"]), "shingles")
 
@@ -264,10 +268,19 @@ class _Links:
         main = rows.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("c"))
         main = materialize(main.select("key", "c", F.col("m.comp").alias("main"), F.expr(f"cast(c div {LIST_ROWS} as int)").alias("more")), "lists")
         rows = in_parts(rows.join(rows.groupBy("rep").agg(F.collect_set("key").alias("keys")), "rep").join(self.keys, "rep"), main)
-        rows = rows.join(visits.groupBy("rep").agg(F.collect_set("to").alias("to")), "rep", "left").withColumn("to", F.coalesce("to", F.array().cast("array<bigint>")))
+        rows = rows.join(
+            visits.groupBy("rep").agg(F.collect_set("to").alias("to")), "rep", "left"
+        ).withColumn("to", F.coalesce("to", F.array().cast("array<bigint>")))
         # what stands on the right is repeated for each part of a long list, what stands on the left is dealt to them
-        left = rows.where("comp <> main").select("key", F.pmod(F.xxhash64("rep"), F.col("more") + 1).cast("int").alias("part"), F.col("rep").alias("a"), "n", F.col("comp").alias("ca"), F.col("keys").alias("ka"), F.col("every").alias("ea"), F.col("to").alias("ta"))
-        right = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("more"))).alias("part"), F.col("rep").alias("b"), F.col("n").alias("m"), F.col("comp").alias("cb"), F.col("keys").alias("kb"), F.col("every").alias("eb"), F.col("to").alias("tb"), (F.col("comp") == F.col("main")).alias("own"))
+        left = rows.where("comp <> main").select(
+            "key", F.pmod(F.xxhash64("rep"), F.col("more") + 1).cast("int").alias("part"), F.col("rep").alias("a"), "n", F.col("comp").alias("ca"),
+            F.col("keys").alias("ka"), F.col("every").alias("ea"), F.col("to").alias("ta")
+        )
+        right = rows.select(
+            "key", F.explode(F.sequence(F.lit(0), F.col("more"))).alias("part"), F.col("rep").alias("b"), F.col("n").alias("m"),
+            F.col("comp").alias("cb"), F.col("keys").alias("kb"), F.col("every").alias("eb"), F.col("to").alias("tb"),
+            (F.col("comp") == F.col("main")).alias("own")
+        )
         enough = F.size(F.array_intersect("ea", "eb")) >= self.match
         first = F.array_min(F.array_intersect("ka", "kb")) == left["key"]
         apart = (F.col("ca") != F.col("cb")) & (F.col("own") | (F.col("a") > F.col("b"))) & self._fits("n", "m") & ~F.arrays_overlap("ta", "tb")
@@ -277,7 +290,9 @@ class _Links:
         """(to, block, blocks, name): the sets of ``rows`` (to, rep, comp, n), dealt to blocks of about BLOCK_SHINGLES shingles."""
         deal = rows.groupBy("to").agg(F.expr(f"(sum(n) div {BLOCK_SHINGLES}) + 1").alias("blocks"))
         dealt = rows.join(deal, "to").select("to", "rep", "comp", "blocks", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
-        return dealt.join(self.sets, "rep").groupBy("to", "block", "blocks").agg(F.collect_list(F.struct("rep", "comp", F.col("shingles").alias("s"))).alias(name))
+        return dealt.join(self.sets, "rep").groupBy("to", "block", "blocks").agg(
+            F.collect_list(F.struct("rep", "comp", F.col("shingles").alias("s"))).alias(name)
+        )
 
     def visits(self, rows: DataFrame, sizes: DataFrame) -> DataFrame:
         """(to, rep, comp, n): the classes of smaller groups that share a list with a large group ``to``."""
@@ -325,7 +340,9 @@ def labelled(docs: DataFrame, key: str, text: str, width: int, percent: int, sha
     return rows.select("id", "h", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left").select("id", "h", "n", "first")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4
+) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of ``docs``.
 
     Rows are linked if their sets of ``width``-word shingles have a Jaccard
@@ -334,10 +351,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     """
     out = labelled(docs, key, text, width, percent, (coords, rows_each, match))
     component = F.coalesce("first.id", "id")
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id").isNull() | (F.col("id") == component)).alias("kept"))
+    return out.select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        (F.col("id").isNull() | (F.col("id") == component)).alias("kept")
+    )
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, coords: int = 32, rows_each: int = 3, match: int = 4
+) -> DataFrame:
     """One row of ``docs`` for each component, that of the smallest (id, text hash); rows with a null id or without words stay.
 
     Of rows equal in id and text one stays, that with the smallest hash of the
@@ -346,14 +368,21 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     rows = labelled(docs, key, text, width, percent, (coords, rows_each, match))
     rows = materialize(rows.where("n > 0 and id is not null").select("id", "h", (F.struct("id", "h") == F.col("first")).alias("stays")), "stays")
     gone = materialize(rows.where("not stays").select(F.col("id").alias("_sw_id"), F.col("h").alias("_sw_h")).distinct(), "near-copies")
-    twice = materialize(rows.where("stays").groupBy("id", "h").agg(F.count("*").alias("c")).where("c > 1").select(F.col("id").alias("_sw_id"), F.col("h").alias("_sw_h")), "repeated-rows")
+    twice = materialize(
+        rows.where("stays").groupBy("id", "h").agg(F.count("*").alias("c")).where("c > 1").select(
+            F.col("id").alias("_sw_id"), F.col("h").alias("_sw_h")
+        ),
+        "repeated-rows"
+    )
     own = [F.col(f"`{c}`") for c in docs.columns]
     here = (F.col(f"`{key}`").cast("long") == F.col("_sw_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_sw_h"))
     left = docs.join(bounded_broadcast(gone, BROADCAST_IDS), here, "left_anti")
     if twice.isEmpty():
         return left
     again = bounded_broadcast(twice, BROADCAST_IDS)
-    one = left.join(again, here).groupBy("_sw_id", "_sw_h").agg(F.min_by(F.struct(*own), F.xxhash64(*[F.col(f"`{c}`") for c in without_maps(docs)])).alias("_sw_row"))
+    one = left.join(again, here).groupBy("_sw_id", "_sw_h").agg(
+        F.min_by(F.struct(*own), F.xxhash64(*[F.col(f"`{c}`") for c in without_maps(docs)])).alias("_sw_row")
+    )
     return left.join(again, here, "left_anti").unionByName(one.select(*[F.col(f"_sw_row.`{c}`") for c in docs.columns]))
 
 

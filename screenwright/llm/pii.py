@@ -105,7 +105,12 @@ def found(text: Column, pattern: str, valid) -> Column:
         return F.struct(end.alias("pos"), F.concat(acc["out"], F.when(valid(x["hit"]), said).otherwise(F.lit(""))).alias("out"))
 
     out = F.aggregate(both, F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step, lambda acc: acc["out"])
-    return F.transform(F.filter(F.split(out, ","), lambda s: s != ""), lambda s: F.struct(F.split_part(s, F.lit(":"), F.lit(1)).cast("int").alias("start"), F.split_part(s, F.lit(":"), F.lit(2)).cast("int").alias("end")))
+    return F.transform(
+        F.filter(F.split(out, ","), lambda s: s != ""),
+        lambda s: F.struct(
+            F.split_part(s, F.lit(":"), F.lit(1)).cast("int").alias("start"), F.split_part(s, F.lit(":"), F.lit(2)).cast("int").alias("end")
+        )
+    )
 
 
 def base_spans(text: Column) -> Column:
@@ -139,7 +144,9 @@ def class_term(kind: Column) -> Column:
 def affected(docs: DataFrame, text: str) -> DataFrame:
     """(h, n, text, spans): the distinct texts with a base span, their rows and their spans."""
     rows = docs.select(F.col(text).alias("text")).withColumn("spans", base_spans(F.col("text"))).where(F.size("spans") > 0)
-    return rows.groupBy(F.md5(F.col("text").cast("binary")).alias("h")).agg(F.count("*").alias("n"), F.first("text").alias("text"), F.first("spans").alias("spans"))
+    return rows.groupBy(F.md5(F.col("text").cast("binary")).alias("h")).agg(
+        F.count("*").alias("n"), F.first("text").alias("text"), F.first("spans").alias("spans")
+    )
 
 
 def mentions(rows: DataFrame, context: int) -> DataFrame:
@@ -174,9 +181,14 @@ def mentions(rows: DataFrame, context: int) -> DataFrame:
 
     def term(w):
         said = F.substring(F.col("part"), w["start"] + 1, w["end"] - w["start"])
-        return F.struct(F.lower(said).alias("term"), class_of(said).alias("kind"), (F.col("at") + w["start"]).alias("start"), (F.col("at") + w["end"]).alias("end"))
+        return F.struct(
+            F.lower(said).alias("term"), class_of(said).alias("kind"), (F.col("at") + w["start"]).alias("start"),
+            (F.col("at") + w["end"]).alias("end")
+        )
 
-    return one.select("h", "n", "entity", F.explode_outer(F.coalesce(F.transform("w", term), none)).alias("t")).select("h", "n", "entity", "t.term", "t.kind", "t.start", "t.end")
+    return one.select(
+        "h", "n", "entity", F.explode_outer(F.coalesce(F.transform("w", term), none)).alias("t")
+    ).select("h", "n", "entity", "t.term", "t.kind", "t.start", "t.end")
 
 
 def occurrences(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
@@ -197,7 +209,9 @@ def disclosing(docs: DataFrame, near: DataFrame, text: str, generalise: float, r
     total = float(docs.count())
     entities = near.select("entity", "h", "n").distinct().groupBy("entity").agg(F.sum("n").alias("n_e"))
     said = near.where("term is not null")
-    both = said.select("entity", "term", "kind", "h", "n").unionByName(said.select("entity", class_term(F.col("kind")).alias("term"), F.lit(-1).alias("kind"), "h", "n"))
+    both = said.select("entity", "term", "kind", "h", "n").unionByName(
+        said.select("entity", class_term(F.col("kind")).alias("term"), F.lit(-1).alias("kind"), "h", "n")
+    )
     both = both.groupBy("entity", "term", "h").agg(F.first("n").alias("n"), F.collect_set("kind").alias("kinds"))
     both = both.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.array_distinct(F.flatten(F.collect_set("kinds"))).alias("kinds"))
     pairs = materialize(both.join(entities, "entity"), "pii-pairs")
@@ -243,7 +257,10 @@ def spanned(docs: DataFrame, text: str = "text", context: int = 60, generalise:
     terms = at.groupBy("h").agg(F.collect_list(F.struct("start", kind.alias("kind"), "end", "action")).alias("terms"))
     whole = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(-1).alias("action")))
     out = rows.select("h", "spans").join(terms, "h", "left")
-    return materialize(out.select("h", F.col("spans").alias("base"), F.array_sort(F.concat(whole, F.coalesce("terms", F.array().cast(_MARKED)))).alias("spans")), "pii-spans")
+    return materialize(
+        out.select("h", F.col("spans").alias("base"), F.array_sort(F.concat(whole, F.coalesce("terms", F.array().cast(_MARKED)))).alias("spans")),
+        "pii-spans"
+    )
 
 
 def handed_out(docs: DataFrame, found_: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
@@ -252,7 +269,10 @@ def handed_out(docs: DataFrame, found_: DataFrame, key: str, text: str, *more: C
     few = F.broadcast(found_) if n <= BROADCAST_TERMS else found_
     rows = docs.select(F.col(key).alias("_sw_id"), F.col(text).alias("_sw_text"), F.md5(F.col(text).cast("binary")).alias("h"))
     out = rows.join(few, "h", "left")
-    return out.select(F.col("_sw_id").alias(key), F.coalesce("base", F.array().cast(_SPAN)).alias("base"), F.coalesce("spans", F.array().cast(_MARKED)).alias("spans"), *more)
+    return out.select(
+        F.col("_sw_id").alias(key), F.coalesce("base", F.array().cast(_SPAN)).alias("base"),
+        F.coalesce("spans", F.array().cast(_MARKED)).alias("spans"), *more
+    )
 
 
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -273,7 +293,10 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
         piece = F.concat(F.substring(F.col("_sw_text"), acc["pos"] + 1, F.greatest(s["start"] - acc["pos"], F.lit(0))), mark)
         return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
 
-    clean = F.aggregate("spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(F.col("_sw_text"), acc["pos"] + 1, F.length("_sw_text"))))
+    clean = F.aggregate(
+        "spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step,
+        lambda acc: F.concat(acc["out"], F.substring(F.col("_sw_text"), acc["pos"] + 1, F.length("_sw_text")))
+    )
     return out.select(key, "base", "spans", clean.alias("sanitised"))
 
 

@@ -104,7 +104,9 @@ def shards(docs: DataFrame, n_shards: int, seed: int = 17, bucket_bytes: int | N
 
 def write_shards(docs: DataFrame, path: str, n_shards: int, **options) -> None:
     """Parquet folders ``shard=0`` ... under ``path``, each file in the order of its slots."""
-    shards(docs, n_shards, **options).repartitionByRange(F.col("shard"), F.col("slot")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    shards(docs, n_shards, **options).repartitionByRange(
+        F.col("shard"), F.col("slot")
+    ).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

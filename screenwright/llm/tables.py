@@ -27,7 +27,11 @@ def without_maps(df: DataFrame) -> list[str]:
 def fingerprint(df: DataFrame, seed: int = 0) -> Column:
     """128 bits of a row's content as a struct: of every column, maps by their sorted entries; maps within other columns take no part."""
     columns = [F.col(f"`{c}`") for c in without_maps(df)]
-    columns += [F.array_sort(F.map_entries(F.col(f"`{f.name}`"))) for f in df.schema if isinstance(f.dataType, MapType) and not (_has_map(f.dataType.valueType) or _has_map(f.dataType.keyType))]
+    columns += [
+        F.array_sort(F.map_entries(F.col(f"`{f.name}`"))) for f in df.schema if isinstance(f.dataType, MapType) and not (
+            _has_map(f.dataType.valueType) or _has_map(f.dataType.keyType)
+        )
+    ]
     return F.struct(F.xxhash64(F.lit(seed), *columns).alias("a"), F.xxhash64(F.lit(seed + 1), F.lit("b"), *columns).alias("b"))
 
 

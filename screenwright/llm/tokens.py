@@ -72,7 +72,10 @@ def _packs(ranks: bytes, separator: int, pack_bytes: int, batches):
         with pa.ipc.new_stream(stream, table.schema) as out:
             out.write_table(table)
         rows = [("ids", stream.getvalue().to_pybytes()), ("tokens", mark.join(held))]
-        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows]), pa.array([f"p{part:06d}-{n:06d}"] * 2), pa.array([v for _, v in rows], type=pa.binary())], names=["kind", "pack", "value"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in rows]), pa.array([f"p{part:06d}-{n:06d}"] * 2), pa.array([v for _, v in rows], type=pa.binary())],
+            names=["kind", "pack", "value"]
+        )
 
     kind = None
     for batch in batches:
@@ -89,7 +92,9 @@ def _packs(ranks: bytes, separator: int, pack_bytes: int, batches):
         yield packed(kind)
 
 
-def write_tokens(docs: DataFrame, path: str, ranks: str, separator: int = SEPARATOR, key: str = "doc_id", text: str = "text", pack_bytes: int = PACK_BYTES) -> None:
+def write_tokens(
+    docs: DataFrame, path: str, ranks: str, separator: int = SEPARATOR, key: str = "doc_id", text: str = "text", pack_bytes: int = PACK_BYTES
+) -> None:
     """Flat token files (gzipped) under ``path``/kind=tokens/pack=..., and the ids of each pack under ``path``/kind=ids/pack=....
 
     ``ranks`` is a vocabulary file of the driver's machine.
@@ -116,7 +121,10 @@ def _blocks(separator: int, block_tokens: int, name: str, data: Bytes, start: in
         part = ids[k : k + block_tokens]
         at = np.flatnonzero(part == separator).astype(np.int32)
         held = pa.ListArray.from_arrays(pa.array([0, len(at)], type=pa.int32()), pa.array(at))
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([(start // 2 + k) // block_tokens], type=pa.int64()), pa.array([len(part)], type=pa.int64()), held], names=["file", "block", "n_tokens", "at"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name]), pa.array([(start // 2 + k) // block_tokens], type=pa.int64()), pa.array([len(part)], type=pa.int64()), held],
+            names=["file", "block", "n_tokens", "at"]
+        )
 
 
 def scan_tokens(spark: SparkSession, path: str, separator: int = SEPARATOR, block_tokens: int = BLOCK_TOKENS, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -132,14 +140,23 @@ def scan_tokens(spark: SparkSession, path: str, separator: int = SEPARATOR, bloc
     last = F.when(F.size("at") > 0, F.col("block") * block_tokens + F.element_at("at", -1))
     # the prefix scan sees a few numbers of each block
     sums = rows.select("file", "block", last.alias("last"), F.size("at").alias("n"))
-    sums = sums.select("file", "block", "last", (F.coalesce(F.max("last").over(earlier), F.lit(-1)) + 1).alias("open"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("seen"), F.lead("block").over(Window.partitionBy("file").orderBy("block")).isNull().alias("final"))
+    sums = sums.select(
+        "file", "block", "last", (F.coalesce(F.max("last").over(earlier), F.lit(-1)) + 1).alias("open"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("seen"),
+        F.lead("block").over(Window.partitionBy("file").orderBy("block")).isNull().alias("final")
+    )
     rows = rows.join(sums, ["file", "block"])
     one = rows.select("file", "block", "open", "seen", "at", F.posexplode("at").alias("i", "p"))
     first = F.when(F.col("i") == 0, F.col("open")).otherwise(F.col("block") * block_tokens + F.get("at", F.col("i") - 1) + 1)
-    sealed = one.select("file", (F.col("seen") + F.col("i")).alias("doc"), first.alias("first"), (F.col("block") * block_tokens + F.col("p") - first).alias("n_tokens"), F.lit(True).alias("sealed"))
+    sealed = one.select(
+        "file", (F.col("seen") + F.col("i")).alias("doc"), first.alias("first"),
+        (F.col("block") * block_tokens + F.col("p") - first).alias("n_tokens"), F.lit(True).alias("sealed")
+    )
     end = F.col("block") * block_tokens + F.col("n_tokens")
     start = F.coalesce(F.col("last") + 1, F.col("open"))
-    rest = rows.where(F.col("final") & (end > start)).select("file", (F.col("seen") + F.size("at")).alias("doc"), start.alias("first"), (end - start).alias("n_tokens"), F.lit(False).alias("sealed"))
+    rest = rows.where(F.col("final") & (end > start)).select(
+        "file", (F.col("seen") + F.size("at")).alias("doc"), start.alias("first"), (end - start).alias("n_tokens"), F.lit(False).alias("sealed")
+    )
     return sealed.union(rest)
 
 
@@ -166,7 +183,9 @@ def count_tokens(docs: DataFrame, path: str, ranks: str, separator: int = SEPARA
     found = scan_tokens(spark, f"{path}/kind=tokens", separator).withColumn("pack", F.regexp_extract("file", "pack=([^/]*)", 1))
     ids = scan(spark, f"{path}/kind=ids", _ids, f"pack string, doc long, id {kind}", 1 << 40)
     both = ids.withColumn("known", F.lit(True)).join(found.select("pack", "doc", "n_tokens", "sealed"), ["pack", "doc"], "full_outer")
-    n = F.when(F.col("sealed") & F.col("known"), F.col("n_tokens")).otherwise(F.raise_error(F.concat(F.lit("no whole document "), F.col("doc").cast("string"), F.lit(" in pack "), F.col("pack"))).cast("bigint"))
+    n = F.when(F.col("sealed") & F.col("known"), F.col("n_tokens")).otherwise(
+        F.raise_error(F.concat(F.lit("no whole document "), F.col("doc").cast("string"), F.lit(" in pack "), F.col("pack"))).cast("bigint")
+    )
     return both.select(F.col("id").alias(key), "pack", "doc", n.alias("n_tokens"))
 
 

@@ -226,7 +226,9 @@ def _speaking(chosen: frozenset, batches):
     import pyarrow as pa
 
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([not chosen.isdisjoint(features(w)) for w in batch.column("words").to_pylist()], type=pa.bool_())], names=["speaks"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([not chosen.isdisjoint(features(w)) for w in batch.column("words").to_pylist()], type=pa.bool_())], names=["speaks"]
+        )
 
 
 def _parent(feature: str) -> str:
@@ -352,7 +354,9 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, key:
     return map_texts(docs.select(key, held_out(key).alias("held_out"), text), [key, "held_out"], text, kernel, "score double")
 
 
-def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def accepted(
+    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``; they pass by without a shuffle."""
     kernel = fitted(docs, labels, train_rows, key, text)
     own = docs.columns

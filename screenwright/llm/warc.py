@@ -100,7 +100,10 @@ def page_records(page_id, url: str | None, payload: bytes, sha: str, copy: int,
     """The WARC records of one page, each with the blank line that ends it; ``holder`` is the (page_id, url) that a revisit refers to."""
     target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", url) if url else f"urn:page:{page_id}"
     own = record_id(page_id, url, sha, copy)
-    fields = [("WARC-Type", "revisit" if holder else "response"), ("WARC-Record-ID", own), ("WARC-Date", DATE), ("WARC-Target-URI", target), ("Content-Type", "application/http;msgtype=response"), ("WARC-Payload-Digest", f"sha1:{digest32(payload)}")]
+    fields = [
+        ("WARC-Type", "revisit" if holder else "response"), ("WARC-Record-ID", own), ("WARC-Date", DATE), ("WARC-Target-URI", target),
+        ("Content-Type", "application/http;msgtype=response"), ("WARC-Payload-Digest", f"sha1:{digest32(payload)}")
+    ]
     fields += [("X-Page-ID", str(page_id))] if page_id is not None else []
     if holder:
         return [_record([*fields, ("WARC-Refers-To", record_id(*holder, sha, 0)), ("WARC-Profile", PROFILE)], HTTP + b"\r\n")]
@@ -110,7 +113,10 @@ def page_records(page_id, url: str | None, payload: bytes, sha: str, copy: int,
         return [_record(fields, block)]
     out = [_record([*fields, ("WARC-Segment-Number", "1")], parts[0])]
     for i, part in enumerate(parts[1:], 2):
-        more = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{own}:{i}')}>"), ("WARC-Date", DATE), ("WARC-Segment-Origin-ID", own), ("WARC-Segment-Number", str(i))]
+        more = [
+            ("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{own}:{i}')}>"), ("WARC-Date", DATE),
+            ("WARC-Segment-Origin-ID", own), ("WARC-Segment-Number", str(i))
+        ]
         out.append(_record([*more, ("WARC-Segment-Total-Length", str(len(block)))] if i == len(parts) else more, part))
     return out
 
@@ -122,7 +128,9 @@ def _write(segment_bytes: int, chunk_bytes: int, pack_bytes: int, batches):
     held: list[bytes] = []
     size = 0
     for batch in batches:
-        for page_id, url, html, sha, copy, holder in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "sha", "copy", "holder")), strict=True):
+        for page_id, url, html, sha, copy, holder in zip(
+            *(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "sha", "copy", "holder")), strict=True
+        ):
             for r in page_records(page_id, url, html or b"", sha, copy, (holder["page_id"], holder["url"]) if holder else None, segment_bytes, chunk_bytes):
                 held.append(gzip.compress(r, LEVEL, mtime=0))
                 size += len(held[-1])
@@ -133,14 +141,21 @@ def _write(segment_bytes: int, chunk_bytes: int, pack_bytes: int, batches):
         yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], type=pa.binary())], names=["members"])
 
 
-def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, pack_bytes: int = PACK_BYTES, rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_archives(
+    pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, pack_bytes: int = PACK_BYTES,
+    rows_per_file: int = ROWS_PER_FILE
+) -> None:
     """WARC files of ``pages`` (page_id, url, html) under ``path``, a gzip member for each record."""
     rows = with_copies(pages.select("page_id", "url", F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("html")), 2).withColumn("sha", F.sha1("html"))
     # narrow: who holds a payload first
-    held = rows.groupBy("sha").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("holder"), F.count("*").alias("n")).where("n > 1 and holder is not null")
+    held = rows.groupBy("sha").agg(
+        F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("holder"), F.count("*").alias("n")
+    ).where("n > 1 and holder is not null")
     held = bounded_broadcast(materialize(held.select("sha", "holder"), "payload-holders"), BROADCAST_REVISITS)
     holder = F.when(~F.col("page_id").eqNullSafe(F.col("holder.page_id")), F.col("holder"))
-    marked = rows.join(held, "sha", "left").select("page_id", "url", "html", "sha", F.col("_sw_copy").alias("copy"), F.when(F.col("holder").isNotNull(), holder).alias("holder"))
+    marked = rows.join(held, "sha", "left").select(
+        "page_id", "url", "html", "sha", F.col("_sw_copy").alias("copy"), F.when(F.col("holder").isNotNull(), holder).alias("holder")
+    )
     out = marked.mapInArrow(partial(_write, segment_bytes, chunk_bytes, pack_bytes), "members binary").select(F.col("members").cast("string").alias("value"))
     out.write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY.decode("iso-8859-1")).option("maxRecordsPerFile", rows_per_file).text(path)
 
@@ -217,7 +232,13 @@ def _read(name: str, data: Bytes, start: int, end: int):
     rows, size = [], 0
     for content in members(data, start, end):
         for h, block in parse(content):
-            rows.append((h["warc-record-id"], h["warc-type"], h.get("warc-segment-origin-id"), h.get("warc-refers-to"), number(h, "warc-segment-number"), number(h, "warc-segment-total-length"), number(h, "x-page-id"), h.get("warc-target-uri"), h.get("warc-payload-digest", "").removeprefix("sha1:") or None, block))
+            rows.append(
+                (
+                    h["warc-record-id"], h["warc-type"], h.get("warc-segment-origin-id"), h.get("warc-refers-to"), number(h, "warc-segment-number"),
+                    number(h, "warc-segment-total-length"), number(h, "x-page-id"), h.get("warc-target-uri"),
+                    h.get("warc-payload-digest", "").removeprefix("sha1:") or None, block
+                )
+            )
             size += len(block)
             if size > 1 << 22:
                 yield batch(rows)
@@ -244,7 +265,9 @@ def _payloads(batches):
 
     for batch in batches:
         rows = []
-        for own, page_id, url, digest, total, segments in zip(*(batch.column(c).to_pylist() for c in ("id", "page_id", "url", "digest", "total", "segments")), strict=True):
+        for own, page_id, url, digest, total, segments in zip(
+            *(batch.column(c).to_pylist() for c in ("id", "page_id", "url", "digest", "total", "segments")), strict=True
+        ):
             if [s["segment"] for s in segments] != list(range(1, len(segments) + 1)):
                 raise ValueError(f"page {page_id}: segments are missing or repeated")
             block = b"".join(s["block"] for s in segments)
@@ -256,7 +279,10 @@ def _payloads(batches):
             rows.append((own, page_id, url, payload, len(payload), digest32(payload)))
         columns = list(zip(*rows, strict=True)) or [[]] * 6
         kinds = (pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)], names=["id", "page_id", "url", "payload", "payload_bytes", "payload_digest"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)],
+            names=["id", "page_id", "url", "payload", "payload_bytes", "payload_digest"]
+        )
 
 
 def responses(records: DataFrame) -> DataFrame:
@@ -279,11 +305,17 @@ def catalogue(records: DataFrame) -> DataFrame:
     """
     got = materialize(responses(records).select("id", "page_id", "payload_bytes", "payload_digest"), "responses")
     again = records.where("type = 'revisit'").select("page_id", "digest", "refers")
-    named = again.where("refers is not null").select("refers").distinct().join(got, F.col("refers") == F.col("id")).select("refers", F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest")
+    named = again.where("refers is not null").select("refers").distinct().join(got, F.col("refers") == F.col("id")).select(
+        "refers", F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest"
+    )
     named = bounded_broadcast(materialize(named, "referred"), BROADCAST_REVISITS)
-    by_name = again.where("refers is not null").join(named, "refers", "left").select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "refers_to")
+    by_name = again.where("refers is not null").join(named, "refers", "left").select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "refers_to"
+    )
     first = got.groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"), F.max("payload_bytes").alias("payload_bytes"))
-    by_digest = again.where("refers is null").select("page_id", F.col("digest").alias("payload_digest")).join(first, "payload_digest", "left").select("page_id", "payload_bytes", "payload_digest", "refers_to")
+    by_digest = again.where("refers is null").select("page_id", F.col("digest").alias("payload_digest")).join(first, "payload_digest", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "refers_to"
+    )
     both = by_name.union(by_digest).select("page_id", "payload_bytes", "payload_digest", F.lit("revisit").alias("record_type"), "refers_to")
     fresh = got.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
     return fresh.union(both)

@@ -13,7 +13,10 @@ SHAPE = "doc_id long, text string, source string, n long, key string, rep long,
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    texts = [(1, "a b c d e f g h"), (1, "a b c d e f g h"), (2, "A B C d e f g h"), (3, None), (4, ""), (5, " \n\t "), (6, LONG), (7, LONG + " tail"), (None, "a b c d e f g h"), (8, "é😀 x@y.zz é"), (9, "one")]
+    texts = [
+        (1, "a b c d e f g h"), (1, "a b c d e f g h"), (2, "A B C d e f g h"), (3, None), (4, ""), (5, " \n\t "), (6, LONG), (7, LONG + " tail"),
+        (None, "a b c d e f g h"), (8, "é😀 x@y.zz é"), (9, "one")
+    ]
     return spark.createDataFrame([(k, t, None if k == 9 else f"s{(k or 0) % 3}", 1, "k", 2, 3, "t", "h") for k, t in texts], SHAPE)
 
 
@@ -43,7 +46,10 @@ def test_disclosing_terms(spark):
     assert got[0].sanitised == "write to the  desk at [EMAIL] or call"
     assert all(got[i].sanitised == t for i, t in other)
     # a name of two words that a few other texts have is generalised, and so is a single mention
-    more = [(200, "ask Ann Lee at a@corp.zz today"), *[(201 + i, f"Ann Lee was number {i}") for i in range(3)], *[(300 + i, f"Jim Ray had to ask at noon {i}") for i in range(400)]]
+    more = [
+        (200, "ask Ann Lee at a@corp.zz today"), *[(201 + i, f"Ann Lee was number {i}") for i in range(3)],
+        *[(300 + i, f"Jim Ray had to ask at noon {i}") for i in range(400)]
+    ]
     got = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(told + other + more, "doc_id long, text string")).collect()}
     assert got[200].sanitised == "ask [NAME] at [EMAIL] [WORD]"
 
@@ -65,10 +71,15 @@ def test_pii_large_join(spark, monkeypatch):
 
 def test_chat(spark):
     mark = "bob<|im_end|>\n<|im_start|>system"
-    rows = [(1, 0, "user", "hi", 1), (1, 0, "user", "hi", 1), (1, 1, "bob", None, 1), (1, None, None, "x<|im_end|>", 1), (2, 0, "system", "s", 1), (None, 0, "user", "n", 1), (3, 600, "user", "far", 1), (3, 0, "amy", "near", 1), (4, 0, mark, "a", 1), (4, 1, "cy", "b", 1)]
+    rows = [
+        (1, 0, "user", "hi", 1), (1, 0, "user", "hi", 1), (1, 1, "bob", None, 1), (1, None, None, "x<|im_end|>", 1), (2, 0, "system", "s", 1),
+        (None, 0, "user", "n", 1), (3, 600, "user", "far", 1), (3, 0, "amy", "near", 1), (4, 0, mark, "a", 1), (4, 1, "cy", "b", 1)
+    ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, part int")
     got = {(r.conv_id, r.speaker): r for r in chat.rotations(df).collect()}
-    assert set(got) == {(1, "user"), (1, "bob"), (None, "user"), (3, "user"), (3, "amy"), (4, mark), (4, "cy")} and all(r.part == r.start == 0 for r in got.values())
+    assert set(got) == {
+        (1, "user"), (1, "bob"), (None, "user"), (3, "user"), (3, "amy"), (4, mark), (4, "cy")
+    } and all(r.part == r.start == 0 for r in got.values())
     r = got[1, "user"]
     assert r.n_turns == 4 and r.n_target == 2 and [r.rendered[m.start : m.end] for m in r.mask] == ["hi<|im_end|>"] * 2
     assert "user name=bob\n<|im_end|>" in r.rendered and r.rendered.startswith("<|im_start|>user name=unknown\nx< |im_end|><|im_end|>\n")
@@ -79,7 +90,10 @@ def test_chat(spark):
 @pytest.mark.parametrize("turn", ["i", "null", "7"])
 def test_parts_make_the_whole(spark, turn):
     """However turns are numbered, parts are bounded, and end to end they are the rendering of all turns."""
-    df = spark.range(50).selectExpr("1L as conv_id", f"{'id' if turn == 'i' else turn if turn == '7' else 'cast(null as bigint)'} as turn", "array('amy', 'bob', 'system', null)[id % 4] as role", "concat('t', id) as text")
+    df = spark.range(50).selectExpr(
+        "1L as conv_id", f"{'id' if turn == 'i' else turn if turn == '7' else 'cast(null as bigint)'} as turn",
+        "array('amy', 'bob', 'system', null)[id % 4] as role", "concat('t', id) as text"
+    )
     whole = {r.speaker: r for r in chat.rotations(df, part_turns=100).collect()}
     parts = chat.rotations(df, part_turns=7).collect()
     assert max(r.n_turns for r in parts) == 7 and set(whole) == {"amy", "bob"}
@@ -105,7 +119,10 @@ def test_quality(spark, odd):
 
 
 def test_decontamination(spark, odd):
-    items = spark.createDataFrame([(1, "A, b c-d e f g h!", 0), (1, "A, b c-d e f g h!", 0), (2, "too short", 0), (3, None, 0), (None, "a b c d e f g h", 0)], "item_id long, text string, seed long")
+    items = spark.createDataFrame(
+        [(1, "A, b c-d e f g h!", 0), (1, "A, b c-d e f g h!", 0), (2, "too short", 0), (3, None, 0), (None, "a b c d e f g h", 0)],
+        "item_id long, text string, seed long"
+    )
     got = decontamination.matches(odd, items).collect()
     assert sorted((r.doc_id, r.item_id, r.equal) for r in got) == [(1, 1, 8), (2, 1, 8)]
     kept = decontamination.decontaminated(odd, items)
@@ -158,7 +175,10 @@ def test_toxicity(spark, odd):
 def test_restoration(spark):
     docs = spark.createDataFrame([(i, "the stupid idiot and the moron are losers with trash") for i in range(20)], "doc_id long, text string")
     r = toxicity.Restorer(toxicity.character_model(docs))
-    for said, want in (("1d10t", "idiot"), ("$tup!d", "stupid"), ("stuuupid", "stupid"), ("iidiot", "idiot"), ("m.o.r.o.n", "moron"), ("t r a s h", "trash"), ("a n d", "and"), ("STUPID", "stupid")):
+    for said, want in (
+        ("1d10t", "idiot"), ("$tup!d", "stupid"), ("stuuupid", "stupid"), ("iidiot", "idiot"), ("m.o.r.o.n", "moron"), ("t r a s h", "trash"),
+        ("a n d", "and"), ("STUPID", "stupid")
+    ):
         assert want in r(f"the {said} and"), said
 
 
@@ -169,7 +189,9 @@ def test_viterbi_equals_brute_force(spark):
     for token in ("5a1l", "l@5s", "a11", "s a 1 l", "i s a", "l.a.s.s", "****s", "ssaaiill", "12345"):
         paths = [(0.0, "")]
         for i, ch in enumerate(token):
-            ways = ([(ch, 0.0)] if ch in toxicity._AT else [(" ", 0.0)] if ch == " " else []) + [(x, toxicity.COST_ANY if ch == "*" else toxicity.COST_LEET) for x in toxicity.LEET.get(ch, "")]
+            ways = ([(ch, 0.0)] if ch in toxicity._AT else [(" ", 0.0)] if ch == " " else []) + [
+                (x, toxicity.COST_ANY if ch == "*" else toxicity.COST_LEET) for x in toxicity.LEET.get(ch, "")
+            ]
             if ch in toxicity.SEPARATORS:
                 ways.append(("", toxicity.COST_SEPARATOR))
             elif i and token[i - 1] == ch:
@@ -217,7 +239,11 @@ def test_token_files(spark, tmp_path):
     (tmp_path / "u" / "empty.bin").write_bytes(b"")
     for block in (1, 2, 3, 100):
         for size in (2, 4, 8, 1 << 20):
-            got = sorted((r.doc, r.first, r.n_tokens, r.sealed) for r in tokens.scan_tokens(spark, str(tmp_path / "u"), block_tokens=block, range_bytes=size).collect())
+            got = sorted(
+                (r.doc, r.first, r.n_tokens, r.sealed) for r in tokens.scan_tokens(
+                    spark, str(tmp_path / "u"), block_tokens=block, range_bytes=size
+                ).collect()
+            )
             assert got == [(0, 0, 2, True), (1, 3, 0, True), (2, 4, 3, False)], (block, size)
 
 
@@ -266,12 +292,18 @@ def test_lists_in_parts(spark, monkeypatch, rows):
 
 
 def test_warc(spark, tmp_path):
-    rows = [(1, "http://a/ b\n", "x" * 100_000, 0), (2, None, "x" * 100_000, 0), (3, "u", None, 0), (4, "u", "", 0), (None, "u", "é", 0), (5, "u", "é", 0), (6, "u", "WARC/1.1\r\n\r\n\r\n0\r\n\r\n", 0), (7, "u", "q", 0), (7, "u", "q", 0)]
+    rows = [
+        (1, "http://a/ b\n", "x" * 100_000, 0), (2, None, "x" * 100_000, 0), (3, "u", None, 0), (4, "u", "", 0), (None, "u", "é", 0),
+        (5, "u", "é", 0), (6, "u", "WARC/1.1\r\n\r\n\r\n0\r\n\r\n", 0), (7, "u", "q", 0), (7, "u", "q", 0)
+    ]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, sha long")
     warc.write_archives(df, str(tmp_path / "w"), segment_bytes=700, chunk_bytes=64, pack_bytes=500, rows_per_file=5)
     records = warc.read_records(spark, str(tmp_path / "w"))
     got = sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in warc.catalogue(records).collect())
-    assert got == [(0, 2, "revisit", 5), (1, 100_000, "response", None), (2, 100_000, "revisit", 1), (3, 0, "response", None), (4, 0, "revisit", 3), (5, 2, "response", None), (6, 19, "response", None), (7, 1, "response", None), (7, 1, "response", None)]
+    assert got == [
+        (0, 2, "revisit", 5), (1, 100_000, "response", None), (2, 100_000, "revisit", 1), (3, 0, "response", None), (4, 0, "revisit", 3),
+        (5, 2, "response", None), (6, 19, "response", None), (7, 1, "response", None), (7, 1, "response", None)
+    ]
     assert {bytes(r.payload) for r in warc.responses(records).collect()} == {b"x" * 100_000, b"", "é".encode(), b"WARC/1.1\r\n\r\n\r\n0\r\n\r\n", b"q"}
     with pytest.raises(Exception, match="segments are missing|bytes of"):
         warc.responses(records.where("segment is null or segment <> 2")).collect()
@@ -298,7 +330,9 @@ def test_warc_ranges(spark, tmp_path):
 
 
 def test_many_equal_payloads(spark, tmp_path):
-    df = spark.range(400).selectExpr("id as page_id", "'u' as url", "case when id % 3 > 0 then '' else 'x' end as html").union(spark.createDataFrame([(7, "u", "")] * 5, "page_id long, url string, html string"))
+    df = spark.range(400).selectExpr(
+        "id as page_id", "'u' as url", "case when id % 3 > 0 then '' else 'x' end as html"
+    ).union(spark.createDataFrame([(7, "u", "")] * 5, "page_id long, url string, html string"))
     warc.write_archives(df, str(tmp_path / "w"))
     records = warc.read_records(spark, str(tmp_path / "w"))
     got = warc.catalogue(records).collect()
@@ -363,7 +397,9 @@ def test_sharding(spark, odd, tmp_path):
 def test_many_equal_rows(spark, monkeypatch, more):
     """Equal rows are dealt to all buckets, none is lost, and reruns agree."""
     monkeypatch.setattr(sharding, "REPEATED", 50)
-    df = spark.createDataFrame([(1, "same")] * 3000 + [(2, "twice")] * 2 + [(i, f"t{i}") for i in range(10, 200)], "doc_id long, text string").selectExpr("*", *more)
+    df = spark.createDataFrame(
+        [(1, "same")] * 3000 + [(2, "twice")] * 2 + [(i, f"t{i}") for i in range(10, 200)], "doc_id long, text string"
+    ).selectExpr("*", *more)
     got = sharding.shards(df, 8, bucket_bytes=1000).collect()
     count = {k: sum(r.doc_id == k for r in got) for k in (1, 2, 10)}
     assert len(got) == 3192 and count == {1: 3000, 2: 2, 10: 1}

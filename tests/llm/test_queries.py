@@ -42,7 +42,9 @@ def plain_spans(text):
     for i, (kind, pattern) in enumerate(PATTERNS):
         for m in re.finditer(pattern, text or "", re.A):
             d = re.sub("[^0-9]", "", m.group())
-            if kind == "email" or kind == "ip" and all(int(x) <= 255 for x in m.group().split(".")) or kind == "card" and 14 <= len(d) <= 19 and luhn(d) or kind == "phone" and 10 <= len(d) <= 15:
+            if kind == "email" or kind == "ip" and all(
+                int(x) <= 255 for x in m.group().split(".")
+            ) or kind == "card" and 14 <= len(d) <= 19 and luhn(d) or kind == "phone" and 10 <= len(d) <= 15:
                 out.append((m.start(), i, m.end()))
     return ",".join(f"{PATTERNS[i][0]}:{a}:{b}" for a, i, b in sorted(out))
 
@@ -224,7 +226,9 @@ def near_components(texts, width, percent=80):
     return {k: (len(sets[k]), find(k)) for k in sets}
 
 
-@pytest.mark.parametrize(("sf", "width"), [("/root/testdata/sf0.001", 2), ("/root/testdata/sf0.001", 5), ("/root/testdata/sf0.01", 2), ("/root/testdata/sf0.01", 5)])
+@pytest.mark.parametrize(
+    ("sf", "width"), [("/root/testdata/sf0.001", 2), ("/root/testdata/sf0.001", 5), ("/root/testdata/sf0.01", 2), ("/root/testdata/sf0.01", 5)]
+)
 def test_near_duplicates(spark, sf, width):
     """The components of all pairs: no link is missed among 1,000 documents."""
     from screenwright.llm.neardup import near_duplicates
@@ -303,7 +307,9 @@ def test_stages_on_odd_rows(spark, tmp_path, empty):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(9, "one two three four five six seven eight nine")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    wide = docs.withColumn("m", F.create_map(F.lit("k"), F.col("doc_id"))).withColumn("shard", F.lit(1)).withColumn("size", F.lit(2)).withColumn("id", F.lit(3)).withColumn("key", F.lit(4)).withColumn("rep", F.lit(5))
+    wide = docs.withColumn(
+        "m", F.create_map(F.lit("k"), F.col("doc_id"))
+    ).withColumn("shard", F.lit(1)).withColumn("size", F.lit(2)).withColumn("id", F.lit(3)).withColumn("key", F.lit(4)).withColumn("rep", F.lit(5))
     for rows_ in (docs, wide):
         now = rows_
         for name, stage in P.STAGES:
