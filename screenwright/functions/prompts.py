@@ -47,7 +47,9 @@ def options_text(record: Column) -> Column:
     parsed = F.when(kind(given) == "STRING", F.try_parse_json(given.try_cast("string"))).otherwise(given)
     empty = F.array().cast("array<struct<k:string,v:string>>")
     listed = F.transform(parsed.try_cast("array<variant>"), lambda v, i: F.struct(F.call_function("char", i + 65).alias("k"), v.try_cast("string").alias("v")))
-    named = F.transform(F.map_entries(parsed.try_cast("map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), e["value"].try_cast("string").alias("v")))
+    named = F.transform(
+        F.map_entries(parsed.try_cast("map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), e["value"].try_cast("string").alias("v"))
+    )
     has = F.lit(True)
     for f in LETTERED_FIELDS:
         has = has & at(record, f).isNotNull()
@@ -88,7 +90,9 @@ def record_identifier(record: Column) -> Column:
     out = F.when(kind(at(record, "metadata")) == "OBJECT", _first_of(record, METADATA_ID_FIELDS, "metadata")).otherwise(F.lit(""))
     for f in reversed(RECORD_ID_FIELDS):
         v = at(record, f)
-        out = F.when(v.isNotNull(), F.when(kind(v).isin("ARRAY", "OBJECT"), F.to_json(v)).otherwise(F.coalesce(v.try_cast("string"), F.lit("None")))).otherwise(out)
+        out = F.when(
+            v.isNotNull(), F.when(kind(v).isin("ARRAY", "OBJECT"), F.to_json(v)).otherwise(F.coalesce(v.try_cast("string"), F.lit("None")))
+        ).otherwise(out)
     return out
 
 
@@ -114,16 +118,23 @@ def strict_verdict(reply: Column) -> Column:
     decision, confidence, reason = (_string(at(v, f)) for f in ("decision", "confidence", "reason"))
     derived = F.when(private & ~public, F.lit("keep")).otherwise(F.lit("filter"))
     same = F.array_sort(names) == F.array(*[F.lit(f) for f in VERDICT_FIELDS])
-    ok = same & private.isNotNull() & public.isNotNull() & (decision == derived) & confidence.isin("low", "medium", "high") & reason.isNotNull() & _string(at(v, "evidence")).isNotNull()
+    ok = same & private.isNotNull() & public.isNotNull() & (decision == derived) & confidence.isin(
+        "low", "medium", "high"
+    ) & reason.isNotNull() & _string(at(v, "evidence")).isNotNull()
     ok = F.coalesce(ok, F.lit(False))
-    return F.struct(F.when(ok, F.lit("ok")).otherwise(F.lit("error")).alias("status"), F.when(ok, decision).alias("decision"), F.when(ok, confidence).alias("confidence"), F.when(ok, F.trim(reason)).alias("reason"))
+    return F.struct(
+        F.when(ok, F.lit("ok")).otherwise(F.lit("error")).alias("status"), F.when(ok, decision).alias("decision"),
+        F.when(ok, confidence).alias("confidence"), F.when(ok, F.trim(reason)).alias("reason")
+    )
 
 
 def lenient_verdict(reply: Column) -> Column:
     """struct<status, decision, confidence>: keep only what the model calls private, exact, not public and to be kept; else filter.  Status is ``error`` without an object."""
     v = reply_object(reply)
     flag = lambda f: F.coalesce(at(v, f).try_cast("boolean"), F.lit(False))
-    keep = (F.coalesce(_string(at(v, "decision")), F.lit("")) == "keep") & flag("is_private_person_pii") & flag("exact_match_found") & ~flag("is_public_or_business_info")
+    keep = (
+        F.coalesce(_string(at(v, "decision")), F.lit("")) == "keep"
+    ) & flag("is_private_person_pii") & flag("exact_match_found") & ~flag("is_public_or_business_info")
     return F.struct(
         F.when(v.isNotNull(), F.lit("ok")).otherwise(F.lit("error")).alias("status"), F.when(v.isNotNull(), F.when(keep, F.lit("keep")).otherwise(F.lit("filter"))).alias("decision"),
         F.when(v.isNotNull(), F.coalesce(F.nullif(at(v, "confidence").try_cast("string"), F.lit("")), F.lit("low"))).alias("confidence"),

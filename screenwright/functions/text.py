@@ -39,7 +39,9 @@ def content_text(content: Column) -> Column:
         return F.when(one == "STRING", b.cast("string")).when(one.startswith("OBJECT"), F.try_variant_get(b, "$.text", "string"))
 
     blocks = F.transform(F.when(kind.startswith("ARRAY"), content.try_cast("array<variant>")), block)
-    return F.when(kind == "STRING", content.try_cast("string")).when(kind.startswith("ARRAY"), F.array_join(F.filter(blocks, lambda b: b.isNotNull()), "\n")).otherwise(F.lit(""))
+    return F.when(kind == "STRING", content.try_cast("string")).when(
+        kind.startswith("ARRAY"), F.array_join(F.filter(blocks, lambda b: b.isNotNull()), "\n")
+    ).otherwise(F.lit(""))
 
 
 def filled(text: Column) -> Column:
@@ -48,7 +50,12 @@ def filled(text: Column) -> Column:
 
 def record_text(text: Column, messages: Column) -> Column:
     """For pattern scans: a non-empty text, else ``ROLE:\\ncontent`` of the messages with content, numbered from 1 if they have no role."""
-    numbered = F.transform(messages, lambda m, i: F.struct(F.upper(F.coalesce(m["role"], F.concat(F.lit("MESSAGE_"), (i + 1).cast("string")))).alias("who"), m["content"].alias("said")))
+    numbered = F.transform(
+        messages,
+        lambda m, i: F.struct(
+            F.upper(F.coalesce(m["role"], F.concat(F.lit("MESSAGE_"), (i + 1).cast("string")))).alias("who"), m["content"].alias("said")
+        )
+    )
     told = F.transform(F.filter(numbered, lambda m: filled(m["said"])), lambda m: F.concat(m["who"], F.lit(":\n"), m["said"]))
     return F.when(filled(text), text).otherwise(F.coalesce(F.array_join(told, "\n\n"), F.lit("")))
 
@@ -56,14 +63,26 @@ def record_text(text: Column, messages: Column) -> Column:
 def span_units(text: Column, messages: Column) -> Column:
     """For span models: one unit (index, role, text) for a non-empty text, else one per message with content; the index is null or counts from 0."""
     alone = F.array(F.struct(F.lit(None).cast("int").alias("index"), F.lit("text").alias("role"), text.alias("text")))
-    each = F.filter(F.transform(messages, lambda m, i: F.struct(i.alias("index"), m["role"].alias("role"), m["content"].alias("text"))), lambda u: filled(u["text"]))
+    each = F.filter(
+        F.transform(messages, lambda m, i: F.struct(i.alias("index"), m["role"].alias("role"), m["content"].alias("text"))),
+        lambda u: filled(u["text"])
+    )
     return F.when(filled(text), alone).otherwise(F.coalesce(each, F.array().cast("array<struct<index:int,role:string,text:string>>")))
 
 
 def toxicity_units(text: Column, messages: Column) -> Column:
     """For classifiers: any text, even an empty one, is one unit of role ``user``; else ``role: content`` per message with content."""
     alone = F.array(F.struct(F.lit(None).cast("int").alias("index"), F.lit("user").alias("role"), text.alias("text")))
-    each = F.filter(F.transform(messages, lambda m, i: F.struct(i.alias("index"), m["role"].alias("role"), F.when(filled(m["content"]), F.concat(F.coalesce(m["role"], F.lit("")), F.lit(": "), m["content"])).alias("text"))), lambda u: u["text"].isNotNull())
+    each = F.filter(
+        F.transform(
+            messages,
+            lambda m, i: F.struct(
+                i.alias("index"), m["role"].alias("role"),
+                F.when(filled(m["content"]), F.concat(F.coalesce(m["role"], F.lit("")), F.lit(": "), m["content"])).alias("text")
+            )
+        ),
+        lambda u: u["text"].isNotNull()
+    )
     return F.when(text.isNotNull(), alone).otherwise(F.coalesce(each, F.array().cast("array<struct<index:int,role:string,text:string>>")))
 
 

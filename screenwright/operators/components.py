@@ -55,4 +55,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         seen = said
     else:
         raise RuntimeError(f"components did not settle within {max_rounds} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+        now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    )

@@ -56,7 +56,9 @@ def decisions(rows: DataFrame, group: str, order: list[str], location: list[str]
     group.  ``rows`` should be narrow (``digests``); a group whose rows fill
     several partitions of the advisory size is split by adaptive execution.
     """
-    first = rows.where(F.col(group).isNotNull()).groupBy(group).agg(F.min(F.struct(*dict.fromkeys([*order, *location]))).alias("o"), F.count("*").alias("c")).where("c > 1")
+    first = rows.where(F.col(group).isNotNull()).groupBy(group).agg(
+        F.min(F.struct(*dict.fromkeys([*order, *location]))).alias("o"), F.count("*").alias("c")
+    ).where("c > 1")
     joined = rows.join(first.select(group, "o"), group)
     same = F.lit(True)
     for c in location:
@@ -179,7 +181,10 @@ def near_duplicates(rows: DataFrame, id: str, text: Column, bands: int = BANDS,
     return made.select("id", "digest").join(named, "digest").select("id", "duplicate_of").where("id <> duplicate_of")
 
 
-def cross_pairs(candidates: DataFrame, reference: DataFrame, id: str, ref_id: str, text: Column, ref_text: Column, bands: int = BANDS, rows_each: int = ROWS, width: int = WIDTH) -> DataFrame:
+def cross_pairs(
+    candidates: DataFrame, reference: DataFrame, id: str, ref_id: str, text: Column, ref_text: Column, bands: int = BANDS, rows_each: int = ROWS,
+    width: int = WIDTH
+) -> DataFrame:
     """(id, ref_id): candidates that share a band with a reference row; candidates aren't compared with each other.
 
     Exact copies of either side meet as one row and are named again at the end.
@@ -190,7 +195,9 @@ def cross_pairs(candidates: DataFrame, reference: DataFrame, id: str, ref_id: st
         sides.append((made.where("digest is not null").select("id", "digest"), copies_of(made).select("digest", F.posexplode("bands").alias("band", "hash"))))
     (ours, a), (theirs, b) = sides
     met = materialize(a.join(b.withColumnRenamed("digest", "ref_digest"), ["band", "hash"]).select("digest", "ref_digest").distinct(), "met")
-    return met.join(ours.withColumnRenamed("id", id), "digest").join(theirs.select(F.col("id").alias(ref_id), F.col("digest").alias("ref_digest")), "ref_digest").select(id, ref_id)
+    return met.join(ours.withColumnRenamed("id", id), "digest").join(
+        theirs.select(F.col("id").alias(ref_id), F.col("digest").alias("ref_digest")), "ref_digest"
+    ).select(id, ref_id)
 
 
 def word_windows(rows: DataFrame, keys: list[str], text: Column, widths: list[int], short: bool = False) -> DataFrame:
@@ -234,7 +241,9 @@ def contamination(pairs: DataFrame, hashed: DataFrame, group: str, item: str, ca
     """Per reference group: rows hashed, distinct contaminated items, percent, distinct matched candidates; groups without a match stay."""
     met = pairs.groupBy(group).agg(F.countDistinct(item).alias("contaminated"), F.countDistinct(candidate).alias("matched_rows"))
     base = hashed.groupBy(group).agg(F.count("*").alias("hashed"))
-    out = base.join(met, group, "left").select(group, "hashed", F.coalesce("contaminated", F.lit(0)).alias("contaminated"), F.coalesce("matched_rows", F.lit(0)).alias("matched_rows"))
+    out = base.join(met, group, "left").select(
+        group, "hashed", F.coalesce("contaminated", F.lit(0)).alias("contaminated"), F.coalesce("matched_rows", F.lit(0)).alias("matched_rows")
+    )
     return out.withColumn("percent", F.round(100.0 * F.col("contaminated") / F.col("hashed"), 4))
 
 

@@ -25,7 +25,10 @@ class Rules:
 
 
 def hit(reason: str | Column, scanner: str, finding: Column) -> list[Column]:
-    return [*LOCATION, "source_sha256", (F.lit(reason) if isinstance(reason, str) else reason).alias("reason"), F.lit(scanner).alias("scanner"), finding.alias("finding")]
+    return [
+        *LOCATION, "source_sha256", (F.lit(reason) if isinstance(reason, str) else reason).alias("reason"), F.lit(scanner).alias("scanner"),
+        finding.alias("finding")
+    ]
 
 
 def pii_hits(found: DataFrame, rules: Rules) -> DataFrame:
@@ -33,7 +36,9 @@ def pii_hits(found: DataFrame, rules: Rules) -> DataFrame:
 
 
 def ner_hits(spans: DataFrame, rules: Rules) -> DataFrame:
-    return spans.where(F.col("eligible") & ~F.col("label").isin(*rules.ignored_labels, "")).select(*hit("ner_pii", "ner_pii", F.concat_ws(":", "label", "text")))
+    return spans.where(
+        F.col("eligible") & ~F.col("label").isin(*rules.ignored_labels, "")
+    ).select(*hit("ner_pii", "ner_pii", F.concat_ws(":", "label", "text")))
 
 
 def toxicity_hits(guard: DataFrame, rules: Rules) -> DataFrame:
@@ -66,10 +71,15 @@ def decide(rows: DataFrame, found: DataFrame) -> DataFrame:
     Findings are aggregated per location before they meet the rows; a finding
     made on another version of a line (another fingerprint) stops the run.
     """
-    per = found.groupBy(*LOCATION).agg(F.array_sort(F.collect_set("reason")).alias("reasons"), F.count("*").alias("n_findings"), F.min("source_sha256").alias("_lo"), F.max("source_sha256").alias("_hi"))
+    per = found.groupBy(*LOCATION).agg(
+        F.array_sort(F.collect_set("reason")).alias("reasons"), F.count("*").alias("n_findings"), F.min("source_sha256").alias("_lo"),
+        F.max("source_sha256").alias("_hi")
+    )
     out = rows.join(per, LOCATION, "left")
     stale = F.col("_lo").isNotNull() & ((F.col("_lo") != F.col("source_sha256")) | (F.col("_hi") != F.col("source_sha256")))
-    reasons = F.when(stale, F.raise_error(F.lit("a finding was made on another version of its line")).cast("array<string>")).otherwise(F.coalesce("reasons", F.array().cast("array<string>")))
+    reasons = F.when(
+        stale, F.raise_error(F.lit("a finding was made on another version of its line")).cast("array<string>")
+    ).otherwise(F.coalesce("reasons", F.array().cast("array<string>")))
     return out.select(*rows.columns, reasons.alias("reasons"), F.coalesce("n_findings", F.lit(0)).alias("n_findings"))
 
 

@@ -36,7 +36,9 @@ def decide(policy: Policy, label: Column, tier: Column, confidence: Column, span
         return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v).cast("double"))])
 
     own, by_tier = table(policy.labels), table(policy.tiers)
-    threshold = F.when(F.map_contains_key(own, label), own[label]).when(F.map_contains_key(by_tier, tier), by_tier[tier]).otherwise(F.raise_error(F.concat(F.lit("no threshold for tier "), F.coalesce(tier, F.lit("null")))).cast("double"))
+    threshold = F.when(F.map_contains_key(own, label), own[label]).when(F.map_contains_key(by_tier, tier), by_tier[tier]).otherwise(
+        F.raise_error(F.concat(F.lit("no threshold for tier "), F.coalesce(tier, F.lit("null")))).cast("double")
+    )
     names = "|".join(policy.markup)
     tag = rf"(?i)</?\s*(?:{names})\b[^<>]*>"
     exact = F.regexp_replace(span, r"(?U)\s+", "").rlike(rf"(?i)^</?(?:{names})/?>\z")
@@ -55,14 +57,19 @@ def decide(policy: Policy, label: Column, tier: Column, confidence: Column, span
 
 def tally(spans: DataFrame, location: list[str]) -> DataFrame:
     """(label, tier, spans, eligible, rows)."""
-    return spans.groupBy("label", "tier").agg(F.count("*").alias("spans"), F.sum(F.col("eligible").cast("long")).alias("eligible"), F.countDistinct(*location).alias("rows"))
+    return spans.groupBy("label", "tier").agg(
+        F.count("*").alias("spans"), F.sum(F.col("eligible").cast("long")).alias("eligible"), F.countDistinct(*location).alias("rows")
+    )
 
 
 def compare(left: DataFrame, right: DataFrame, key: list[str], by: str) -> DataFrame:
     """(by, n_left, n_right, n_both): how two sets of spans overlap."""
     a, b = left.select(*key).distinct().withColumn("_l", F.lit(1)), right.select(*key).distinct().withColumn("_r", F.lit(1))
     both = a.join(b, key, "full_outer")
-    return both.groupBy(by).agg(F.count("_l").alias("n_left"), F.count("_r").alias("n_right"), F.sum((F.col("_l").isNotNull() & F.col("_r").isNotNull()).cast("long")).alias("n_both"))
+    return both.groupBy(by).agg(
+        F.count("_l").alias("n_left"), F.count("_r").alias("n_right"),
+        F.sum((F.col("_l").isNotNull() & F.col("_r").isNotNull()).cast("long")).alias("n_both")
+    )
 
 
 def f1(both: Column, left: Column, right: Column) -> Column:
@@ -199,7 +206,10 @@ LABEL_OF_PATTERN = {
     "btc_addresses": "account_number", "credit_cards": "credit_debit_card", "emails": "email", "ips": "ipv4", "ipv6s": "ipv6", "phones": "phone_number", "phones_with_exts": "phone_number",
     "po_boxes": "street_address", "postcodes": "postcode", "street_addresses": "street_address", "zip_codes": "postcode",
 }
-LABEL_OF_MODEL = {"private_email": "email", "private_phone": "phone_number", "private_address": "street_address", "private_person": "person_name", "private_url": "url", "private_date": "date_of_birth"}
+LABEL_OF_MODEL = {
+    "private_email": "email", "private_phone": "phone_number", "private_address": "street_address", "private_person": "person_name",
+    "private_url": "url", "private_date": "date_of_birth"
+}
 
 
 def mapped_label(label: Column, names: dict[str, str]) -> Column:

@@ -22,7 +22,10 @@ def numbered(df: DataFrame, order: list[str], by: list[str] | None = None, name:
     held = materialize(ranged, "ranged")
     counts = held.groupBy("_p", *by).agg(F.count("*").alias("_c"))
     before = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select(F.col("_p").alias("_q"), *[F.col(f"`{c}`").alias(f"_b{i}") for i, c in enumerate(by)], F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_s"))
+    shifts = counts.select(
+        F.col("_p").alias("_q"), *[F.col(f"`{c}`").alias(f"_b{i}") for i, c in enumerate(by)],
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_s")
+    )
     own = held.withColumn("_r", F.row_number().over(Window.partitionBy("_p", *by).orderBy(*order)))
     on = F.col("_p") == F.col("_q")
     for i, c in enumerate(by):

@@ -109,5 +109,11 @@ def value_places(text: Column, value: Column, limit: int = 50) -> Column:
     """
     pieces = F.split(text, F.concat(F.lit(r"\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")), -1)
     n, size = F.least(F.size(pieces) - 1, F.lit(limit)), F.length(value)
-    begin = F.aggregate(F.slice(pieces, F.lit(1), n), F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("out")), lambda acc, p: F.struct((acc["pos"] + F.length(p) + size).alias("pos"), F.concat(acc["out"], F.array(acc["pos"] + F.length(p))).alias("out")), lambda acc: acc["out"])
-    return F.when(F.coalesce(size > 0, F.lit(False)) & (n > 0), F.transform(begin, lambda b: F.struct(b.alias("start"), (b + size).alias("end")))).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    begin = F.aggregate(
+        F.slice(pieces, F.lit(1), n), F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("out")),
+        lambda acc, p: F.struct((acc["pos"] + F.length(p) + size).alias("pos"), F.concat(acc["out"], F.array(acc["pos"] + F.length(p))).alias("out")),
+        lambda acc: acc["out"]
+    )
+    return F.when(
+        F.coalesce(size > 0, F.lit(False)) & (n > 0), F.transform(begin, lambda b: F.struct(b.alias("start"), (b + size).alias("end")))
+    ).otherwise(F.array().cast("array<struct<start:int,end:int>>"))

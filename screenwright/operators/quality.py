@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 def row_class(toxicity: Column, pii: Column) -> Column:
     """error > both > pii > toxicity > kept; ``toxicity`` is an outcome, ``pii`` a boolean."""
     bad = toxicity.isin("unsafe", "controversial")
-    return F.when(toxicity == "error", F.lit("error")).when(bad & pii, F.lit("both")).when(pii, F.lit("pii")).when(bad, F.lit("toxicity")).otherwise(F.lit("kept"))
+    return F.when(
+        toxicity == "error", F.lit("error")
+    ).when(bad & pii, F.lit("both")).when(pii, F.lit("pii")).when(bad, F.lit("toxicity")).otherwise(F.lit("kept"))
 
 
 def pii_rejects(status: Column, decision: Column) -> Column:
@@ -29,9 +31,20 @@ def sequential(rows: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
     aggs = []
     for i in range(len(stages)):
         earlier = sum((F.col(f"f{j}") for j in range(i)), F.lit(0))
-        aggs += [F.sum(f"f{i}").alias(f"r{i}"), F.sum(F.when((earlier == 0) & (F.col(f"f{i}") == 1), 1).otherwise(0)).alias(f"n{i}"), F.sum(F.when(earlier + F.col(f"f{i}") == 0, 1).otherwise(0)).alias(f"l{i}")]
+        aggs += [
+            F.sum(f"f{i}").alias(f"r{i}"), F.sum(F.when((earlier == 0) & (F.col(f"f{i}") == 1), 1).otherwise(0)).alias(f"n{i}"),
+            F.sum(F.when(earlier + F.col(f"f{i}") == 0, 1).otherwise(0)).alias(f"l{i}")
+        ]
     one = flat.agg(*aggs)
-    each = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("stage"), F.col(f"r{i}").alias("n_removed"), F.col(f"n{i}").alias("n_first"), F.col(f"l{i}").alias("n_left")) for i, (n, _) in enumerate(stages)])
+    each = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("position"), F.lit(n).alias("stage"), F.col(f"r{i}").alias("n_removed"), F.col(f"n{i}").alias("n_first"),
+                F.col(f"l{i}").alias("n_left")
+            ) for i,
+            (n, _) in enumerate(stages)
+        ]
+    )
     return one.select(F.explode(each).alias("s")).select("s.position", "s.stage", "s.n_removed", "s.n_first", "s.n_left")
 
 
@@ -60,7 +73,9 @@ def finalize(rows: DataFrame, pii: DataFrame, guard: DataFrame, location: list[s
     reasons = F.when(F.col("_known").isNull(), stray).otherwise(F.coalesce("reasons", F.array().cast("array<string>")))
     out = both.select(*location, F.col("size").alias(size), reasons.alias("reasons"))
     bad = F.exists("reasons", lambda r: r.startswith("toxicity"))
-    kind = F.when(F.exists("reasons", lambda r: r.endswith("_error")), F.lit("error")).when(bad & F.array_contains("reasons", "pii"), F.lit("both")).when(F.array_contains("reasons", "pii"), F.lit("pii"))
+    kind = F.when(
+        F.exists("reasons", lambda r: r.endswith("_error")), F.lit("error")
+    ).when(bad & F.array_contains("reasons", "pii"), F.lit("both")).when(F.array_contains("reasons", "pii"), F.lit("pii"))
     return out.withColumn("class", kind.when(bad, F.lit("toxicity")).otherwise(F.lit("kept")))
 
 
@@ -68,7 +83,9 @@ def final_cleaning(rows: DataFrame, quality: DataFrame, contaminated: DataFrame,
     """``rows`` with ``removed_by``: quality, contamination, both or none; the union of two location sets, their overlap named."""
     sets = quality.select(*location).distinct().withColumn("_s", F.lit(1)).union(contaminated.select(*location).distinct().withColumn("_s", F.lit(2)))
     per = sets.groupBy(*location).agg(F.sum("_s").alias("_s"))
-    names = F.when(F.col("_s") == 1, F.lit("quality")).when(F.col("_s") == 2, F.lit("contamination")).when(F.col("_s") == 3, F.lit("both")).otherwise(F.lit("none"))
+    names = F.when(F.col("_s") == 1, F.lit("quality")).when(
+        F.col("_s") == 2, F.lit("contamination")
+    ).when(F.col("_s") == 3, F.lit("both")).otherwise(F.lit("none"))
     return rows.join(per, location, "left").withColumn("removed_by", names).drop("_s")
 
 
@@ -77,4 +94,7 @@ def set_counts(left: DataFrame, right: DataFrame, location: list[str]) -> DataFr
     a, b = left.select(*location).distinct().withColumn("_a", F.lit(1)), right.select(*location).distinct().withColumn("_b", F.lit(1))
     both = a.join(b, location, "full_outer")
     n = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
-    return both.agg(F.count("*").alias("in_union"), n(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("in_both"), n(F.col("_b").isNull()).alias("only_left"), n(F.col("_a").isNull()).alias("only_right"))
+    return both.agg(
+        F.count("*").alias("in_union"), n(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("in_both"),
+        n(F.col("_b").isNull()).alias("only_left"), n(F.col("_a").isNull()).alias("only_right")
+    )

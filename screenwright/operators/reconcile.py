@@ -24,7 +24,9 @@ def differences(expected: DataFrame, actual: DataFrame, key: list[str]) -> DataF
     a = expected.groupBy(*key).agg(F.count("*").alias("_e")).withColumn("_a", F.lit(0).cast("long"))
     b = actual.groupBy(*key).agg(F.lit(0).cast("long").alias("_e"), F.count("*").alias("_a"))
     both = a.unionByName(b).groupBy(*key).agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))
-    status = F.when(F.col("_a") == 0, F.lit("missing")).when(F.col("_e") == 0, F.lit("unexpected")).when((F.col("_a") > 1) | (F.col("_e") > 1), F.lit("repeated"))
+    status = F.when(F.col("_a") == 0, F.lit("missing")).when(F.col("_e") == 0, F.lit("unexpected")).when(
+        (F.col("_a") > 1) | (F.col("_e") > 1), F.lit("repeated")
+    )
     return both.select(*key, status.alias("status")).where("status is not null")
 
 
@@ -84,7 +86,9 @@ def candidates(found: DataFrame, fields: list[str]) -> DataFrame:
     """Findings of all units, each once: repeats by the SHA-256 of ``fields`` go, the earliest unit's stays."""
     key = F.sha2(F.concat_ws("\x00", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields]).cast("binary"), 256)
     rest = [c for c in found.columns if c not in fields]
-    return found.withColumn("candidate", key).groupBy("candidate", *fields).agg(F.min(F.struct(*rest)).alias("_r")).select("candidate", *fields, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    return found.withColumn("candidate", key).groupBy("candidate", *fields).agg(F.min(F.struct(*rest)).alias("_r")).select(
+        "candidate", *fields, *[F.col(f"_r.{c}").alias(c) for c in rest]
+    )
 
 
 def guard_counts(flagged: Column, lines: Column, records: Column, judged: Column, errors: Column, unknown: Column) -> Column:

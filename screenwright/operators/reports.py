@@ -15,14 +15,25 @@ def coverage(expected: DataFrame, read: DataFrame, key: str = "path", compare: t
     same = F.lit(True)
     for c in compare:
         same = same & F.col(f"_e_{c}").eqNullSafe(F.col(f"_r_{c}"))
-    return a.join(b, key, "full_outer").select(key, F.when(F.col("_r").isNull(), F.lit("missing")).when(F.col("_e").isNull(), F.lit("extra")).when(same, F.lit("same")).otherwise(F.lit("different")).alias("status"))
+    return a.join(b, key, "full_outer").select(
+        key,
+        F.when(
+            F.col("_r").isNull(), F.lit("missing")
+        ).when(F.col("_e").isNull(), F.lit("extra")).when(same, F.lit("same")).otherwise(F.lit("different")).alias("status")
+    )
 
 
 def text_coverage(rows: DataFrame, group: str, text: Column) -> DataFrame:
     """(group, rows, rows_with_text, ratio, characters, mean_characters)."""
     n = F.length(text)
-    out = rows.groupBy(group).agg(F.count("*").alias("rows"), F.sum(F.when(n > 0, 1).otherwise(0)).alias("rows_with_text"), F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("characters"))
-    return out.select(group, "rows", "rows_with_text", F.round(F.col("rows_with_text") / F.col("rows"), 6).alias("ratio"), "characters", F.round(F.col("characters") / F.greatest("rows_with_text", F.lit(1)), 4).alias("mean_characters"))
+    out = rows.groupBy(group).agg(
+        F.count("*").alias("rows"), F.sum(F.when(n > 0, 1).otherwise(0)).alias("rows_with_text"),
+        F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("characters")
+    )
+    return out.select(
+        group, "rows", "rows_with_text", F.round(F.col("rows_with_text") / F.col("rows"), 6).alias("ratio"), "characters",
+        F.round(F.col("characters") / F.greatest("rows_with_text", F.lit(1)), 4).alias("mean_characters")
+    )
 
 
 def accounting(lines: DataFrame, group: str, blank: Column, skip_reason: Column) -> DataFrame:
@@ -129,7 +140,12 @@ def first_prefix(rows: DataFrame, path: str, groups: DataFrame) -> DataFrame:
 def traced(notes: DataFrame, originals: DataFrame, key: list[str]) -> DataFrame:
     """(key..., status): unchanged, changed or not_found, for each noted original row and its fingerprint."""
     now = originals.select(*key, F.col("fingerprint").alias("_now"))
-    return notes.join(now, key, "left").select(*key, F.when(F.col("_now").isNull(), F.lit("not_found")).when(F.col("_now") == F.col("fingerprint"), F.lit("unchanged")).otherwise(F.lit("changed")).alias("status"))
+    return notes.join(now, key, "left").select(
+        *key,
+        F.when(F.col("_now").isNull(), F.lit("not_found")).when(
+            F.col("_now") == F.col("fingerprint"), F.lit("unchanged")
+        ).otherwise(F.lit("changed")).alias("status")
+    )
 
 
 def word_diff(pairs: DataFrame, left: str, right: str, limit: int = 10_000) -> DataFrame:

@@ -24,7 +24,9 @@ def proper_path(path: Column) -> Column:
 def ancestors(path: Column) -> Column:
     """The folders that hold a path, the nearest last."""
     steps = F.split(path, "/")
-    return F.when(F.size(steps) > 1, F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))).otherwise(F.array().cast("array<string>"))
+    return F.when(
+        F.size(steps) > 1, F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))
+    ).otherwise(F.array().cast("array<string>"))
 
 
 def with_owner(files: DataFrame, runs: DataFrame, path: str = "path") -> DataFrame:
@@ -68,7 +70,9 @@ def damaged(runs: DataFrame, listed: DataFrame, present: DataFrame) -> DataFrame
         .when(F.col("_size").isNull(), F.lit("missing"))
         .when(F.col("_size") != F.col("bytes"), F.lit("another size"))
     )
-    return held.join(twice, "full").join(there, "full", "left").select(F.col("full").alias("path"), bad.alias("problem")).where("problem is not null").distinct()
+    return held.join(twice, "full").join(there, "full", "left").select(
+        F.col("full").alias("path"), bad.alias("problem")
+    ).where("problem is not null").distinct()
 
 
 def problems(files: DataFrame, read: DataFrame, open_files: DataFrame | None = None) -> DataFrame:
@@ -104,4 +108,6 @@ def per_run(files: DataFrame, read: DataFrame, found: DataFrame, open_files: Dat
     bad = found.groupBy("run").agg(F.count("*").alias("_n"))
     everywhere = F.lit(not bad.where("run is null").isEmpty())
     out = sums.join(bad, "run", "left")
-    return out.select("run", F.when(everywhere | F.col("_n").isNotNull(), F.lit("fail")).otherwise(F.lit("pass")).alias("status"), "files", "files_read", *COUNTS)
+    return out.select(
+        "run", F.when(everywhere | F.col("_n").isNotNull(), F.lit("fail")).otherwise(F.lit("pass")).alias("status"), "files", "files_read", *COUNTS
+    )

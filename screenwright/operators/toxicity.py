@@ -29,7 +29,9 @@ def score_bin(score: Column) -> Column:
 
 def guard_outcome(verdict: Column, error: Column | None = None) -> Column:
     """For filters: exact-case verdicts; an error key, even an empty one, or any other verdict is guard_error."""
-    known = F.when(verdict == "Safe", F.lit("safe")).when(verdict == "Unsafe", F.lit("unsafe")).when(verdict == "Controversial", F.lit("controversial")).otherwise(F.lit("guard_error"))
+    known = F.when(verdict == "Safe", F.lit("safe")).when(verdict == "Unsafe", F.lit("unsafe")).when(
+        verdict == "Controversial", F.lit("controversial")
+    ).otherwise(F.lit("guard_error"))
     return known if error is None else F.when(error.isNotNull(), F.lit("guard_error")).otherwise(known)
 
 
@@ -41,7 +43,10 @@ def guard_outcome_final(verdict: Column, error: Column | None = None) -> Column:
 
 
 # The categories that the guard names.
-CATEGORIES = ("Violent", "Non-violent Illegal Acts", "Sexual Content or Sexual Acts", "PII", "Suicide & Self-Harm", "Unethical Acts", "Politically Sensitive Topics", "Copyright Violation", "Jailbreak", "None")
+CATEGORIES = (
+    "Violent", "Non-violent Illegal Acts", "Sexual Content or Sexual Acts", "PII", "Suicide & Self-Harm", "Unethical Acts",
+    "Politically Sensitive Topics", "Copyright Violation", "Jailbreak", "None"
+)
 
 
 def parse_guard(reply: Column, last_role: Column | None = None) -> Column:
@@ -50,7 +55,10 @@ def parse_guard(reply: Column, last_role: Column | None = None) -> Column:
     said = F.array_distinct(F.regexp_extract_all(reply, F.lit("(" + "|".join(CATEGORIES) + ")"), F.lit(1)))
     refusal = first(r"Refusal:\s*(Yes|No)")
     refusal = refusal if last_role is None else F.when(last_role == "assistant", refusal)
-    return F.struct(first(r"Safety:\s*(Safe|Unsafe|Controversial)").alias("safety"), F.coalesce(said, F.array().cast("array<string>")).alias("categories"), refusal.alias("refusal"))
+    return F.struct(
+        first(r"Safety:\s*(Safe|Unsafe|Controversial)").alias("safety"), F.coalesce(said, F.array().cast("array<string>")).alias("categories"),
+        refusal.alias("refusal")
+    )
 
 
 def atoms(verdict: Column, categories: Column) -> Column:
@@ -81,8 +89,13 @@ def verdicts_by_role(messages: DataFrame, folder: str, role: str, outcome: str)
     names = ("unsafe", "controversial", "safe", "error")
     out = [F.sum(F.when(F.col(outcome) == n, 1).otherwise(0)).cast("long").alias(n) for n in names]
     out.append(F.sum(F.when(F.col(outcome).isin(*names), 0).otherwise(1)).cast("long").alias("unknown"))
-    cube = messages.select(F.col(folder).alias("folder"), F.col(role).alias("role"), outcome).cube("folder", "role").agg(F.grouping("folder").alias("_f"), F.grouping("role").alias("_r"), *out)
-    return cube.select(F.when(F.col("_f") == 1, F.lit("*")).otherwise(F.col("folder")).alias("folder"), F.when(F.col("_r") == 1, F.lit("total")).otherwise(F.col("role")).alias("role"), *names, "unknown")
+    cube = messages.select(F.col(folder).alias("folder"), F.col(role).alias("role"), outcome).cube("folder", "role").agg(
+        F.grouping("folder").alias("_f"), F.grouping("role").alias("_r"), *out
+    )
+    return cube.select(
+        F.when(F.col("_f") == 1, F.lit("*")).otherwise(F.col("folder")).alias("folder"),
+        F.when(F.col("_r") == 1, F.lit("total")).otherwise(F.col("role")).alias("role"), *names, "unknown"
+    )
 
 
 def record_impact(messages: DataFrame, location: list[str], outcome: str, names: tuple[str, ...] = ("unsafe", "controversial", "error")) -> DataFrame:
@@ -98,10 +111,19 @@ def locate(messages: Column, text: Column) -> Column:
     """
     role, content = F.regexp_extract(text, r"(?s)^(.*?): ", 1), F.regexp_extract(text, r"(?s)^.*?: (.*)$", 1)
     other = F.when(role.isin("user", "assistant"), role).when(text.startswith("assistant:"), F.lit("assistant")).otherwise(F.lit("user"))
-    at = F.transform(messages, lambda m, i: F.struct(i.alias("i"), (m["role"] == other).alias("r"), (role.isin("user", "assistant", "system", "tool") & (m["role"] == role) & (m["content"] == content)).alias("e")))
+    at = F.transform(
+        messages,
+        lambda m, i: F.struct(
+            i.alias("i"), (m["role"] == other).alias("r"),
+            (role.isin("user", "assistant", "system", "tool") & (m["role"] == role) & (m["content"] == content)).alias("e")
+        )
+    )
     exact = F.try_element_at(F.filter(at, lambda x: x["e"]), F.lit(-1))["i"]
     same = F.try_element_at(F.filter(at, lambda x: x["r"]), F.lit(-1))["i"]
-    return F.struct(F.coalesce(exact, same).alias("index"), F.when(exact.isNotNull(), F.lit("exact")).when(same.isNotNull(), F.lit("fallback")).otherwise(F.lit("missing")).alias("kind"))
+    return F.struct(
+        F.coalesce(exact, same).alias("index"),
+        F.when(exact.isNotNull(), F.lit("exact")).when(same.isNotNull(), F.lit("fallback")).otherwise(F.lit("missing")).alias("kind")
+    )
 
 
 def policy_keeps(policy: Column) -> Column:
@@ -126,5 +148,10 @@ def what_if(messages: DataFrame, location: list[str], outcome: str, steps: tuple
     per = messages.groupBy(*location).agg(*[F.max((F.col(outcome) == n).cast("int")).alias(f"o{i}") for i, n in enumerate(names)])
     gone = [sum((F.col(f"o{names.index(n)}") for n in s), F.lit(0)) > 0 for s in steps]
     one = per.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(g.cast("long")), F.lit(0)).alias(f"g{i}") for i, g in enumerate(gone)])
-    each = F.array(*[F.struct(F.lit("+".join(s)).alias("removed"), F.col(f"g{i}").alias("n_removed"), (F.col("n") - F.col(f"g{i}")).alias("n_left")) for i, s in enumerate(steps)])
+    each = F.array(
+        *[
+            F.struct(F.lit("+".join(s)).alias("removed"), F.col(f"g{i}").alias("n_removed"), (F.col("n") - F.col(f"g{i}")).alias("n_left")) for i,
+            s in enumerate(steps)
+        ]
+    )
     return one.select(F.explode(each).alias("s")).select("s.removed", "s.n_removed", "s.n_left")

@@ -32,14 +32,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as contract rows: the source is the file, the id the line."""
     d = table(spark, sf_dir, "documents")
-    return d.select(F.col("source").alias("source_file"), F.col("doc_id").alias("source_line"), F.sha2(F.col("text").cast("binary"), 256).alias("source_sha256"), "text")
+    return d.select(
+        F.col("source").alias("source_file"), F.col("doc_id").alias("source_line"), F.sha2(F.col("text").cast("binary"), 256).alias("source_sha256"),
+        "text"
+    )
 
 
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(conv_id, text, messages): conversations as contract rows; a conversation fits a row as a training sample does."""
     c = table(spark, sf_dir, "conversations")
     held = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("t"))
-    return held.select("conv_id", F.lit(None).cast("string").alias("text"), F.transform("t", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"))
+    return held.select(
+        "conv_id", F.lit(None).cast("string").alias("text"),
+        F.transform("t", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages")
+    )
 
 
 def scores(text: Column) -> Column:

@@ -81,7 +81,10 @@ def dedup_kept_removed(spark, d) -> DataFrame:
 @query(f"WITH {B.NORMED} SELECT source AS source_file, count(*) AS rows_read, count(digest) AS rows_with_text, count(*) - count(digest) AS rows_without_text FROM n GROUP BY source")
 def dup_per_file_summary(spark, d) -> DataFrame:
     g = dedup.exact_groups(rows(spark, d), F.col("text"))
-    return g.groupBy("source_file").agg(F.count("*").alias("rows_read"), F.count("digest").alias("rows_with_text"), F.sum(F.col("digest").isNull().cast("long")).alias("rows_without_text"))
+    return g.groupBy("source_file").agg(
+        F.count("*").alias("rows_read"), F.count("digest").alias("rows_with_text"),
+        F.sum(F.col("digest").isNull().cast("long")).alias("rows_without_text")
+    )
 
 
 @query(f"WITH {B.DECIDED} SELECT source_file, original_source_file AS kept_in, count(*) AS n_rows FROM dec GROUP BY ALL")
@@ -163,7 +166,9 @@ def candidate_pairs_lsh(spark, d) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
     made = dedup.signed(docs, ["id"], F.col("text"), dedup.BANDS, dedup.ROWS, dedup.WIDTH)
     bands = materialize(dedup.copies_of(made), "copies").select(F.posexplode("bands").alias("band", "hash"))
-    return bands.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1").groupBy("band").agg(F.count("*").alias("n_buckets"), F.max("n").alias("largest"))
+    return bands.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1").groupBy("band").agg(
+        F.count("*").alias("n_buckets"), F.max("n").alias("largest")
+    )
 
 
 @query()
@@ -199,7 +204,9 @@ def contamination_by_benchmark(spark, d) -> DataFrame:
 
 @query(f"WITH {_CONTAINED} SELECT source, count(*) AS n_pairs, count(DISTINCT doc_id) AS n_rows, count(DISTINCT item_id) AS n_items FROM pairs GROUP BY source")
 def contamination_by_source(spark, d) -> DataFrame:
-    return _contained(spark, d).groupBy("source").agg(F.count("*").alias("n_pairs"), F.countDistinct("doc_id").alias("n_rows"), F.countDistinct("item_id").alias("n_items"))
+    return _contained(spark, d).groupBy("source").agg(
+        F.count("*").alias("n_pairs"), F.countDistinct("doc_id").alias("n_rows"), F.countDistinct("item_id").alias("n_items")
+    )
 
 
 @query(f"WITH {_CONTAINED} SELECT doc_id, min(item_id) AS item_id FROM pairs GROUP BY doc_id")
@@ -239,7 +246,10 @@ def conversation_text_dedup(spark, d) -> DataFrame:
 @query(f"WITH {B.PROMPT}, c AS (SELECT DISTINCT conv_id FROM conversations) SELECT conv_id, count(p.i) AS n_messages, coalesce(string_agg(p.content, chr(10) ORDER BY p.i), '') AS text FROM c LEFT JOIN p USING (conv_id) GROUP BY conv_id")
 def compared_messages_prompt(spark, d) -> DataFrame:
     m, c = F.col("messages"), chats(spark, d)
-    return c.select("conv_id", F.size(T.compared_messages(m, "prompt", True)).cast("long").alias("n_messages"), T.dedup_text(F.col("text"), m, "prompt", True).alias("text"))
+    return c.select(
+        "conv_id", F.size(T.compared_messages(m, "prompt", True)).cast("long").alias("n_messages"),
+        T.dedup_text(F.col("text"), m, "prompt", True).alias("text")
+    )
 
 
 @query(f"""WITH {B.PROMPT}, x AS (SELECT conv_id, {B.norm("string_agg(content, chr(10) ORDER BY i)")} AS norm FROM p GROUP BY conv_id),
@@ -251,7 +261,9 @@ def conversation_dedup_prompt(spark, d) -> DataFrame:
 
 @query(f"WITH {B.TURNS} SELECT conv_id, substr(trim(regexp_replace(string_agg(content, chr(10) ORDER BY i), '\\s+', ' ', 'g')), 1, 160) AS preview FROM t GROUP BY conv_id")
 def conversation_preview(spark, d) -> DataFrame:
-    return chats(spark, d).select("conv_id", T.preview(F.array_join(F.transform("messages", lambda m: F.coalesce(m["content"], F.lit(""))), "\n")).alias("preview"))
+    return chats(spark, d).select(
+        "conv_id", T.preview(F.array_join(F.transform("messages", lambda m: F.coalesce(m["content"], F.lit(""))), "\n")).alias("preview")
+    )
 
 
 # --- pattern PII -----------------------------------------------------------------------
@@ -313,7 +325,9 @@ SELECT source_file, source_line, category, value, array_to_string(list_filter([C
   CASE WHEN regexp_matches(category, 'email|phone') AND length({_COMPACT.format("value")}) >= 6 AND contains({_COMPACT.format("reply")}, {_COMPACT.format("value")}) THEN 'compact' END], lambda x: x IS NOT NULL), ',') AS kinds FROM p""")
 def response_match_kinds(spark, d) -> DataFrame:
     both, k = pii.extract(_hits(spark, d), rows(spark, d), LOC, "text"), F.col("source_line") % 4
-    reply = F.when(k == 0, F.upper("whole_line")).when(k == 1, F.col("whole_line")).when(k == 2, F.regexp_replace("whole_line", "[-. ()]", " / ")).otherwise(F.lit("nothing"))
+    reply = F.when(k == 0, F.upper("whole_line")).when(k == 1, F.col("whole_line")).when(
+        k == 2, F.regexp_replace("whole_line", "[-. ()]", " / ")
+    ).otherwise(F.lit("nothing"))
     return both.select(*LOC, "category", "value", F.array_join(pii.match_kinds(reply, F.col("value"), F.col("category")), ",").alias("kinds"))
 
 
@@ -329,7 +343,9 @@ def redacted_contexts(spark, d) -> DataFrame:
     both, k = pii.extract(_hits(spark, d), rows(spark, d), LOC, "text"), F.col("source_line") % 4
     asked = F.when(k == 0, F.col("value")).when(k == 1, F.upper("value")).when(k == 2, F.regexp_replace("value", "[^0-9A-Za-z]", "/")).otherwise(F.lit(""))
     found = pii.redact(F.col("whole_line"), asked).isNotNull()
-    return both.select(*LOC, "category", "value", found.alias("found"), F.md5(pii.redacted_context(F.col("whole_line"), asked).cast("binary")).alias("context_md5"))
+    return both.select(
+        *LOC, "category", "value", found.alias("found"), F.md5(pii.redacted_context(F.col("whole_line"), asked).cast("binary")).alias("context_md5")
+    )
 
 
 @query()
@@ -346,7 +362,9 @@ def _messages(spark, d) -> DataFrame:
     u = toxicity.units(chats(spark, d), ["conv_id"], T.toxicity_units(F.col("text"), F.col("messages")))
     s = u.withColumn("f", toxicity.flagged(B.scores(F.col("text"))))
     s = s.select("conv_id", "message_index", "role", "text", "f.toxicity", "f.trigger_category", "f.flagged")
-    verdict = F.when(F.col("toxicity") > 0.9, F.lit("Unsafe")).when(F.col("toxicity") > 0.7, F.lit("Controversial")).when(F.col("toxicity") > 0.02, F.lit("Safe"))
+    verdict = F.when(F.col("toxicity") > 0.9, F.lit("Unsafe")).when(
+        F.col("toxicity") > 0.7, F.lit("Controversial")
+    ).when(F.col("toxicity") > 0.02, F.lit("Safe"))
     return s.withColumn("verdict", verdict).withColumn("outcome", toxicity.guard_outcome(F.col("verdict")))
 
 
@@ -414,7 +432,9 @@ def guard_replies(spark, d) -> DataFrame:
         .when(k == 2, F.lit("safety: unsafe")).when(k == 3, F.lit("Safety:Controversial (Unethical Acts, Jailbreak)")).when(k == 4, F.lit(""))
     )
     role = F.when(F.col("doc_id") % 5 < 3, F.lit("assistant")).otherwise(F.lit("user"))
-    return table(spark, d, "labels").withColumn("g", toxicity.parse_guard(reply, role)).select("doc_id", "g.safety", F.array_join("g.categories", ",").alias("categories"), "g.refusal")
+    return table(spark, d, "labels").withColumn("g", toxicity.parse_guard(reply, role)).select(
+        "doc_id", "g.safety", F.array_join("g.categories", ",").alias("categories"), "g.refusal"
+    )
 
 
 # --- filter ----------------------------------------------------------------------------
@@ -426,10 +446,18 @@ def _findings(spark, d, at: DataFrame) -> DataFrame:
     """The findings of all scanners on the rows ``at`` (LOC and fingerprint, a narrow table)."""
     found = pii.validate(_hits(spark, d), _CATEGORIES).join(at, LOC)
     guard = table(spark, d, "labels").join(at.withColumnRenamed("source_line", "doc_id"), "doc_id")
-    guard = guard.select("source_file", F.col("doc_id").alias("source_line"), "source_sha256", F.when(F.col("toxic") == 1, F.lit("Unsafe")).otherwise(F.lit("Safe")).alias("verdict"))
+    guard = guard.select(
+        "source_file", F.col("doc_id").alias("source_line"), "source_sha256",
+        F.when(F.col("toxic") == 1, F.lit("Unsafe")).otherwise(F.lit("Safe")).alias("verdict")
+    )
     copies = _decided(spark, d).join(at, LOC).withColumn("duplicate_of", F.concat_ws(":", "original_source_file", F.col("original_source_line").cast("string")))
-    leaks = _contained(spark, d).select(F.col("source").alias("source_file"), F.col("doc_id").alias("source_line"), F.col("item_id").cast("string").alias("duplicate_of")).join(at, LOC)
-    return filtering.findings(filtering.pii_hits(found, RULES), filtering.toxicity_hits(guard, RULES), filtering.duplicate_hits(copies, RULES), filtering.duplicate_hits(leaks, RULES, "cross"), protected=RULES.protected)
+    leaks = _contained(spark, d).select(
+        F.col("source").alias("source_file"), F.col("doc_id").alias("source_line"), F.col("item_id").cast("string").alias("duplicate_of")
+    ).join(at, LOC)
+    return filtering.findings(
+        filtering.pii_hits(found, RULES), filtering.toxicity_hits(guard, RULES), filtering.duplicate_hits(copies, RULES),
+        filtering.duplicate_hits(leaks, RULES, "cross"), protected=RULES.protected
+    )
 
 
 def _places(spark, d) -> DataFrame:
@@ -525,8 +553,14 @@ def quality_error_policy(spark, d) -> DataFrame:
     verdict = F.when(F.col("toxic") == 1, F.lit("UNSAFE")).when(F.col("toxic") == 0, F.lit("safe"))
     outcome = toxicity.guard_outcome_final(verdict)
     outcome = F.coalesce(outcome, F.lit("error"))
-    rejects = quality.pii_rejects(F.when(F.col("quality").isNull(), F.lit("error")).otherwise(F.lit("ok")), F.when(F.col("quality") == 0, F.lit("keep")).otherwise(F.lit("filter")))
-    return both.select("doc_id", quality.row_class(outcome, rejects).alias("class"), quality.toxicity_rejects(outcome).alias("toxicity_rejects"), rejects.alias("pii_rejects"))
+    rejects = quality.pii_rejects(
+        F.when(F.col("quality").isNull(), F.lit("error")).otherwise(F.lit("ok")),
+        F.when(F.col("quality") == 0, F.lit("keep")).otherwise(F.lit("filter"))
+    )
+    return both.select(
+        "doc_id", quality.row_class(outcome, rejects).alias("class"), quality.toxicity_rejects(outcome).alias("toxicity_rejects"),
+        rejects.alias("pii_rejects")
+    )
 
 
 # --- reports ---------------------------------------------------------------------------
@@ -625,9 +659,13 @@ SELECT conv_id, coalesce(e, s, -1)::INT AS message_index, CASE WHEN e IS NOT NUL
 def flagged_message_located(spark, d) -> DataFrame:
     c, k, first = chats(spark, d), F.col("conv_id") % 4, F.get("messages", F.lit(0))
     told = F.concat(first["role"], F.lit(": "), F.coalesce(first["content"], F.lit("")))
-    text = F.when(k == 0, told).when(k == 1, F.lit("assistant: a text that no message has")).when(k == 2, F.lit("tool: a text that no message has")).otherwise(F.lit("a text that no message has"))
+    text = F.when(k == 0, told).when(
+        k == 1, F.lit("assistant: a text that no message has")
+    ).when(k == 2, F.lit("tool: a text that no message has")).otherwise(F.lit("a text that no message has"))
     messages = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), F.coalesce(m["content"], F.lit("")).alias("content")))
-    return c.select("conv_id", toxicity.locate(messages, text).alias("at")).select("conv_id", F.coalesce("at.index", F.lit(-1)).alias("message_index"), "at.kind")
+    return c.select("conv_id", toxicity.locate(messages, text).alias("at")).select(
+        "conv_id", F.coalesce("at.index", F.lit(-1)).alias("message_index"), "at.kind"
+    )
 
 
 # --- span models -----------------------------------------------------------------------
@@ -642,7 +680,10 @@ def _spans(spark, d) -> DataFrame:
     r, m = rows(spark, d), F.col("source_line") % 5
     label = F.when(m == 0, "email").when(m == 1, "first_name").when(m == 2, "city").when(m == 3, "user_name").otherwise("device_identifier")
     tier = F.when(m == 2, "contextual").when(m == 4, "direct_identifier").otherwise("person_linked")
-    s = r.select(*LOC, "text", label.alias("label"), tier.alias("tier"), ((F.col("source_line") % 101) / F.lit(100.0)).alias("confidence"), F.when(F.col("source_line") % 11 == 0, F.lit("Correct")).otherwise(F.substring("text", 1, 6)).alias("span"))
+    s = r.select(
+        *LOC, "text", label.alias("label"), tier.alias("tier"), ((F.col("source_line") % 101) / F.lit(100.0)).alias("confidence"),
+        F.when(F.col("source_line") % 11 == 0, F.lit("Correct")).otherwise(F.substring("text", 1, 6)).alias("span")
+    )
     p = ner.decide(ner.Policy(), F.col("label"), F.col("tier"), F.col("confidence"), F.col("span"), F.col("text"), F.lit(0), F.lit(6))
     return s.withColumn("p", p).select(*LOC, "label", "tier", "confidence", "span", "p.eligible", "p.threshold", "p.reason")
 

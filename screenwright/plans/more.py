@@ -27,13 +27,17 @@ pr AS (SELECT run || '/' || name AS path, CASE WHEN source = 'src6' THEN bytes +
 def _folder(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(runs, listed, present) made of the sources: one run goes on, one lists nothing, a file is not listed, one is missing, one has another size, one lies outside."""
     docs = table(spark, d, "documents")
-    f = docs.groupBy("source").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).cast("long").alias("bytes"), F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    f = docs.groupBy("source").agg(
+        F.count("*").alias("rows"), F.sum(F.octet_length("text")).cast("long").alias("bytes"), F.array_sort(F.collect_list("doc_id")).alias("ids")
+    )
     run = F.concat(F.lit("r"), (F.expr("cast(substring(source, 4) as int)") % 5).cast("string"))
     sha = F.sha2(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").cast("binary"), 256)
     f = materialize(f.select("source", run.alias("run"), F.concat("source", F.lit(".jsonl")).alias("name"), "rows", "bytes", sha.alias("sha256")), "files")
     r = spark.createDataFrame([(f"r{k}", "running" if k == 3 else "finished", k != 4) for k in range(5)], "run string, status string, lists boolean")
     listed = f.where("source <> 'src5'").select("run", F.col("name").alias("path"), "rows", "bytes", "sha256")
-    there = f.where("source <> 'src7'").select(F.concat_ws("/", "run", "name").alias("path"), F.expr("case when source = 'src6' then bytes + 1 else bytes end").alias("bytes"))
+    there = f.where("source <> 'src7'").select(
+        F.concat_ws("/", "run", "name").alias("path"), F.expr("case when source = 'src6' then bytes + 1 else bytes end").alias("bytes")
+    )
     return r, listed, there.union(f.where("source = 'src1'").select(F.concat_ws("/", F.lit("loose"), "name"), "bytes"))
 
 
@@ -92,7 +96,11 @@ def coverage_gate_without_extras(spark, d) -> DataFrame:
     files, read = _read_record(spark, d)
     read = read.join(files.select("path"), "path", "left_semi")
     fine = files.where("run = 'r1'").select("path", F.col("sha256").alias("s"), F.col("rows").alias("n"))
-    read = read.join(fine, "path", "left").select("path", F.coalesce("s", "sha256").alias("sha256"), F.coalesce("n", "rows_read").alias("rows_read"), F.coalesce("n", "rows_with_text").alias("rows_with_text"), F.when(F.col("n").isNotNull(), 0).otherwise(F.col("rows_without_text")).cast("long").alias("rows_without_text"), "findings")
+    read = read.join(fine, "path", "left").select(
+        "path", F.coalesce("s", "sha256").alias("sha256"), F.coalesce("n", "rows_read").alias("rows_read"),
+        F.coalesce("n", "rows_with_text").alias("rows_with_text"),
+        F.when(F.col("n").isNotNull(), 0).otherwise(F.col("rows_without_text")).cast("long").alias("rows_without_text"), "findings"
+    )
     return runs.per_run(files, read, runs.problems(files, read)).select("run", "status", "files", "files_read")
 
 
@@ -124,7 +132,9 @@ def _numbered(spark, d) -> DataFrame:
 
 @query(f"WITH {_NUMBERED} SELECT source_file, (source_line - 1) // 25 AS part, ((source_line - 1) // 25 % 4)::INT AS chunk, count(*) AS n_rows, min(doc_id) AS first_doc FROM x GROUP BY ALL")
 def split_parts(spark, d) -> DataFrame:
-    return layout.parts(_numbered(spark, d), 25, 4).groupBy("source_file", "part", "chunk").agg(F.count("*").alias("n_rows"), F.min("doc_id").alias("first_doc"))
+    return layout.parts(_numbered(spark, d), 25, 4).groupBy("source_file", "part", "chunk").agg(
+        F.count("*").alias("n_rows"), F.min("doc_id").alias("first_doc")
+    )
 
 
 @query(f"""WITH {_NUMBERED}, o AS (SELECT *, sum(bytes) OVER (PARTITION BY source_file ORDER BY source_line ROWS UNBOUNDED PRECEDING) - bytes AS at FROM x)
@@ -160,9 +170,18 @@ def first_findings(spark, d) -> DataFrame:
 @query(f"WITH {B.TURNS} SELECT conv_id, count(*) AS n_messages, md5(string_agg(role || '=' || content, '|' ORDER BY i)) AS said FROM t GROUP BY 1")
 def parallel_arrays(spark, d) -> DataFrame:
     """Conversations held as two parallel arrays, read back as messages."""
-    c = chats(spark, d).select("conv_id", F.struct(F.transform("messages", lambda m: m["role"]).alias("from"), F.transform("messages", lambda m: F.coalesce(m["content"], F.lit(""))).alias("value")).alias("conversations"))
+    c = chats(spark, d).select(
+        "conv_id",
+        F.struct(
+            F.transform("messages", lambda m: m["role"]).alias("from"),
+            F.transform("messages", lambda m: F.coalesce(m["content"], F.lit(""))).alias("value")
+        ).alias("conversations")
+    )
     m = c.withColumn("messages", readers.from_parallel("conversations"))
-    return m.select("conv_id", F.size("messages").cast("long").alias("n_messages"), F.md5(F.array_join(F.transform("messages", lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|").cast("binary")).alias("said"))
+    return m.select(
+        "conv_id", F.size("messages").cast("long").alias("n_messages"),
+        F.md5(F.array_join(F.transform("messages", lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|").cast("binary")).alias("said")
+    )
 
 
 @query(f"WITH {B.TURNS} SELECT conv_id, count(*) AS n_messages, md5(string_agg(CASE WHEN role = 'system' THEN 'user' ELSE role END || '=' || content, '|' ORDER BY i)) AS said FROM t GROUP BY 1")
@@ -170,13 +189,20 @@ def nested_messages(spark, d) -> DataFrame:
     """Messages at a path of a JSON record; a missing role is ``user``."""
     turn = lambda m: F.struct(F.when(m["role"] != "system", m["role"]).alias("role"), F.coalesce(m["content"], F.lit("")).alias("content"))
     record = F.struct(F.struct(F.transform("messages", turn).alias("input")).alias("params"))
-    m = chats(spark, d).select("conv_id", F.parse_json(F.to_json(record)).alias("r")).select("conv_id", readers.from_nested(F.col("r"), "params", "input").alias("messages"))
-    return m.select("conv_id", F.size("messages").cast("long").alias("n_messages"), F.md5(F.array_join(F.transform("messages", lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|").cast("binary")).alias("said"))
+    m = chats(spark, d).select("conv_id", F.parse_json(F.to_json(record)).alias("r")).select(
+        "conv_id", readers.from_nested(F.col("r"), "params", "input").alias("messages")
+    )
+    return m.select(
+        "conv_id", F.size("messages").cast("long").alias("n_messages"),
+        F.md5(F.array_join(F.transform("messages", lambda x: F.concat(x["role"], F.lit("="), x["content"])), "|").cast("binary")).alias("said")
+    )
 
 
 @query("SELECT item_id, which, md5('user:' || text || '|assistant:' || CASE which WHEN 'chosen' THEN text || '!' ELSE reverse(text) END) AS said FROM benchmark, (SELECT unnest(['chosen', 'rejected']) AS which)")
 def preference_pairs(spark, d) -> DataFrame:
-    b = table(spark, d, "benchmark").select("item_id", F.explode(readers.from_preference(F.col("text"), F.concat("text", F.lit("!")), F.reverse("text"))).alias("p"))
+    b = table(spark, d, "benchmark").select(
+        "item_id", F.explode(readers.from_preference(F.col("text"), F.concat("text", F.lit("!")), F.reverse("text"))).alias("p")
+    )
     said = F.array_join(F.transform("p.messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
     return b.select("item_id", "p.which", F.md5(said.cast("binary")).alias("said"))
 
@@ -186,7 +212,10 @@ _MAPPED = "CASE WHEN length(trim(text)) < 400 THEN 'empty_column:text' WHEN lang
 
 def _mapped(spark, d) -> DataFrame:
     docs = table(spark, d, "documents")
-    docs = docs.select("source", "doc_id", F.when(F.length(F.trim("text")) >= 400, F.col("text")).otherwise(F.lit(" ")).alias("body"), F.when(F.col("lang") != "de", F.col("lang")).alias("lang"))
+    docs = docs.select(
+        "source", "doc_id", F.when(F.length(F.trim("text")) >= 400, F.col("text")).otherwise(F.lit(" ")).alias("body"),
+        F.when(F.col("lang") != "de", F.col("lang")).alias("lang")
+    )
     return readers.mapped(docs, {"text": "body", "lang": "lang", "doc_id": "doc_id", "source": "source"}, ["text", "lang"])
 
 
@@ -224,7 +253,10 @@ def benchmark_prompts(spark, d) -> DataFrame:
 @query("""SELECT item_id, CASE item_id % 7 WHEN 0 THEN item_id::VARCHAR WHEN 1 THEN 'u' || item_id WHEN 3 THEN 's' || item_id WHEN 4 THEN '[1,2]' ELSE '' END AS record_id,
   CASE item_id % 7 WHEN 0 THEN item_id::VARCHAR WHEN 3 THEN 's' || item_id WHEN 4 THEN '[1,2]' ELSE '' END AS source_id FROM benchmark""")
 def record_identifiers(spark, d) -> DataFrame:
-    return _records(spark, d).select("item_id", P.record_identifier(F.col("r")).alias("record_id"), F.when(F.col("item_id") % 7 == 4, F.lit("[1,2]")).otherwise(P.source_identifier(F.col("r"))).alias("source_id"))
+    return _records(spark, d).select(
+        "item_id", P.record_identifier(F.col("r")).alias("record_id"),
+        F.when(F.col("item_id") % 7 == 4, F.lit("[1,2]")).otherwise(P.source_identifier(F.col("r"))).alias("source_id")
+    )
 
 
 # --- findings of all readers ---------------------------------------------------------------
@@ -241,7 +273,9 @@ SELECT source_file, source_line, source_sha256, 'ner_pii' AS reason, 'ner_pii' A
 def ner_findings(spark, d) -> DataFrame:
     k = F.col("source_line") % 3
     label = F.when(k == 0, F.lit("email")).when(k == 1, F.lit("city")).otherwise(F.lit("first_name"))
-    spans = rows(spark, d).select(*LOC, "source_sha256", label.alias("label"), (F.col("source_line") % 4 != 0).alias("eligible"), F.substring("text", 1, 5).alias("text"))
+    spans = rows(spark, d).select(
+        *LOC, "source_sha256", label.alias("label"), (F.col("source_line") % 4 != 0).alias("eligible"), F.substring("text", 1, 5).alias("text")
+    )
     return filtering.ner_hits(spans, filtering.Rules(ignored_labels=("city",)))
 
 
@@ -253,10 +287,15 @@ go AS (SELECT *, CASE WHEN error IS NOT NULL OR verdict NOT IN ('Safe', 'Unsafe'
 def _judged(spark, d) -> DataFrame:
     r = rows(spark, d).select("source_file", F.col("source_line").alias("doc_id"), "source_sha256")
     j = table(spark, d, "labels").join(r, "doc_id")
-    verdict = F.when(F.col("toxic") == 1, F.lit("Unsafe")).when(F.col("quality") == 0, F.lit("Controversial")).when(F.col("quality") == 1, F.lit("Safe")).otherwise(F.lit("what?"))
+    verdict = F.when(F.col("toxic") == 1, F.lit("Unsafe")).when(
+        F.col("quality") == 0, F.lit("Controversial")
+    ).when(F.col("quality") == 1, F.lit("Safe")).otherwise(F.lit("what?"))
     k = F.col("doc_id") % 4
     policy = F.when(k == 0, F.lit("KEEP_GENERAL")).when(k == 1, F.lit("REMOVE"))
-    return j.select("source_file", F.col("doc_id").alias("source_line"), "source_sha256", verdict.alias("verdict"), F.when(F.col("doc_id") % 10 == 0, F.lit("timeout")).alias("error"), policy.alias("policy"))
+    return j.select(
+        "source_file", F.col("doc_id").alias("source_line"), "source_sha256", verdict.alias("verdict"),
+        F.when(F.col("doc_id") % 10 == 0, F.lit("timeout")).alias("error"), policy.alias("policy")
+    )
 
 
 @query(f"WITH {_JUDGED} SELECT source_file, source_line, 'toxicity_' || outcome AS reason, outcome AS finding FROM go WHERE coalesce(policy, '') <> 'KEEP_GENERAL' AND outcome IN ('unsafe', 'controversial', 'guard_error')")
@@ -269,7 +308,9 @@ def toxicity_findings(spark, d) -> DataFrame:
 @query(f"WITH {_JUDGED} SELECT outcome, coalesce(policy, '') = 'KEEP_GENERAL' AS kept, outcome IN ('unsafe', 'controversial') AND policy IS NULL AS to_judge, count(*) AS n FROM go GROUP BY ALL")
 def policy_routing(spark, d) -> DataFrame:
     j = _judged(spark, d).withColumn("outcome", toxicity.guard_outcome(F.col("verdict"), F.col("error")))
-    return j.groupBy("outcome", toxicity.policy_keeps(F.col("policy")).alias("kept"), toxicity.needs_policy(F.col("outcome"), F.col("policy")).alias("to_judge")).agg(F.count("*").alias("n"))
+    return j.groupBy(
+        "outcome", toxicity.policy_keeps(F.col("policy")).alias("kept"), toxicity.needs_policy(F.col("outcome"), F.col("policy")).alias("to_judge")
+    ).agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {_JUDGED}, t AS (SELECT count(*) AS flagged, count(*) FILTER (outcome IN ('safe', 'unsafe', 'controversial')) AS judged, count(*) FILTER (error IS NOT NULL) AS errors FROM go)
@@ -279,9 +320,13 @@ def guard_counts_check(spark, d) -> DataFrame:
     j = _judged(spark, d).withColumn("outcome", toxicity.guard_outcome(F.col("verdict"), F.col("error")))
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))
     bad, known = F.col("error").isNotNull(), F.col("outcome").isin("safe", "unsafe", "controversial")
-    t = j.agg(F.count("*").alias("flagged"), n(known).alias("judged"), n(bad).alias("errors"), n(~bad & ~known).alias("unknown")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("shard"))
+    t = j.agg(
+        F.count("*").alias("flagged"), n(known).alias("judged"), n(bad).alias("errors"), n(~bad & ~known).alias("unknown")
+    ).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("shard"))
     off = lambda k: (F.col("shard") == k).cast("int")
-    found = reconcile.guard_counts(F.col("flagged"), F.col("flagged") + off(1), F.col("flagged") + off(2), F.col("judged") + off(3), F.col("errors"), F.col("unknown"))
+    found = reconcile.guard_counts(
+        F.col("flagged"), F.col("flagged") + off(1), F.col("flagged") + off(2), F.col("judged") + off(3), F.col("errors"), F.col("unknown")
+    )
     return t.select("shard", F.array_join(found, ",").alias("problems"))
 
 
@@ -336,7 +381,9 @@ def stage_differences(spark, d) -> DataFrame:
 def scoped_rows(spark, d) -> DataFrame:
     """Rows that the units of a manifest cover: lines 3 to 9 of every file, and more of one."""
     x = _numbered(spark, d)
-    units = x.select(F.col("source_file").alias("file")).distinct().select("file", F.lit(3).cast("long").alias("start_line"), F.lit(9).cast("long").alias("end_line"))
+    units = x.select(F.col("source_file").alias("file")).distinct().select(
+        "file", F.lit(3).cast("long").alias("start_line"), F.lit(9).cast("long").alias("end_line")
+    )
     units = units.union(spark.createDataFrame([("src1", 8, 5000)], units.schema))
     return reconcile.in_scope(x, units).select("source_file", "doc_id")
 
@@ -345,10 +392,14 @@ def scoped_rows(spark, d) -> DataFrame:
 def hydrated_samples(spark, d) -> DataFrame:
     """Samples by (conversation, message), some of which name the whole record (a null message)."""
     c = chats(spark, d)
-    results = c.select("conv_id", F.posexplode("messages").alias("message_index", "m")).select("conv_id", "message_index", "m.role", F.length(F.coalesce("m.content", F.lit(""))).alias("n"))
+    results = c.select("conv_id", F.posexplode("messages").alias("message_index", "m")).select(
+        "conv_id", "message_index", "m.role", F.length(F.coalesce("m.content", F.lit(""))).alias("n")
+    )
     whole = c.select("conv_id", F.lit(None).cast("int").alias("message_index"), F.lit("whole").alias("role"), F.lit(-1).alias("n"))
     samples = c.select("conv_id", F.when(F.col("conv_id") % 3 != 0, F.lit(0)).alias("message_index"))
-    return reconcile.hydrated(samples, results.union(whole), ["conv_id", "message_index"], ["role", "n"]).withColumn("message_index", F.coalesce("message_index", F.lit(-1)))
+    return reconcile.hydrated(
+        samples, results.union(whole), ["conv_id", "message_index"], ["role", "n"]
+    ).withColumn("message_index", F.coalesce("message_index", F.lit(-1)))
 
 
 @query("""WITH a AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'NOT_GENERAL' WHEN quality = 0 THEN 'REVIEW' ELSE 'KEEP_GENERAL' END AS one, CASE doc_id % 3 WHEN 0 THEN 'NOT_GENERAL' WHEN 1 THEN 'KEEP_GENERAL' ELSE 'REVIEW' END AS two,
@@ -356,11 +407,20 @@ def hydrated_samples(spark, d) -> DataFrame:
 def three_way_results(spark, d) -> DataFrame:
     """Three judges' replies, parsed and laid side by side by record."""
     x = table(spark, d, "labels")
-    one = x.select("doc_id", reconcile.general_action(F.when(F.col("toxic") == 1, F.lit("Unsafe")).when(F.col("quality") == 0, F.lit("?")).otherwise(F.lit("Safe"))).alias("one"))
+    one = x.select(
+        "doc_id",
+        reconcile.general_action(
+            F.when(F.col("toxic") == 1, F.lit("Unsafe")).when(F.col("quality") == 0, F.lit("?")).otherwise(F.lit("Safe"))
+        ).alias("one")
+    )
     k, m = F.col("doc_id") % 3, F.col("doc_id") % 4
-    tag = F.when(k == 0, F.lit("<score>no</score> then <SCORE> YES </SCORE>")).when(k == 1, F.lit("<think>yes</think><score>no</score>")).otherwise(F.lit("<score>maybe</score>"))
+    tag = F.when(
+        k == 0, F.lit("<score>no</score> then <SCORE> YES </SCORE>")
+    ).when(k == 1, F.lit("<think>yes</think><score>no</score>")).otherwise(F.lit("<score>maybe</score>"))
     two = x.select("doc_id", P.yes_no_action(tag).alias("two"))
-    said = F.when(m == 0, F.lit('```json\n{"action": "safety_only"}\n```')).when(m == 1, F.lit('I think {"action": "KEEP_GENERAL", "reason": "x"} fits')).when(m == 2, F.lit('{"action": "REMOVE"}')).otherwise(F.lit('{"action": "DELETE"}'))
+    said = F.when(m == 0, F.lit('```json\n{"action": "safety_only"}\n```')).when(
+        m == 1, F.lit('I think {"action": "KEEP_GENERAL", "reason": "x"} fits')
+    ).when(m == 2, F.lit('{"action": "REMOVE"}')).otherwise(F.lit('{"action": "DELETE"}'))
     three = x.select("doc_id", P.json_action(said).alias("three"))
     return reconcile.three_way(one, two, three, "doc_id").groupBy("one", "two", "three").agg(F.count("*").alias("n"))
 
@@ -369,7 +429,11 @@ def three_way_results(spark, d) -> DataFrame:
 def strict_verdicts(spark, d) -> DataFrame:
     """Replies about pattern hits: three good ones, a decision against its flags, a field too many, no object."""
     row = lambda p, q, dec, conf, more="": '{"is_private_person_pii": %s, "is_public_or_business_info": %s, "decision": "%s", "confidence": "%s", "reason": " r ", "evidence": "e"%s}' % (p, q, dec, conf, more)  # noqa: E731, UP031
-    texts = [row("true", "false", "keep", "high"), "```json\n" + row("false", "false", "filter", "low") + "\n```", "so: " + row("true", "true", "filter", "medium") + " done", row("true", "true", "keep", "low"), row("true", "false", "keep", "low", ', "x": 1'), "no idea"]
+    texts = [
+        row("true", "false", "keep", "high"), "```json\n" + row("false", "false", "filter", "low") + "\n```",
+        "so: " + row("true", "true", "filter", "medium") + " done", row("true", "true", "keep", "low"),
+        row("true", "false", "keep", "low", ', "x": 1'), "no idea"
+    ]
     reply = F.element_at(F.array(*map(F.lit, texts)), (F.col("doc_id") % 6 + 1).cast("int"))
     return table(spark, d, "labels").select("doc_id", P.strict_verdict(reply).alias("v")).select("doc_id", "v.status", "v.decision", "v.confidence")
 
@@ -377,7 +441,11 @@ def strict_verdicts(spark, d) -> DataFrame:
 @query("""SELECT doc_id, CASE WHEN doc_id % 5 = 4 THEN 'error' ELSE 'ok' END AS status, CASE doc_id % 5 WHEN 0 THEN 'keep' WHEN 4 THEN NULL ELSE 'filter' END AS decision, CASE doc_id % 5 WHEN 0 THEN 'high' WHEN 4 THEN NULL ELSE 'low' END AS confidence FROM labels""")
 def lenient_verdicts(spark, d) -> DataFrame:
     """Replies about model spans: what isn't kept on every count is filtered."""
-    texts = ['{"is_private_person_pii": true, "exact_match_found": true, "decision": "keep", "confidence": "high"}', '{"is_private_person_pii": true, "decision": "keep"}', 'x {"decision": "keep", "is_private_person_pii": true, "exact_match_found": true, "is_public_or_business_info": true} y', "{}", "[1]"]
+    texts = [
+        '{"is_private_person_pii": true, "exact_match_found": true, "decision": "keep", "confidence": "high"}',
+        '{"is_private_person_pii": true, "decision": "keep"}',
+        'x {"decision": "keep", "is_private_person_pii": true, "exact_match_found": true, "is_public_or_business_info": true} y', "{}", "[1]"
+    ]
     reply = F.element_at(F.array(*map(F.lit, texts)), (F.col("doc_id") % 5 + 1).cast("int"))
     return table(spark, d, "labels").select("doc_id", P.lenient_verdict(reply).alias("v")).select("doc_id", "v.status", "v.decision", "v.confidence")
 
@@ -386,7 +454,9 @@ def lenient_verdicts(spark, d) -> DataFrame:
 SELECT source_file, count(*) AS n_units, sum(n)::BIGINT AS n_rows, sum(bytes)::BIGINT AS bytes, max(e) AS rows_expected, sum(e - s + 1)::BIGINT AS rows_covered, max(e) = sum(e - s + 1) AS whole FROM u WHERE NOT (source_file = 'src2' AND unit = 0) GROUP BY 1""")
 def units_merged(spark, d) -> DataFrame:
     """Totals of units of ten lines; the first unit of one file is missing."""
-    u = _numbered(spark, d).groupBy("source_file", F.expr("(source_line - 1) div 10").alias("unit")).agg(F.count("*").alias("n_rows"), F.sum("bytes").alias("bytes"), F.min("source_line").alias("start_line"), F.max("source_line").alias("end_line"))
+    u = _numbered(spark, d).groupBy("source_file", F.expr("(source_line - 1) div 10").alias("unit")).agg(
+        F.count("*").alias("n_rows"), F.sum("bytes").alias("bytes"), F.min("source_line").alias("start_line"), F.max("source_line").alias("end_line")
+    )
     u = materialize(u.where("not (source_file = 'src2' and unit = 0)"), "units")
     return reconcile.merged(u, ["source_file"], ["n_rows", "bytes"]).join(reconcile.unit_rows(u), "source_file")
 
@@ -405,7 +475,10 @@ SELECT CASE WHEN grouping(category) = 1 THEN 'TOTAL' ELSE category END AS catego
 def probe_summary(spark, d) -> DataFrame:
     k = F.col("doc_id")
     status = F.when(k % 5 == 0, F.lit("error")).when(k % 5 == 1, F.lit("partial_error")).otherwise(F.lit("ok"))
-    r = table(spark, d, "documents").select(F.col("source").alias("category"), F.when(k % 3 == 0, F.lit("regurgitated")).otherwise(F.lit("not_regurgitated")).alias("decision"), status.alias("status"), (k % 4).alias("trial_count"), (k % 2).alias("error_count"))
+    r = table(spark, d, "documents").select(
+        F.col("source").alias("category"), F.when(k % 3 == 0, F.lit("regurgitated")).otherwise(F.lit("not_regurgitated")).alias("decision"),
+        status.alias("status"), (k % 4).alias("trial_count"), (k % 2).alias("error_count")
+    )
     return reconcile.probe_summary(r)
 
 
@@ -413,11 +486,18 @@ def probe_summary(spark, d) -> DataFrame:
 SELECT source AS shard, class, count(*) AS n_rows, sum(b)::BIGINT AS bytes FROM c GROUP BY 1, 2 UNION ALL SELECT '*', class, count(*), sum(b)::BIGINT FROM c GROUP BY 2""")
 def quality_shards(spark, d) -> DataFrame:
     """Rows and bytes by class, of each shard and of all; the sums over a shard's classes are the shard's."""
-    both = table(spark, d, "documents").select("doc_id", "source", F.octet_length("text").cast("long").alias("bytes")).join(table(spark, d, "labels"), "doc_id", "left")
+    both = table(spark, d, "documents").select(
+        "doc_id", "source", F.octet_length("text").cast("long").alias("bytes")
+    ).join(table(spark, d, "labels"), "doc_id", "left")
     outcome = toxicity.guard_outcome_final(F.when(F.col("toxic") == 1, F.lit("UNSAFE")).when(F.col("toxic") == 0, F.lit("safe")))
-    rejects = quality.pii_rejects(F.when(F.col("quality").isNull(), F.lit("error")).otherwise(F.lit("ok")), F.when(F.col("quality") == 0, F.lit("keep")).otherwise(F.lit("filter")))
+    rejects = quality.pii_rejects(
+        F.when(F.col("quality").isNull(), F.lit("error")).otherwise(F.lit("ok")),
+        F.when(F.col("quality") == 0, F.lit("keep")).otherwise(F.lit("filter"))
+    )
     c = both.select("source", quality.row_class(F.coalesce(outcome, F.lit("error")), rejects).alias("class"), "bytes")
-    cube = c.rollup("class", "source").agg(F.grouping("source").alias("_s"), F.grouping("class").alias("_c"), F.count("*").alias("n_rows"), F.sum("bytes").alias("bytes"))
+    cube = c.rollup("class", "source").agg(
+        F.grouping("source").alias("_s"), F.grouping("class").alias("_c"), F.count("*").alias("n_rows"), F.sum("bytes").alias("bytes")
+    )
     return cube.where("_c = 0").select(F.when(F.col("_s") == 1, F.lit("*")).otherwise(F.col("source")).alias("shard"), "class", "n_rows", "bytes")
 
 
@@ -434,7 +514,9 @@ def duplicates_by_group(spark, d) -> DataFrame:
     groups = spark.createDataFrame([(0, "protected", "src3"), (1, "ones", "src1"), (2, "twos", "src2")], "rank int, group string, prefix string")
     files = table(spark, d, "documents").select("source").distinct()
     of = materialize(reports.first_prefix(files, "source", groups), "groups").where("`group` <> 'protected' or source = 'src3' or `group` is null")
-    mine, kept = of.select(F.col("source").alias("source_file"), F.col("group").alias("mine")), of.select(F.col("source").alias("original_source_file"), F.col("group").alias("kept"))
+    mine, kept = of.select(F.col("source").alias("source_file"), F.col("group").alias("mine")), of.select(
+        F.col("source").alias("original_source_file"), F.col("group").alias("kept")
+    )
     both = dec.join(mine, "source_file", "left").join(kept, "original_source_file", "left").where("mine is null or mine <> 'protected'")
     kept_in = F.when(F.col("mine").isNull(), F.lit("")).otherwise(F.coalesce("kept", F.lit("unassigned")))
     return both.groupBy(F.coalesce("mine", F.lit("unassigned")).alias("group"), kept_in.alias("kept_in")).agg(F.count("*").alias("n_rows"))
@@ -445,14 +527,20 @@ SELECT label, CASE label WHEN 'emails' THEN 'email' WHEN 'zip_codes' THEN 'postc
 def shared_labels(spark, d) -> DataFrame:
     s = spark.createDataFrame([(x,) for x in ("emails", "zip_codes", "first_name", "private_person", "cvv", "other")], "label string")
     c = F.col("label")
-    return s.select("label", ner.mapped_label(c, ner.LABEL_OF_PATTERN).alias("by_pattern"), ner.mapped_label(c, ner.CATEGORY_OF).alias("category"), ner.mapped_label(c, ner.LABEL_OF_MODEL).alias("by_model"))
+    return s.select(
+        "label", ner.mapped_label(c, ner.LABEL_OF_PATTERN).alias("by_pattern"), ner.mapped_label(c, ner.CATEGORY_OF).alias("category"),
+        ner.mapped_label(c, ner.LABEL_OF_MODEL).alias("by_model")
+    )
 
 
 _SPANS = "a AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'x' ELSE 'y' END AS label, k * 20 AS s, k * 20 + 10 AS e FROM documents, (SELECT unnest(range(0, 3)) AS k)), b AS (SELECT doc_id, label, s + doc_id % 13 AS s, e + doc_id % 13 AS e FROM a)"
 
 
 def _two_models(spark, d) -> tuple[DataFrame, DataFrame]:
-    a = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.lit("x")).otherwise(F.lit("y")).alias("label"), F.explode(F.array(F.lit(0), F.lit(20), F.lit(40))).alias("start")).withColumn("end", F.col("start") + 10)
+    a = table(spark, d, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 2 == 0, F.lit("x")).otherwise(F.lit("y")).alias("label"),
+        F.explode(F.array(F.lit(0), F.lit(20), F.lit(40))).alias("start")
+    ).withColumn("end", F.col("start") + 10)
     off = (F.col("doc_id") % 13).cast("int")
     return a, a.select("doc_id", "label", (F.col("start") + off).alias("start"), (F.col("end") + off).alias("end"))
 
@@ -480,7 +568,10 @@ fc AS (SELECT *, CASE WHEN list_contains(r, 'toxicity_error') THEN 'error' WHEN
 
 def _final(spark, d) -> DataFrame:
     """Candidates judged by a model (every seventh request fails, even places are confirmed) and messages judged by a guard."""
-    h = _hits(spark, d).select(*LOC, F.when(F.col("source_line") % 7 == 0, F.lit("error")).otherwise(F.lit("ok")).alias("status"), F.when(F.col("source_line") % 2 == 0, F.lit("keep")).otherwise(F.lit("filter")).alias("decision"))
+    h = _hits(spark, d).select(
+        *LOC, F.when(F.col("source_line") % 7 == 0, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
+        F.when(F.col("source_line") % 2 == 0, F.lit("keep")).otherwise(F.lit("filter")).alias("decision")
+    )
     r = rows(spark, d).select(*LOC, F.octet_length("text").cast("long").alias("bytes"))
     return quality.finalize(r, h, _judged(spark, d), LOC, "bytes")
 
@@ -518,7 +609,10 @@ def selected_matches(spark, d) -> DataFrame:
     from screenwright.operators import dedup
 
     dec = dedup.decisions(dedup.digests(rows(spark, d), LOC, F.col("text")), "digest", LOC, LOC)
-    m = dec.select("source_file", (F.col("source_line") + 1).alias("source_line"), F.col("original_source_file").alias("reference_file"), (F.col("original_source_line") + 1).alias("reference_line"))
+    m = dec.select(
+        "source_file", (F.col("source_line") + 1).alias("source_line"), F.col("original_source_file").alias("reference_file"),
+        (F.col("original_source_line") + 1).alias("reference_line")
+    )
     return dedup.selected(m, ["src1*::src[1-9]*"]).groupBy("source_file").agg(F.count("*").alias("n_selected"))
 
 
@@ -553,7 +647,9 @@ def hits_index(spark, d) -> DataFrame:
 @query("""SELECT item_id, CASE item_id % 6 WHEN 0 THEN 'a/b' || item_id || '.jsonl' WHEN 1 THEN '/a' WHEN 2 THEN 'a/../b' WHEN 3 THEN '' WHEN 4 THEN 'a//b' ELSE 'x..y' END AS path, item_id % 6 IN (0, 5) AS fine FROM benchmark""")
 def safe_paths(spark, d) -> DataFrame:
     k = F.col("item_id") % 6
-    path = F.when(k == 0, F.concat(F.lit("a/b"), F.col("item_id").cast("string"), F.lit(".jsonl"))).when(k == 1, F.lit("/a")).when(k == 2, F.lit("a/../b")).when(k == 3, F.lit("")).when(k == 4, F.lit("a//b")).otherwise(F.lit("x..y"))
+    path = F.when(
+        k == 0, F.concat(F.lit("a/b"), F.col("item_id").cast("string"), F.lit(".jsonl"))
+    ).when(k == 1, F.lit("/a")).when(k == 2, F.lit("a/../b")).when(k == 3, F.lit("")).when(k == 4, F.lit("a//b")).otherwise(F.lit("x..y"))
     return table(spark, d, "benchmark").select("item_id", path.alias("path"), runs.proper_path(path).alias("fine"))
 
 
@@ -577,7 +673,9 @@ def partition_sides(spark, d) -> DataFrame:
     from screenwright.operators.numbering import numbered
 
     docs = table(spark, d, "documents").select("source", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "raw"))
-    lines = materialize(numbered(docs.select(F.col("source").alias("source_file"), "doc_id", "i", "raw"), ["doc_id", "i"], ["source_file"], "source_line"), "lines")
+    lines = materialize(
+        numbered(docs.select(F.col("source").alias("source_file"), "doc_id", "i", "raw"), ["doc_id", "i"], ["source_file"], "source_line"), "lines"
+    )
     path = new_path(spark, "sides")
     sinks.write_partition(lines, lines.where("doc_id % 3 = 0"), path)
     both = [sinks.read_lines(spark, f"{path}/{side}").withColumn("side", F.lit(side)) for side in ("filtered", "filtered_out")]
@@ -589,7 +687,12 @@ def resumed_rows(spark, d) -> DataFrame:
     """What is left to do: rows without a good result for their present content."""
     docs = sinks.with_row_key(table(spark, d, "documents").select("doc_id", "text"), ["doc_id", "text"])
     changed = F.when(F.col("doc_id") % 8 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text"))
-    done = sinks.with_row_key(table(spark, d, "documents").where("doc_id % 4 = 0").select("doc_id", changed.alias("text"), F.when(F.col("doc_id") % 12 == 0, F.lit("timeout")).alias("error")), ["doc_id", "text"])
+    done = sinks.with_row_key(
+        table(spark, d, "documents").where("doc_id % 4 = 0").select(
+            "doc_id", changed.alias("text"), F.when(F.col("doc_id") % 12 == 0, F.lit("timeout")).alias("error")
+        ),
+        ["doc_id", "text"]
+    )
     return sinks.resume(docs, done, ["row_key"], "error is null").select("doc_id")
 
 

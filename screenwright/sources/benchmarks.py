@@ -64,7 +64,10 @@ def read_benchmarks(spark: SparkSession, path: str, headerless: tuple[str, ...]
                 name = full.split(f"/{root}/")[-1]
                 rows = [(name, n, json.dumps(r, ensure_ascii=False, default=str)) for n, r in _records(name, content.as_py(), headerless or ("\x00",))]
                 columns = list(zip(*rows, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True)], names=["source_file", "source_line", "record"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True)],
+                    names=["source_file", "source_line", "record"]
+                )
 
     rows = found.where(wanted).mapInArrow(run, "source_file string, source_line long, record string")
     kind = F.lower(F.element_at(F.split("source_file", r"\."), -1))

@@ -88,10 +88,15 @@ def _read(batches):
 
     def batch(rows):
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["source_file", "source_line", "byte_offset", "raw", "source_sha256"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, type=k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+            names=["source_file", "source_line", "byte_offset", "raw", "source_sha256"]
+        )
 
     for part in batches:
-        for path, name, length, start, end, before in zip(*(part.column(c).to_pylist() for c in ("path", "name", "length", "start", "end", "before")), strict=True):
+        for path, name, length, start, end, before in zip(
+            *(part.column(c).to_pylist() for c in ("path", "name", "length", "start", "end", "before")), strict=True
+        ):
             data, rows, size, line = Bytes(path, length), [], 0, before + 1
             # a line that begins before the range ends in it, unless the byte before is a line end
             if start and data.read(start - 1, 1) != b"\n":
@@ -112,9 +117,17 @@ def read_jsonl(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, n
     if names is not None:
         files = files.join(F.broadcast(spark.createDataFrame([(n,) for n in names], "name string")), "name", "left_semi")
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long")))
-    ranges = materialize(files.withColumn("start", start).withColumn("end", F.least(F.col("start") + range_bytes, F.col("length"))).select("path", "name", "length", "start", "end"), "ranges")
+    ranges = materialize(
+        files.withColumn("start", start).withColumn(
+            "end", F.least(F.col("start") + range_bytes, F.col("length"))
+        ).select("path", "name", "length", "start", "end"),
+        "ranges"
+    )
     n = max(1, min(ranges.count(), 100_000))
-    counted = materialize(ranges.repartition(n, "path", "start").mapInArrow(_counts, "path string, name string, length long, start long, end long, lines long"), "range-lines")
+    counted = materialize(
+        ranges.repartition(n, "path", "start").mapInArrow(_counts, "path string, name string, length long, start long, end long, lines long"),
+        "range-lines"
+    )
     before = F.coalesce(F.sum("lines").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return counted.withColumn("before", before).repartition(n, "path", "start").mapInArrow(_read, SCHEMA)
 
@@ -132,4 +145,6 @@ def objects(lines: DataFrame) -> DataFrame:
 def refuse_written(lines: DataFrame) -> DataFrame:
     """Stops on lines that the engine itself has written as notes (``{"_origin"`` or ``{"_parent"``)."""
     own = F.ltrim(F.col("raw").cast("string")).rlike(r'^\{\s*"_(?:origin|parent)"')
-    return lines.withColumn("raw", F.when(own, F.raise_error(F.lit("a line of the engine's own notes was given as input")).cast("binary")).otherwise(F.col("raw")))
+    return lines.withColumn(
+        "raw", F.when(own, F.raise_error(F.lit("a line of the engine's own notes was given as input")).cast("binary")).otherwise(F.col("raw"))
+    )

@@ -32,7 +32,9 @@ class Bytes:
         return self.content[at : at + n] if self.content is not None else self.file.read_at(max(0, min(n, self.size - at)), at)
 
 
-def scan(spark: SparkSession, path: str, kernel: Callable[[str, Bytes, int, int], Iterator], fields: str, range_bytes: int = RANGE_BYTES, glob: str = "*") -> DataFrame:
+def scan(
+    spark: SparkSession, path: str, kernel: Callable[[str, Bytes, int, int], Iterator], fields: str, range_bytes: int = RANGE_BYTES, glob: str = "*"
+) -> DataFrame:
     """What ``kernel(name, bytes, start, end)`` makes (record batches of ``fields``) of each range of each file under ``path``.
 
     ``name`` is the path below ``path``.

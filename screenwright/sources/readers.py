@@ -128,7 +128,11 @@ def present(rows: DataFrame, name: str) -> Column:
 
 def suggest(rows: DataFrame) -> dict[str, str]:
     """A mapping guessed from names and shapes: an exact name with the right shape first, then name hints."""
-    chats = [f.name for f in rows.schema if f.dataType.typeName() == "array" and f.dataType.elementType.typeName() == "struct" and {"role", "content"} <= set(f.dataType.elementType.names)]
+    chats = [
+        f.name for f in rows.schema if f.dataType.typeName() == "array" and f.dataType.elementType.typeName() == "struct" and {"role", "content"} <= set(
+            f.dataType.elementType.names
+        )
+    ]
     texts = [f.name for f in rows.schema if f.dataType.typeName() == "string"]
     for names, have in (("messages", chats), ("text", texts)):
         if names in have:
@@ -143,14 +147,19 @@ def preview(rows: DataFrame, mapping: dict[str, str], required: list[str] = (),
     """The first ``n`` rows (of ``order``, or as they come) as ``mapped`` makes them, with ``characters`` of their text: what a mapping would do, on a sample."""
     made = mapped(rows.orderBy(*order).limit(n) if order else rows.limit(n), mapping, list(required))
     text = F.col("text") if "text" in made.columns else F.lit(None).cast("string")
-    said = F.aggregate(F.transform("messages", lambda m: F.length(F.coalesce(m["content"], F.lit("")))), F.lit(0), lambda a, x: a + x) if "messages" in made.columns else F.lit(None).cast("int")
+    said = F.aggregate(
+        F.transform("messages", lambda m: F.length(F.coalesce(m["content"], F.lit("")))), F.lit(0), lambda a, x: a + x
+    ) if "messages" in made.columns else F.lit(None).cast("int")
     return made.withColumn("characters", F.coalesce(F.length(text), said, F.lit(0)))
 
 
 def skip_counts(made: DataFrame, file: str) -> DataFrame:
     """(file, skip_reason, column, n_rows) of rows that ``mapped`` skips."""
     gone = made.where("skip_reason is not null")
-    return gone.groupBy(F.col(file).alias("file"), F.split_part("skip_reason", F.lit(":"), F.lit(1)).alias("skip_reason"), F.split_part("skip_reason", F.lit(":"), F.lit(2)).alias("column")).agg(F.count("*").alias("n_rows"))
+    return gone.groupBy(
+        F.col(file).alias("file"), F.split_part("skip_reason", F.lit(":"), F.lit(1)).alias("skip_reason"),
+        F.split_part("skip_reason", F.lit(":"), F.lit(2)).alias("column")
+    ).agg(F.count("*").alias("n_rows"))
 
 
 def from_nested(record: Column, *path: str) -> Column:
@@ -193,5 +202,7 @@ def snapshot_changes(before: DataFrame, now: DataFrame) -> DataFrame:
     """(path, status): missing, new, changed (other bytes), touched (another time only)."""
     a = before.select("path", F.col("bytes").alias("_b"), F.col("modified").alias("_m"), F.col("sha256").alias("_s"))
     both = a.join(now, "path", "full_outer")
-    status = F.when(F.col("sha256").isNull(), F.lit("missing")).when(F.col("_s").isNull(), F.lit("new")).when(F.col("_s") != F.col("sha256"), F.lit("changed")).when(F.col("_m") != F.col("modified"), F.lit("touched"))
+    status = F.when(F.col("sha256").isNull(), F.lit("missing")).when(F.col("_s").isNull(), F.lit("new")).when(F.col("_s") != F.col("sha256"), F.lit("changed")).when(
+        F.col("_m") != F.col("modified"), F.lit("touched")
+    )
     return both.select("path", status.alias("status")).where("status is not null")

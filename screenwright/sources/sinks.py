@@ -27,7 +27,9 @@ def write_lines(lines: DataFrame, path: str, by: str = "source_file", order: tup
     """Lines as they were (``raw`` without its line end), a folder per source file, in order."""
     text = F.regexp_replace(F.col("raw").cast("string"), r"\n\z", "")
     out = lines.select(F.col(by).alias("file"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], text.alias("value"))
-    out.repartitionByRange(*[f"_o{i}" for i in range(len(order))]).sortWithinPartitions(*[f"_o{i}" for i in range(len(order))]).select("file", "value").write.partitionBy("file").text(path)
+    out.repartitionByRange(
+        *[f"_o{i}" for i in range(len(order))]
+    ).sortWithinPartitions(*[f"_o{i}" for i in range(len(order))]).select("file", "value").write.partitionBy("file").text(path)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
@@ -45,7 +47,9 @@ def write_partition(lines: DataFrame, gone: DataFrame, path: str, key: tuple[str
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(source_file, raw) of lines that ``write_lines`` has written."""
-    return spark.read.option("lineSep", "\n").option("basePath", path).text(path).select(F.col("file").cast("string").alias("source_file"), F.col("value").alias("raw"))
+    return spark.read.option("lineSep", "\n").option("basePath", path).text(path).select(
+        F.col("file").cast("string").alias("source_file"), F.col("value").alias("raw")
+    )
 
 
 def write_filter_run(decided: DataFrame, path: str, text: str = "text") -> None:
@@ -68,7 +72,10 @@ def check_filter_run(spark: SparkSession, path: str, decided: DataFrame, text: s
     """(source_file, kept, removed, problems): the run read again and held against the decisions; problems must be 0."""
     kept, lines, removed = (spark.read.parquet(f"{path}/{n}") for n in ("kept", "line_map", "removed"))
     back = kept.withColumnRenamed("file", "source_file").join(lines, ["source_file", "line"], "full_outer")
-    back = back.select("source_file", "source_line", F.lit(True).alias("_kept"), F.col("source_sha256").eqNullSafe(F.sha2(F.col(text).cast("binary"), 256)).alias("_same"))
+    back = back.select(
+        "source_file", "source_line", F.lit(True).alias("_kept"),
+        F.col("source_sha256").eqNullSafe(F.sha2(F.col(text).cast("binary"), 256)).alias("_same")
+    )
     out = removed.select("source_file", "source_line", F.lit(False).alias("_kept"), F.lit(True).alias("_same"))
     all_ = back.union(out).groupBy("source_file", "source_line").agg(F.count("*").alias("_n"), F.first("_kept").alias("_kept"), F.min("_same").alias("_same"))
     want = decided.select("source_file", "source_line", (F.size("reasons") == 0).alias("_want"))

@@ -30,7 +30,10 @@ def test_email(spark):
 
 
 def test_cards(spark):
-    keeps(spark, V.credit_card, ["4539 1488 0343 6467", "5500005555555559"], ["4539148803436468", "4111111111111111", "4539.1488.0343.6467", "453914880343", ""])
+    keeps(
+        spark, V.credit_card, ["4539 1488 0343 6467", "5500005555555559"],
+        ["4539148803436468", "4111111111111111", "4539.1488.0343.6467", "453914880343", ""]
+    )
 
 
 def test_phones(spark):
@@ -69,8 +72,14 @@ def test_regtest_bitcoin(spark):
 
 def test_addresses(spark):
     keeps(spark, V.po_box, ["P.O. Box 1234", "POB 77"], ["PO Box"])
-    keeps(spark, V.street_address, ["742 Evergreen Terrace", "12 North Elm St."], ["12 Main Street", "742 evergreen terrace", "1999 Supreme Court", "0 Elm Road"])
-    keeps(spark, V.street_address, ["5 Rue de Rivoli Lane", "12 N Elm St"], ["12 Patients per Day Court", "30 The Way", "4 Miles Road", "20 years St", "100 tested cells Drive", "3 Who Would Street"])
+    keeps(
+        spark, V.street_address, ["742 Evergreen Terrace", "12 North Elm St."],
+        ["12 Main Street", "742 evergreen terrace", "1999 Supreme Court", "0 Elm Road"]
+    )
+    keeps(
+        spark, V.street_address, ["5 Rue de Rivoli Lane", "12 N Elm St"],
+        ["12 Patients per Day Court", "30 The Way", "4 Miles Road", "20 years St", "100 tested cells Drive", "3 Who Would Street"]
+    )
     assert column(spark, ["5 Study Park Drive"], lambda c: V.street_address(c, ("study",))) == [False]
 
 
@@ -106,7 +115,9 @@ def test_guard(spark):
 
 
 def test_matches(spark):
-    df = spark.createDataFrame([("call 415.273.9164", "(415) 273-9164", "phones"), ("I do not know", "(415) 273-9164", "phones")], "r string, t string, c string")
+    df = spark.createDataFrame(
+        [("call 415.273.9164", "(415) 273-9164", "phones"), ("I do not know", "(415) 273-9164", "phones")], "r string, t string, c string"
+    )
     assert [r[0] for r in df.select(pii.match_kinds(F.col("r"), F.col("t"), F.col("c"))).collect()] == [["digits", "compact"], []]
 
 
@@ -178,13 +189,21 @@ def test_cross_pairs_of_copies(spark):
 
 
 def test_redaction(spark):
-    rows = [("Call 415.273.9164 or (415) 273-9164, ok", "(415) 273-9164", "Call [REDACTED] or [REDACTED], ok"), ("A@B.org a@b.org", "a@b.org", "[REDACTED] [REDACTED]"), ("none", "a@b.org", None), ("14152739164", "(415) 273-9164", None), ("x", "", None)]
+    rows = [
+        ("Call 415.273.9164 or (415) 273-9164, ok", "(415) 273-9164", "Call [REDACTED] or [REDACTED], ok"),
+        ("A@B.org a@b.org", "a@b.org", "[REDACTED] [REDACTED]"), ("none", "a@b.org", None), ("14152739164", "(415) 273-9164", None), ("x", "", None)
+    ]
     df = spark.createDataFrame(rows, "t string, v string, want string")
     got = df.select("want", pii.redact(F.col("t"), F.col("v")).alias("r")).collect()
     # the opening bracket of a number is no digit, so it stays where the digits alone are found
     assert [r.r for r in got][1:] == [r.want for r in got][1:] and got[0].r.count("[REDACTED]") == 2
-    places = df.select(pii.value_places(F.lit("aXbXaX.(X"), F.lit("X")).alias("p"), pii.value_places(F.lit("a.b.c"), F.lit(".")).alias("q"), pii.value_places(F.lit("aaaa"), F.lit("aa"), 1).alias("l"), pii.value_places(F.lit("a"), F.lit("")).alias("e")).first()
-    assert [(x.start, x.end) for x in places.p] == [(1, 2), (3, 4), (5, 6), (8, 9)] and [x.start for x in places.q] == [1, 3] and len(places.l) == 1 and places.e == []
+    places = df.select(
+        pii.value_places(F.lit("aXbXaX.(X"), F.lit("X")).alias("p"), pii.value_places(F.lit("a.b.c"), F.lit(".")).alias("q"),
+        pii.value_places(F.lit("aaaa"), F.lit("aa"), 1).alias("l"), pii.value_places(F.lit("a"), F.lit("")).alias("e")
+    ).first()
+    assert [
+        (x.start, x.end) for x in places.p
+    ] == [(1, 2), (3, 4), (5, 6), (8, 9)] and [x.start for x in places.q] == [1, 3] and len(places.l) == 1 and places.e == []
 
 
 def test_spans_matched_one_to_one(spark):

@@ -18,7 +18,9 @@ def folder(tmp_path):
 
 @pytest.mark.parametrize("size", [1, 7, 16, 100, 1 << 20])
 def test_lines_do_not_depend_on_ranges(spark, folder, size):
-    got = sorted((r.source_file, r.source_line, r.byte_offset, bytes(r.raw)) for r in jsonl.read_jsonl(spark, str(folder), size).collect()) if size > 7 else None
+    got = sorted(
+        (r.source_file, r.source_line, r.byte_offset, bytes(r.raw)) for r in jsonl.read_jsonl(spark, str(folder), size).collect()
+    ) if size > 7 else None
     if got is None:
         got = sorted((r.source_file, r.source_line, r.byte_offset, bytes(r.raw)) for r in jsonl.read_jsonl(spark, str(folder / "a.jsonl"), size).collect())
     want = []
@@ -49,11 +51,19 @@ def test_content_blocks(spark):
 
 def test_messages(spark):
     m = lambda *x: [{"role": r, "content": c} for r, c in x]
-    rows = [("", m(("user", "hi"))), (None, m(("system", "S"), ("user", "U"), ("assistant", "A"))), (None, m(("assistant", "A"))), (None, m((None, "x"), ("u", "")))]
+    rows = [
+        ("", m(("user", "hi"))), (None, m(("system", "S"), ("user", "U"), ("assistant", "A"))), (None, m(("assistant", "A"))),
+        (None, m((None, "x"), ("u", "")))
+    ]
     df = spark.createDataFrame(rows, "text string, messages array<struct<role:string,content:string>>")
     t, ms = F.col("text"), F.col("messages")
-    got = df.select(T.record_text(t, ms), T.dedup_text(t, ms), T.dedup_text(t, ms, "prompt", True), F.size(T.toxicity_units(t, ms)), F.size(T.span_units(t, ms))).collect()
-    assert [tuple(r) for r in got] == [("USER:\nhi", "", "", 1, 1), ("SYSTEM:\nS\n\nUSER:\nU\n\nASSISTANT:\nA", "S\nU\nA", "U", 3, 3), ("ASSISTANT:\nA", "A", "A", 1, 1), ("MESSAGE_1:\nx", "x", "x", 1, 1)]
+    got = df.select(
+        T.record_text(t, ms), T.dedup_text(t, ms), T.dedup_text(t, ms, "prompt", True), F.size(T.toxicity_units(t, ms)), F.size(T.span_units(t, ms))
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        ("USER:\nhi", "", "", 1, 1), ("SYSTEM:\nS\n\nUSER:\nU\n\nASSISTANT:\nA", "S\nU\nA", "U", 3, 3), ("ASSISTANT:\nA", "A", "A", 1, 1),
+        ("MESSAGE_1:\nx", "x", "x", 1, 1)
+    ]
 
 
 def test_manifest_and_mapping(spark):
@@ -97,7 +107,10 @@ def test_lines_are_written_as_they_were(spark, folder, tmp_path):
 
 def test_filter_refuses_stale_findings(spark):
     rows = spark.createDataFrame([("f", 1, "a"), ("f", 2, "b")], "source_file string, source_line long, source_sha256 string")
-    found = spark.createDataFrame([("f", 1, "a", "x", "s", "1"), ("f", 1, "a", "y", "s", "2")], "source_file string, source_line long, source_sha256 string, reason string, scanner string, finding string")
+    found = spark.createDataFrame(
+        [("f", 1, "a", "x", "s", "1"), ("f", 1, "a", "y", "s", "2")],
+        "source_file string, source_line long, source_sha256 string, reason string, scanner string, finding string"
+    )
     got = filtering.decide(rows, found)
     assert {r.source_line: r.reasons for r in got.collect()} == {1: ["x", "y"], 2: []}
     assert filtering.conserved(filtering.per_file(got, F.lit(1))).count() == 0
@@ -192,7 +205,9 @@ def test_a_problem_without_a_run_fails_every_run(spark):
     from screenwright.operators import runs
 
     files = spark.createDataFrame([("r/a.jsonl", "r", 1, 1, "s")], "path string, run string, rows long, bytes long, sha256 string")
-    read = spark.createDataFrame([("r/a.jsonl", "s", 1, 1, 0, 0)], "path string, sha256 string, rows_read long, rows_with_text long, rows_without_text long, findings long")
+    read = spark.createDataFrame(
+        [("r/a.jsonl", "s", 1, 1, 0, 0)], "path string, sha256 string, rows_read long, rows_with_text long, rows_without_text long, findings long"
+    )
     assert runs.problems(files, read).count() == 0 and runs.per_run(files, read, runs.problems(files, read)).first().status == "pass"
     more = read.union(spark.createDataFrame([("else.jsonl", "s", 1, 1, 0, 0)], read.schema))
     assert runs.per_run(files, more, runs.problems(files, more)).first().status == "fail"
@@ -233,4 +248,7 @@ def test_decisions_outside_of_the_rows_stop_the_run(spark):
     with pytest.raises(ValueError, match="no match"):
         dedup.selected(match.limit(0), ["*::*"])
     with pytest.raises(Exception, match="no record"):
-        dedup.with_records(spark.createDataFrame([("f", 1, "f", 9)], "source_file string, source_line long, original_source_file string, original_source_line long"), rows.withColumn("t", F.lit("x")), at, "t").select("text").collect()
+        dedup.with_records(
+            spark.createDataFrame([("f", 1, "f", 9)], "source_file string, source_line long, original_source_file string, original_source_line long"),
+            rows.withColumn("t", F.lit("x")), at, "t"
+        ).select("text").collect()

@@ -24,7 +24,9 @@ def test_contamination_of_any_part(spark, tmp_path):
         "and just five words in ALL, then", "just five words in", "one", "someone", "", None, "again " * 8, "again " * 7, " ".join(item[5:12] + ["z"] + item[13:]),
     ]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    spark.createDataFrame([(k, t, f"s{k % 2}") for k, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(
+        [(k, t, f"s{k % 2}") for k, t in enumerate(texts)], "doc_id long, text string, source string"
+    ).write.parquet(f"{tmp_path}/documents.parquet")
     want = set()
     for i, t in items:
         w = plain(t)
