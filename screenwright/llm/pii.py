@@ -39,7 +39,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from screenwright.storage import bounded_broadcast, materialize
+from screenwright.storage import materialize
 
 #: Terms, and spans of affected texts, are broadcast up to so many; beyond, the joins shuffle.
 BROADCAST_TERMS = 1_000_000
@@ -198,7 +198,10 @@ def occurrences(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
     names = F.transform(F.regexp_extract_all(t, F.lit(NAME), F.lit(0)), lambda x: F.lower(x))
     kinds = F.array(*[F.when(t.rlike(shows), class_term(F.lit(i))) for i, (_, _, shows) in enumerate(CLASSES)])
     held = docs.select(F.explode(F.array_distinct(F.concat(words, names, kinds))).alias("term"))
-    return held.join(bounded_broadcast(terms, BROADCAST_TERMS), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    if terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+        return held.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    # too many to be sent to all tasks: words are counted on the map side before they move
+    return held.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term")
 
 
 def disclosing(docs: DataFrame, near: DataFrame, text: str, generalise: float, remove: float, prior: float) -> DataFrame:
