@@ -109,11 +109,15 @@ def test_parts_make_the_whole(spark, turn):
 def test_quality(spark, odd):
     got = {r.doc_id: r for r in quality.ledger(odd).collect()}
     assert got[3].n_words == got[4].n_words == got[5].n_words == 0 and got[3].fail_bits & 1
-    assert got[6].n_words == 60_000 and got[6].fail_bits == 0 and got[8].word_chars == 9
+    assert got[6].n_words == 60_000 and got[6].fail_bits == quality.mask(["digits"]) and got[8].word_chars == 9
     rep = spark.createDataFrame([(1, "a b c x a b c\nl\nl\n\n\nl")], "doc_id long, text string")
     r = quality.ledger(rep).first()
     assert (r.n_repeat_words, r.n_dup_lines, r.n_lines) == (6, 2, 4)
     assert quality.ledger(odd.limit(0)).count() == 0
+    loud = spark.createDataFrame([(1, "LOUD WORDS éA"), (2, "a b c d"), (3, "x" * 201 + " y")], "doc_id long, text string")
+    r = {x.doc_id: x for x in quality.ledger(loud).collect()}
+    assert (r[1].n_upper, r[1].longest_word, r[3].longest_word) == (10, 5, 201) and quality.mask(["few_words", "shouting"]) == r[1].fail_bits
+    assert r[2].fail_bits == quality.mask(["few_words", "short_words"]) and r[3].fail_bits & quality.mask(["endless_word"])
     ab = {r.rule: r for r in quality.ablations(quality.ledger(odd), "v1").collect()}
     assert ab["few_words"].failed == 9 and ab["few_words"].failed_alone <= 9 and ab["few_words"].kept_without >= 2
 
