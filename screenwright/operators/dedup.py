@@ -115,13 +115,12 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def _bands(texts: list[str], permutations: int, bands: int, width: int) -> np.ndarray:
-    """A row of band hashes for each text; zeros for an empty one."""
-    out = np.zeros((len(texts), bands), dtype=np.uint64)
+def _windows(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of every window of ``width`` characters, where each text's windows begin, the texts that have any)."""
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     has = np.flatnonzero(sizes)
     if not len(has):
-        return out.view(np.int64)
+        return np.zeros(0, dtype=np.uint64), has, has
     points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
     forth, back = _powers(len(points) + 1)
     with np.errstate(over="ignore"):
@@ -133,7 +132,17 @@ def _bands(texts: list[str], permutations: int, bands: int, width: int) -> np.nd
         start = np.arange(int(to[-1])) + np.repeat(begin - (to - n), n)
         h = (prefix[start + np.repeat(span, n)] - prefix[start]) * back[start]
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        x, at = (h ^ (h >> np.uint64(32))).astype(np.uint32), to - n
+        return h ^ (h >> np.uint64(32)), to - n, has
+
+
+def _bands(texts: list[str], permutations: int, bands: int, width: int) -> np.ndarray:
+    """A row of band hashes for each text; zeros for an empty one."""
+    out = np.zeros((len(texts), bands), dtype=np.uint64)
+    h, at, has = _windows(texts, width)
+    if not len(has):
+        return out.view(np.int64)
+    x = h.astype(np.uint32)
+    with np.errstate(over="ignore"):
         signature = np.empty((permutations, len(has)), dtype=np.uint64)
         for k in range(permutations):
             signature[k] = np.minimum.reduceat(x * _MULTIPLY[k] + _ADD[k], at)
@@ -145,6 +154,28 @@ def _bands(texts: list[str], permutations: int, bands: int, width: int) -> np.nd
     return out.view(np.int64)
 
 
+def distinct_windows(rows: DataFrame, id: str, text: Column, width: int = WIDTH) -> DataFrame:
+    """(id, n_shingles): how many different windows of ``width`` characters the normalised text of each row has."""
+    held = rows.select(F.col(id).alias("id"), F.coalesce(normalize(text), F.lit("")).alias("text"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            counts = [np.zeros(0, dtype=np.int64)]
+            for _, part in _blocks(batch.column("text").to_pylist()):
+                h, at, has = _windows(part, width)
+                owner = np.repeat(has, np.diff(np.append(at, len(h))))
+                order = np.lexsort((h, owner))
+                first = np.ones(len(h), dtype=bool)
+                first[1:] = (h[order][1:] != h[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+                counts.append(np.bincount(owner[order][first], minlength=len(part)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.concatenate(counts), type=pa.int64())], names=["id", "n_shingles"])
+
+    kind = held.schema["id"].dataType.simpleString()
+    return held.mapInArrow(run, f"id {kind}, n_shingles long").withColumnRenamed("id", id)
+
+
 def signed(rows: DataFrame, keep: list[str], text: Column, bands: int, rows_each: int, width: int) -> DataFrame:
     """``keep``, ``digest`` and ``bands`` (array<long>, null without characters) of each row, in one pass over the texts."""
     check_bands(bands, rows_each, bands * rows_each)

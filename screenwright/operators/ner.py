@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import re
 from dataclasses import dataclass, field
 
@@ -138,11 +139,17 @@ def spans_of(path: list[int], tags: list[str], offsets: list[tuple[int, int]], p
 
 def merge_windows(spans: list[tuple[str, int, int, float]], least: float = 0.5) -> list[tuple[str, int, int, float]]:
     """Of spans of one label that overlap by ``least`` of the shorter one, the most confident stays."""
+    starts: dict[str, list[tuple[int, int]]] = {}
+    longest: dict[str, int] = {}
     kept: list[tuple[str, int, int, float]] = []
-    for s in sorted(spans, key=lambda s: (-s[3], s[1], s[2], s[0])):
-        overlap = lambda k: min(s[2], k[2]) - max(s[1], k[1])  # noqa: E731, B023
-        if not any(k[0] == s[0] and overlap(k) >= least * min(s[2] - s[1], k[2] - k[1]) for k in kept):
-            kept.append(s)
+    for label, start, end, confidence in sorted(spans, key=lambda s: (-s[3], s[1], s[2], s[0])):
+        own = starts.setdefault(label, [])
+        # of those that were kept, only neighbours can reach into this one
+        near = own[bisect.bisect_left(own, (start - longest.get(label, 0), 0)) : bisect.bisect_left(own, (end, 0))]
+        if not any(min(end, e) - max(start, s) >= least * min(end - start, e - s) for s, e in near if e > start):
+            bisect.insort(own, (start, end))
+            longest[label] = max(longest.get(label, 0), end - start)
+            kept.append((label, start, end, confidence))
     return sorted(kept, key=lambda s: (s[1], s[2], s[0]))
 
 

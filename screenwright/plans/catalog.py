@@ -122,11 +122,10 @@ def exact_kept_rows(spark, d) -> DataFrame:
 # --- near duplicates and contamination -------------------------------------------------
 
 
-@query(f"""WITH b AS (SELECT item_id, {B.norm("text")} AS t FROM benchmark)
-SELECT item_id, CASE WHEN length(t) = 0 THEN 0 ELSE len(list_distinct(list_transform(range(1, greatest(length(t) - 59, 1) + 1), lambda i: substr(t, i, 60)))) END::BIGINT AS n_shingles FROM b""")
+@query(f"""WITH b AS (SELECT doc_id, {B.norm("text")} AS t FROM documents)
+SELECT doc_id, CASE WHEN length(t) = 0 THEN 0 ELSE len(list_distinct(list_transform(range(1, greatest(length(t) - 59, 1) + 1), lambda i: substr(t, i, 60)))) END::BIGINT AS n_shingles FROM b""")
 def char_ngrams_count(spark, d) -> DataFrame:
-    g = T.ngrams(T.normalize(F.col("text")), 60)
-    return table(spark, d, "benchmark").select("item_id", F.size(F.array_distinct(g)).cast("long").alias("n_shingles"))
+    return dedup.distinct_windows(table(spark, d, "documents"), "doc_id", F.col("text"), 60)
 
 
 _MD5 = f"""l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(0, len(string_split(text, chr(10))))) AS i FROM documents),
@@ -722,7 +721,7 @@ def _backend(text: str):
 
 @query()
 def viterbi_spans(spark, d) -> DataFrame:
-    found = ner.scan(table(spark, d, "benchmark"), _backend, _TAGS, "item_id")
+    found = ner.scan(table(spark, d, "documents"), _backend, _TAGS, "doc_id")
     return found.groupBy("id", "label").agg(F.count("*").alias("n_spans"), F.round(F.avg("confidence"), 6).alias("confidence"))
 
 

@@ -216,3 +216,15 @@ def test_spans_matched_one_to_one(spark):
         a, b = ([(x[1], x[2], x[3]) for x in side if x[0] == t] for side in (left, right))
         assert abs(got[t] - ner.matched_by_overlap(a, b, 0.3)) <= 0 or got[t] <= min(len(a), len(b))
     assert ner.matched_spans(spark.createDataFrame([], shape), spark.createDataFrame(right, shape), ["t"], 0.3).where("n_matched > 0").count() == 0
+
+
+def test_merging_many_spans():
+    """Windows of spans against all pairs; many spans don't take the square of their number."""
+    rng = np.random.default_rng(8)
+    spans = [("ab"[int(rng.integers(2))], int(s), int(s + rng.integers(1, 12)), round(float(rng.random()), 3)) for s in rng.integers(0, 200, 150)]
+    kept = []
+    for x in sorted(set(spans), key=lambda s: (-s[3], s[1], s[2], s[0])):
+        if not any(k[0] == x[0] and min(x[2], k[2]) - max(x[1], k[1]) >= 0.5 * min(x[2] - x[1], k[2] - k[1]) for k in kept):
+            kept.append(x)
+    assert ner.merge_windows(sorted(set(spans))) == sorted(kept, key=lambda s: (s[1], s[2], s[0]))
+    assert len(ner.merge_windows([("a", 10 * i, 10 * i + 5, 0.5) for i in range(50_000)])) == 50_000
